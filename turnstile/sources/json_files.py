@@ -48,8 +48,12 @@ def sound_drops(drops: DataFrame, one_document_per_file: bool = True) -> DataFra
 
 
 def unreadable_files(drops: DataFrame) -> DataFrame:
-    """Quarantine list: name and path of files that hold an unreadable document."""
-    return drops.filter(F.col(_CORRUPT).isNotNull()).select("filename", "_path").distinct()
+    """Quarantine list: name and path of files that hold an unreadable document.
+
+    Spark parses documents only when a data column is asked for, hence the test on ``orders``.
+    """
+    parsed = F.coalesce(F.size("orders"), F.lit(0)) >= 0
+    return drops.filter(F.col(_CORRUPT).isNotNull() & parsed).select("filename", "_path").distinct()
 
 
 def flatten_tickets(drops: DataFrame) -> DataFrame:
@@ -152,25 +156,36 @@ def unzip_weather(documents: DataFrame) -> DataFrame:
     )
 
 
-def read_holidays(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """Rows of the ``results`` lists of all files, one column per field.
+def _documents(spark: SparkSession, path: str, schema: str | None, one_document_per_file: bool) -> DataFrame | None:
+    """JSON documents, or None when no file matches. Without a schema, fields of all files are merged by name."""
+    reader = spark.read.option("multiLine", one_document_per_file)
+    return absent_as_none(lambda: (reader.schema(schema) if schema else reader).json(path))
+
 
-    Without a schema the fields of all files are merged by name.
-    """
-    reader = spark.read.option("multiLine", True)
-    documents = absent_as_none(lambda: (reader.schema(schema) if schema else reader).json(path))
+def read_holidays(
+    spark: SparkSession, path: str, schema: str | None = None, one_document_per_file: bool = True
+) -> DataFrame | None:
+    """Rows of the ``results`` lists of all files, one column per field."""
+    documents = _documents(spark, path, schema, one_document_per_file)
     return None if documents is None else documents.select(F.inline("results"))
 
 
-def read_population(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+def read_population(
+    spark: SparkSession, path: str, schema: str | None = None, one_document_per_file: bool = True
+) -> DataFrame | None:
     """Population records, or None when the file is absent."""
-    reader = spark.read.option("multiLine", True)
-    return absent_as_none(lambda: (reader.schema(schema) if schema else reader).json(path))
+    return _documents(spark, path, schema, one_document_per_file)
 
 
-def read_streaks(spark: SparkSession, path: str, name_pattern: str = STREAKS_NAME) -> DataFrame | None:
+def read_streaks(
+    spark: SparkSession,
+    path: str,
+    name_pattern: str = STREAKS_NAME,
+    schema: str | None = None,
+    one_document_per_file: bool = True,
+) -> DataFrame | None:
     """Team rows of every round file, with the round number taken from the file name."""
-    documents = absent_as_none(lambda: spark.read.option("multiLine", True).json(path))
+    documents = _documents(spark, path, schema, one_document_per_file)
     if documents is None:
         return None
     teams = documents.select(
