@@ -44,4 +44,5 @@ def percent(numerator: Column, denominator: Column, digits: int) -> Column:
 
 def percent_label(share: Column) -> Column:
     """Share as text with one decimal and a percent sign; ``N/A`` for NULL."""
-    return F.coalesce(F.concat(F.format_string("%.1f", share * 100.0), F.lit("%")), F.lit("N/A"))
+    text = F.concat(F.format_string("%.1f", round_half_away(share * 100.0, 1)), F.lit("%"))
+    return F.when(share.isNotNull(), text).otherwise("N/A")

@@ -64,10 +64,11 @@ def least_squares(y: Column, x: Column) -> tuple[Column, Column]:
 
 
 def _with_group_columns(df: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
-    """Add the columns of ``per_group``: joined on the keys, or as scalars when there are none."""
+    """Add the columns of ``per_group``: joined on the keys, or from its only row when there are none."""
     if by:
         return df.join(per_group, by)
-    return df.select("*", *(per_group.select(c).scalar().alias(c) for c in per_group.columns))
+    row = per_group.select(F.struct(*per_group.columns)).scalar()
+    return df.select("*", row.alias("_row")).select(*df.columns, "_row.*")
 
 
 def _with_range(df: DataFrame, value: str, cuts: str, name: str) -> DataFrame:

@@ -66,7 +66,7 @@ def tickets_by_session(tickets: DataFrame, product_types: DataFrame) -> DataFram
     part of all tickets is folded in every input task, and only one row per
     session goes into the join.
     """
-    codes = product_types.select(F.col("id").alias("product_type_id"), "code")
+    codes = product_types.groupBy(F.col("id").alias("product_type_id")).agg(F.min("code").alias("code"))
     sold, status = is_sold(), F.col("order_status_id")
 
     def sold_with_code(code: str) -> Column:

@@ -94,11 +94,14 @@ def unparsed_birth_dates(raw: DataFrame) -> DataFrame:
 def unparsed_after_cleaning(raw: DataFrame, clean: DataFrame, key: str = "ext_id") -> DataFrame:
     """The same count from two stored tables, matched on the contact key.
 
-    Only keys with an unreadable date take part in the join.
+    Only contacts with an unreadable date take part. Each side is counted per
+    key before the join, so repeated keys multiply as numbers, not as rows.
     """
-    empty = clean.filter(F.col("date_naissance").isNull()).select(key)
-    written = raw.filter(F.col("date_naissance") != "").select(key)
-    return empty.join(written, key).agg(F.count("*").alias("n_unparsed"))
+    empty = clean.filter(F.col("date_naissance").isNull()).groupBy(key).agg(F.count("*").alias("n_empty"))
+    written = raw.filter(F.col("date_naissance") != "").groupBy(key).agg(F.count("*").alias("n_written"))
+    return empty.join(written, key).agg(
+        F.coalesce(F.sum(F.col("n_empty") * F.col("n_written")), F.lit(0)).alias("n_unparsed")
+    )
 
 
 def till_lines(raw: DataFrame) -> DataFrame:

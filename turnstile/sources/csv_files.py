@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from turnstile import schemas
 from turnstile.functions.parsing import local_timestamp, strip, token_in_name
-from turnstile.sources.files import absent_as_none
+from turnstile.sources.files import absent_as_none, without_files
 
 # Fixed value: the date token in a scan file's name.
 SCAN_NAME = r"scan_(.*)\.csv"
@@ -85,7 +85,7 @@ def read_scans(spark: SparkSession, path: str, token_pattern: str = SCAN_NAME) -
         return None
     data = rows.filter(~F.col("_is_header"))
     malformed = data.filter(F.col(_CORRUPT).isNotNull()).select("_path").distinct()
-    return data.join(malformed, "_path", "left_anti").select(
+    return without_files(data, malformed, "_path").select(
         "barcode",
         local_timestamp(F.col("scan_ts_utc")).alias("scan_ts_utc"),
         "portique",

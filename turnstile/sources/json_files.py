@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from turnstile import schemas
 from turnstile.functions.parsing import number_in_name
-from turnstile.sources.files import absent_as_none, first_file
+from turnstile.sources.files import absent_as_none, first_file, without_files
 
 # The round number in a file name.
 STREAKS_NAME = r"streaks_r(\d+)\.json"
@@ -44,7 +44,7 @@ def sound_drops(drops: DataFrame, one_document_per_file: bool = True) -> DataFra
     readable = drops.filter(F.col(_CORRUPT).isNull())
     if one_document_per_file:
         return readable
-    return readable.join(unreadable_files(drops).select("_path"), "_path", "left_anti").select(drops.columns)
+    return without_files(readable, unreadable_files(drops), "_path")
 
 
 def unreadable_files(drops: DataFrame) -> DataFrame:

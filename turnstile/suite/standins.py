@@ -21,9 +21,13 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its schema is looked up once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # --- ticketing -------------------------------------------------------
 
@@ -293,7 +297,7 @@ class Inputs:
         flag, line = F.col("l_returnflag"), F.col("l_linestatus")
         lines = (
             self.table("lineitem")
-            .withColumn("drop", F.floor(F.monotonically_increasing_id() / DROP_SIZE))
+            .withColumn("drop", F.expr(f"monotonically_increasing_id() div {DROP_SIZE}"))
             .withColumn("year", F.year("l_shipdate"))
         )
         tickets = lines.select(
