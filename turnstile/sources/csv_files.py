@@ -58,7 +58,10 @@ def _raw_scans(spark: SparkSession, path: str) -> DataFrame | None:
     reader = (
         spark.read.schema(f"{schemas.SCANS}, {_CORRUPT} string")
         .option("header", False)
+        .option("quote", '"')
+        .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("columnPruning", False)  # lines are judged by all their fields, whatever a query selects
         .option("columnNameOfCorruptRecord", _CORRUPT)
     )
     rows = absent_as_none(lambda: reader.csv(path))

@@ -23,20 +23,29 @@ def same_path(path: Column) -> Column:
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame | None:
-    """Name, path and size of the files under ``path``; their content is not read."""
+    """Name, path and size of the files under ``path``; their content is not read.
+
+    Spark makes no rows from empty files, so the names come from its file index,
+    which the driver holds for any read, and the sizes from the files' metadata.
+    """
     listing = absent_as_none(lambda: spark.read.format("binaryFile").load(path))
     if listing is None:
         return None
-    return listing.select(
+    sizes = listing.select(
+        same_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_size").alias("_size")
+    )
+    names = spark.createDataFrame([(name,) for name in listing.inputFiles()], "path string")
+    names = names.select(same_path(F.col("path")).alias("path"))
+    return names.join(sizes, "path", "left").select(
         F.element_at(F.split("path", "/"), -1).alias("filename"),
-        same_path(F.col("path")).alias("path"),
-        "length",
+        "path",
+        F.coalesce("_size", F.lit(0)).alias("length"),
     )
 
 
 def first_file(spark: SparkSession, path: str) -> str | None:
-    """Path of the first file by path order, or None when there is none."""
-    listing = list_files(spark, path)
+    """Path of the first file with content, by path order, or None when there is none."""
+    listing = absent_as_none(lambda: spark.read.format("binaryFile").load(path))
     return None if listing is None else listing.agg(F.min("path")).first()[0]
 
 
