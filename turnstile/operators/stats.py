@@ -10,8 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnstile.functions.numbers import ratio
-
 # Ranges a group's distinct values are divided into before ranks are counted; a power of two.
 _RANGES = 256
 
@@ -82,6 +80,18 @@ def _with_range(df: DataFrame, value: str, cuts: str, name: str) -> DataFrame:
     return df
 
 
+def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """How often each known value occurs per known group: keys, ``_v``, ``_c``.
+
+    Repeats are added up before the shuffle, so neither a frequent value nor a
+    large group gathers in one task.
+    """
+    known = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    for key in by:
+        known = known.filter(F.col(key).isNotNull())
+    return known.groupBy(*by, "_v").agg(F.count("*").alias("_c"))
+
+
 def quantiles(df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group, one column per name.
 
@@ -96,11 +106,7 @@ def quantiles(df: DataFrame, value: str, probabilities: dict[str, float], by: Se
     No task ever holds more than one range of one group.
     """
     by = list(by)
-    known = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    for key in by:
-        known = known.filter(F.col(key).isNotNull())
-    counted = known.groupBy(*by, "_v").agg(F.count("*").alias("_c"))
-
+    counted = value_counts(df, value, by)
     cuts = [i / _RANGES for i in range(1, _RANGES)]
     groups = counted.groupBy(*by).agg(
         F.sum("_c").alias("_n"), F.percentile_approx("_v", cuts, 4 * _RANGES).alias("_cuts")
@@ -165,36 +171,32 @@ def describe(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
 WHISKER_REACH = 1.5
 
 
-def _with_fences(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+def _with_fences(rows: DataFrame, quartiles: DataFrame, by: list[str]) -> DataFrame:
     reach = WHISKER_REACH * (F.col("q75") - F.col("q25"))
-    known = df.filter(F.col(value).isNotNull())
     return (
-        _with_group_columns(known, quantiles(df, value, QUARTILES, by), list(by))
+        _with_group_columns(rows, quartiles, by)
         .withColumn("_low_fence", F.col("q25") - reach)
         .withColumn("_high_fence", F.col("q75") + reach)
     )
 
 
 def box_summary(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Quartiles, whisker ends and number of outliers per group."""
-    inside = F.col(value).between(F.col("_low_fence"), F.col("_high_fence"))
+    """Quartiles, whisker ends and number of outliers per group, from the counted values."""
+    inside = F.col("_v").between(F.col("_low_fence"), F.col("_high_fence"))
+    counted = value_counts(df, value, by)
     return (
-        _with_fences(df, value, by)
+        _with_fences(counted, quantiles(df, value, QUARTILES, by), list(by))
         .groupBy(*by, *QUARTILES)
         .agg(
-            F.min(F.when(inside, F.col(value))).alias("whisker_low"),
-            F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-            F.count_if(~inside).alias("n_outliers"),
+            F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
+            F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
+            F.sum(F.when(inside, 0).otherwise(F.col("_c"))).alias("n_outliers"),
         )
     )
 
 
 def box_outliers(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Rows outside the fences of their group."""
-    fenced = _with_fences(df, value, by)
+    known = df.filter(F.col(value).isNotNull())
+    fenced = _with_fences(known, quantiles(df, value, QUARTILES, by), list(by))
     return fenced.filter(~F.col(value).between(F.col("_low_fence"), F.col("_high_fence"))).select(df.columns)
-
-
-def error_share(error: Column, target: Column) -> Column:
-    """Mean error relative to the mean target."""
-    return ratio(F.avg(error), F.avg(target))

@@ -414,14 +414,57 @@ def fill_model_two_features_error(inputs: Inputs) -> DataFrame:
     return rounded(fit_ridge(rows, analysis.FILL, analysis.MODEL_NUMERIC).evaluation(rows))
 
 
-@query(None)
+# All features: the normal equations are inverted by Gauss-Jordan steps on nested lists.
+# The matrix is symmetric and positive, so no pivot search is needed.
+_MODEL_LABELS = {
+    "competition": ("Betclic ÉLITE Playoffs", "EuroLeague"),
+    "jour_semaine": ("Monday", "Saturday", "Sunday", "Thursday", "Tuesday", "Wednesday"),
+}
+_MODEL_FEATURES = [*analysis.MODEL_NUMERIC, *(f"{c}_{v}" for c, labels in _MODEL_LABELS.items() for v in labels)]
+_ALL_FEATURES = f"""
+    WITH RECURSIVE d AS (
+        SELECT row_number() OVER () AS id, taux_remplissage AS y,
+               [CAST(rang_adversaire_avant AS DOUBLE), CAST(vacances_scolaires AS DOUBLE),
+                {", ".join(f"CAST({c} = '{v}' AS DOUBLE)" for c, labels in _MODEL_LABELS.items() for v in labels)}] AS x
+        FROM fact WHERE taux_remplissage IS NOT NULL AND rang_adversaire_avant IS NOT NULL),
+    size AS (SELECT count(*) AS n, avg(y) AS my FROM d),
+    v AS (SELECT id, y, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM d),
+    st AS (SELECT j, avg(v) AS m, stddev_pop(v) AS s FROM v GROUP BY j),
+    z AS (SELECT id, y, j, (v - m) / s AS z FROM v JOIN st USING (j)),
+    g AS (SELECT a.j AS i, b.j AS j, sum(a.z * b.z) + CASE WHEN a.j = b.j THEN 1 ELSE 0 END AS g
+          FROM z a JOIN z b USING (id) GROUP BY 1, 2),
+    rows AS (SELECT i, list(g ORDER BY j) || list(CASE WHEN i = j THEN 1.0 ELSE 0.0 END ORDER BY j) AS r FROM g GROUP BY i),
+    steps(k, m) AS (
+        SELECT 1, list(r ORDER BY i) FROM rows
+        UNION ALL
+        SELECT k + 1, list_transform(m, lambda r, i: list_transform(r, lambda e, j:
+            CASE WHEN i = k THEN e / r[k] ELSE e - r[k] * m[k][j] / m[k][k] END))
+        FROM steps WHERE k <= {len(_MODEL_FEATURES)}),
+    inv AS (SELECT i, j, m[i][j + {len(_MODEL_FEATURES)}] AS h
+            FROM steps, range(1, {len(_MODEL_FEATURES) + 1}) a(i), range(1, {len(_MODEL_FEATURES) + 1}) b(j)
+            WHERE k = {len(_MODEL_FEATURES) + 1}),
+    zy AS (SELECT j, sum(z * (y - my)) AS t FROM z, size GROUP BY j),
+    beta AS (SELECT i AS j, sum(h * t) AS c FROM inv JOIN zy USING (j) GROUP BY i)
+"""
+
+
+@query(f"""
+    SELECT * FROM ({_ALL_FEATURES}
+    SELECT {_MODEL_FEATURES!r}[j] AS feature, round(c, 6) AS coefficient FROM beta)""")
 def fill_model(inputs: Inputs) -> DataFrame:
     rows = _model_input(inputs)
     fit = fit_ridge(rows, analysis.FILL, analysis.MODEL_NUMERIC, analysis.MODEL_CATEGORICAL)
     return analysis.ranked_by_size(rounded(fit.ranking(inputs.spark)), "coefficient", ["feature"])
 
 
-@query(None)
+@query(f"""
+    SELECT * FROM ({_ALL_FEATURES},
+    fitted AS (SELECT id, any_value(y) AS y, any_value(my) + sum(z * c) AS f, any_value(n) AS n
+               FROM z JOIN beta USING (j), size GROUP BY id),
+    leverage AS (SELECT a.id, sum(a.z * h * b.z) AS l FROM z a JOIN inv ON inv.i = a.j JOIN z b ON b.id = a.id AND b.j = inv.j
+                 GROUP BY 1)
+    SELECT round(avg(e), 6) AS mae, round(avg(y), 6) AS mean_target, round(avg(e) / avg(y) * 100, 6) AS relative_error_pct
+    FROM (SELECT y, abs(y - f) / (1 - 1.0 / n - l) AS e FROM fitted JOIN leverage USING (id)))""")
 def fill_model_error(inputs: Inputs) -> DataFrame:
     rows = _model_input(inputs)
     fit = fit_ridge(rows, analysis.FILL, analysis.MODEL_NUMERIC, analysis.MODEL_CATEGORICAL)
