@@ -38,7 +38,7 @@ def query(sql: str | None = None):
     return register
 
 
-def rounded(df: DataFrame, digits: int = 6, **by_column: int) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 9, **by_column: int) -> DataFrame:
     """DOUBLE columns rounded, so that the order of a distributed sum does not show."""
     return df.select(
         *(

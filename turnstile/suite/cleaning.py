@@ -52,7 +52,7 @@ def sold_tickets(inputs: Inputs) -> DataFrame:
 
 
 @query("""
-    SELECT n_total, n_valid, round(n_valid * CAST(100.0 AS DOUBLE) / n_total, 6) AS kept_pct FROM (
+    SELECT n_total, n_valid, round(n_valid * CAST(100.0 AS DOUBLE) / n_total, 9) AS kept_pct FROM (
         SELECT count(*) AS n_total,
                count(*) FILTER (WHERE order_status_id = 1 AND NOT product_is_cancelled) AS n_valid FROM tickets)""")
 def kept_share(inputs: Inputs) -> DataFrame:
@@ -169,7 +169,7 @@ def fact_checks(inputs: Inputs) -> DataFrame:
 
 
 @query("""
-    SELECT "check", round(value, 6) AS value, bound, value < bound AS passed FROM (
+    SELECT "check", round(value, 9) AS value, bound, value < bound AS passed FROM (
         SELECT 'till_duplicates' AS "check", (count(*) - count(DISTINCT ligne_id)) * CAST(1.0 AS DOUBLE) / count(*) AS value,
                CAST(0.01 AS DOUBLE) AS bound FROM till
         UNION ALL SELECT 'till_dates_unreadable', count(*) FILTER (WHERE date_vente IS NULL) * CAST(1.0 AS DOUBLE) / count(*),
@@ -179,7 +179,7 @@ def till_checks(inputs: Inputs) -> DataFrame:
 
 
 @query("""
-    SELECT "check", round(value, 6) AS value, bound, value < bound AS passed FROM (
+    SELECT "check", round(value, 9) AS value, bound, value < bound AS passed FROM (
         SELECT 'scans_without_result' AS "check",
                count(*) FILTER (WHERE resultat IS NULL) * CAST(1.0 AS DOUBLE) / count(*) AS value,
                CAST(0.01 AS DOUBLE) AS bound FROM scans)""")

@@ -17,7 +17,7 @@ from turnstile.suite.standins import Inputs
 
 
 @query("""
-    SELECT * REPLACE (round(revenu_billetterie, 2) AS revenu_billetterie, round(precipitation, 6) AS precipitation)
+    SELECT * REPLACE (round(revenu_billetterie, 2) AS revenu_billetterie, round(precipitation, 9) AS precipitation)
     FROM fact""")
 def fact_match(inputs: Inputs) -> DataFrame:
     return rounded(inputs.fact(), revenu_billetterie=2)
@@ -128,13 +128,13 @@ def fill_by_holiday(inputs: Inputs) -> DataFrame:
     return analysis.fill_by(inputs.fact(), "vacances_scolaires", 3).select("vacances_scolaires", "mean", "count")
 
 
-@query("SELECT vacances_scolaires, round(avg(rang_adversaire_avant), 6) AS rang_moyen FROM fact GROUP BY 1")
+@query("SELECT vacances_scolaires, round(avg(rang_adversaire_avant), 9) AS rang_moyen FROM fact GROUP BY 1")
 def opponent_rank_by_holiday(inputs: Inputs) -> DataFrame:
     return rounded(analysis.opponent_rank_by_holiday(inputs.fact()))
 
 
 @query("""
-    SELECT pluie, round(avg(taux_remplissage), 6) AS mean, count(taux_remplissage) AS count
+    SELECT pluie, round(avg(taux_remplissage), 9) AS mean, count(taux_remplissage) AS count
     FROM kickoff GROUP BY 1""")
 def fill_by_rain(inputs: Inputs) -> DataFrame:
     return rounded(analysis.fill_by(analysis.with_rain(inputs.fact()), "pluie").select("pluie", "mean", "count"))
@@ -146,7 +146,7 @@ def rainy_matches(inputs: Inputs) -> DataFrame:
 
 
 @query("""
-    SELECT creneau, round(avg(taux_remplissage), 6) AS mean, count(taux_remplissage) AS count
+    SELECT creneau, round(avg(taux_remplissage), 9) AS mean, count(taux_remplissage) AS count
     FROM kickoff GROUP BY 1""")
 def fill_by_slot(inputs: Inputs) -> DataFrame:
     return rounded(analysis.fill_by(analysis.with_kickoff(inputs.fact()), "creneau").select("creneau", "mean", "count"))
@@ -166,14 +166,14 @@ def slot_by_weekday(inputs: Inputs) -> DataFrame:
 
 
 @query("""
-    SELECT competition, round(avg(taux_remplissage), 6) AS mean, min(date) AS first_date
+    SELECT competition, round(avg(taux_remplissage), 9) AS mean, min(date) AS first_date
     FROM fact WHERE taux_remplissage IS NOT NULL GROUP BY 1""")
 def fill_by_competition_over_time(inputs: Inputs) -> DataFrame:
     return rounded(analysis.fill_by_competition_over_time(inputs.fact()))
 
 
 @query("""
-    SELECT jour_semaine, round(avg(taux_remplissage), 6) AS mean,
+    SELECT jour_semaine, round(avg(taux_remplissage), 9) AS mean,
            CAST(isodow(min(date)) - 1 AS INTEGER) AS position
     FROM fact WHERE taux_remplissage IS NOT NULL GROUP BY 1""")
 def fill_by_weekday_in_week_order(inputs: Inputs) -> DataFrame:
@@ -196,7 +196,7 @@ def competition_groups(inputs: Inputs) -> DataFrame:
 
 def _correlation_rows(*columns: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS variable, round(corr(taux_remplissage, {c}), 6) AS correlation FROM kickoff" for c in columns
+        f"SELECT '{c}' AS variable, round(corr(taux_remplissage, {c}), 9) AS correlation FROM kickoff" for c in columns
     )
 
 
@@ -217,19 +217,19 @@ def fill_and_kickoff_correlation(inputs: Inputs) -> DataFrame:
 
 
 @query("""
-    SELECT round(corr(taux_remplissage, taux_annulation), 6) AS correlation FROM fact
+    SELECT round(corr(taux_remplissage, taux_annulation), 9) AS correlation FROM fact
     WHERE taux_annulation IS NOT NULL""")
 def cancellation_correlation(inputs: Inputs) -> DataFrame:
     return rounded(analysis.cancellation_correlation(inputs.fact()))
 
 
-def _description(value: str, table: str, by: str = "") -> str:
+def _description(value: str, table: str, by: str = "", digits: int = 9) -> str:
     keys = f"{by}, " if by else ""
     return f"""
-    SELECT {keys}count({value}) AS count, round(avg({value}), 6) AS mean, round(stddev_samp({value}), 6) AS std,
-           round(min({value}), 6) AS min, round(quantile_cont({value}, 0.25), 6) AS q25,
-           round(quantile_cont({value}, 0.5), 6) AS q50, round(quantile_cont({value}, 0.75), 6) AS q75,
-           round(max({value}), 6) AS max
+    SELECT {keys}count({value}) AS count, round(avg({value}), {digits}) AS mean, round(stddev_samp({value}), {digits}) AS std,
+           round(min({value}), {digits}) AS min, round(quantile_cont({value}, 0.25), {digits}) AS q25,
+           round(quantile_cont({value}, 0.5), {digits}) AS q50, round(quantile_cont({value}, 0.75), {digits}) AS q75,
+           round(max({value}), {digits}) AS max
     FROM {table} {f"GROUP BY {by}" if by else ""}"""
 
 
@@ -243,10 +243,10 @@ def describe_cancellation(inputs: Inputs) -> DataFrame:
     return rounded(stats.describe(inputs.fact(), "taux_annulation"))
 
 
-@query(_description("amount", "tickets", "order_status_id"))
+@query(_description("amount", "tickets", "order_status_id", digits=4))
 def describe_ticket_prices(inputs: Inputs) -> DataFrame:
     """Quantiles over every ticket, in groups that each hold about a third of the rows."""
-    return rounded(stats.describe(inputs.tickets(), "amount", ["order_status_id"]))
+    return rounded(stats.describe(inputs.tickets(), "amount", ["order_status_id"]), 4)
 
 
 def _boxes(value: str, table: str, by: str) -> str:
@@ -255,9 +255,9 @@ def _boxes(value: str, table: str, by: str) -> str:
                       quantile_cont({value}, 0.75) AS q75 FROM {table} WHERE {value} IS NOT NULL GROUP BY 1),
     f AS (SELECT t.{by}, t.{value} AS v, q25, q50, q75, q25 - 1.5 * (q75 - q25) AS lo, q75 + 1.5 * (q75 - q25) AS hi
           FROM {table} t JOIN q ON q.{by} = t.{by} WHERE t.{value} IS NOT NULL)
-    SELECT {by}, round(q25, 6) AS q25, round(q50, 6) AS q50, round(q75, 6) AS q75,
-           round(min(v) FILTER (WHERE v BETWEEN lo AND hi), 6) AS whisker_low,
-           round(max(v) FILTER (WHERE v BETWEEN lo AND hi), 6) AS whisker_high,
+    SELECT {by}, round(q25, 9) AS q25, round(q50, 9) AS q50, round(q75, 9) AS q75,
+           round(min(v) FILTER (WHERE v BETWEEN lo AND hi), 9) AS whisker_low,
+           round(max(v) FILTER (WHERE v BETWEEN lo AND hi), 9) AS whisker_high,
            count(*) FILTER (WHERE v NOT BETWEEN lo AND hi) AS n_outliers
     FROM f GROUP BY {by}, q25, q50, q75"""
 
@@ -294,8 +294,8 @@ def fill_outliers_by_competition(inputs: Inputs) -> DataFrame:
 
 
 @query("""
-    SELECT round(regr_slope(taux_remplissage, rang_adversaire_avant), 6) AS slope,
-           round(regr_intercept(taux_remplissage, rang_adversaire_avant), 6) AS intercept FROM fact""")
+    SELECT round(regr_slope(taux_remplissage, rang_adversaire_avant), 9) AS slope,
+           round(regr_intercept(taux_remplissage, rang_adversaire_avant), 9) AS intercept FROM fact""")
 def rank_line(inputs: Inputs) -> DataFrame:
     return rounded(analysis.rank_line(inputs.fact()))
 
@@ -337,8 +337,8 @@ def rank_points(inputs: Inputs) -> DataFrame:
 
 
 @query("""
-    SELECT round(avg(taux_remplissage), 6) AS remplissage_moyen, min(taux_remplissage) AS remplissage_min,
-           max(taux_remplissage) AS remplissage_max, round(avg(taux_annulation), 6) AS annulation_moyenne,
+    SELECT round(avg(taux_remplissage), 9) AS remplissage_moyen, min(taux_remplissage) AS remplissage_min,
+           max(taux_remplissage) AS remplissage_max, round(avg(taux_annulation), 9) AS annulation_moyenne,
            count(*) AS n_matchs
     FROM fact""")
 def scorecard(inputs: Inputs) -> DataFrame:
@@ -360,13 +360,13 @@ def scorecard_text(inputs: Inputs) -> DataFrame:
 
 
 @query("""
-    SELECT match_id, victoire_pbb, round(note_globale_moy, 6) AS note_globale_moy, n_reponses FROM match_scores""")
+    SELECT match_id, victoire_pbb, round(note_globale_moy, 9) AS note_globale_moy, n_reponses FROM match_scores""")
 def match_scores(inputs: Inputs) -> DataFrame:
     return rounded(analysis.match_scores(inputs.fact(), inputs.survey()))
 
 
 @query("""
-    SELECT victoire_pbb, round(avg(note_globale_moy), 6) AS note_moyenne, count(*) AS n_matchs,
+    SELECT victoire_pbb, round(avg(note_globale_moy), 9) AS note_moyenne, count(*) AS n_matchs,
            CASE victoire_pbb WHEN 1 THEN 'Victoire' WHEN 0 THEN 'Défaite' END AS resultat
     FROM match_scores GROUP BY 1""")
 def score_by_result(inputs: Inputs) -> DataFrame:
@@ -397,8 +397,8 @@ _TWO_FEATURES = """
 
 @query(f"""
     SELECT * FROM ({_TWO_FEATURES}
-    SELECT 'rang_adversaire_avant' AS feature, round(ca, 6) AS coefficient FROM c
-    UNION ALL SELECT 'vacances_scolaires', round(cb, 6) FROM c)""")
+    SELECT 'rang_adversaire_avant' AS feature, round(ca, 9) AS coefficient FROM c
+    UNION ALL SELECT 'vacances_scolaires', round(cb, 9) FROM c)""")
 def fill_model_two_features(inputs: Inputs) -> DataFrame:
     fit = fit_ridge(_model_input(inputs), analysis.FILL, analysis.MODEL_NUMERIC)
     return rounded(fit.ranking(inputs.spark))
@@ -406,7 +406,7 @@ def fill_model_two_features(inputs: Inputs) -> DataFrame:
 
 @query(f"""
     SELECT * FROM ({_TWO_FEATURES}
-    SELECT round(avg(e), 6) AS mae, round(avg(y), 6) AS mean_target, round(avg(e) / avg(y) * 100, 6) AS relative_error_pct
+    SELECT round(avg(e), 9) AS mae, round(avg(y), 9) AS mean_target, round(avg(e) / avg(y) * 100, 9) AS relative_error_pct
     FROM (SELECT y, abs(y - c.my - a * ca - b * cb)
                     / (1 - (1.0 / c.n + a * a * iaa + 2 * a * b * iab + b * b * ibb)) AS e FROM z, c))""")
 def fill_model_two_features_error(inputs: Inputs) -> DataFrame:
@@ -450,7 +450,7 @@ _ALL_FEATURES = f"""
 
 @query(f"""
     SELECT * FROM ({_ALL_FEATURES}
-    SELECT {_MODEL_FEATURES!r}[j] AS feature, round(c, 6) AS coefficient FROM beta)""")
+    SELECT {_MODEL_FEATURES!r}[j] AS feature, round(c, 9) AS coefficient FROM beta)""")
 def fill_model(inputs: Inputs) -> DataFrame:
     rows = _model_input(inputs)
     fit = fit_ridge(rows, analysis.FILL, analysis.MODEL_NUMERIC, analysis.MODEL_CATEGORICAL)
@@ -463,7 +463,7 @@ def fill_model(inputs: Inputs) -> DataFrame:
                FROM z JOIN beta USING (j), size GROUP BY id),
     leverage AS (SELECT a.id, sum(a.z * h * b.z) AS l FROM z a JOIN inv ON inv.i = a.j JOIN z b ON b.id = a.id AND b.j = inv.j
                  GROUP BY 1)
-    SELECT round(avg(e), 6) AS mae, round(avg(y), 6) AS mean_target, round(avg(e) / avg(y) * 100, 6) AS relative_error_pct
+    SELECT round(avg(e), 9) AS mae, round(avg(y), 9) AS mean_target, round(avg(e) / avg(y) * 100, 9) AS relative_error_pct
     FROM (SELECT y, abs(y - f) / (1 - 1.0 / n - l) AS e FROM fitted JOIN leverage USING (id)))""")
 def fill_model_error(inputs: Inputs) -> DataFrame:
     rows = _model_input(inputs)
