@@ -85,3 +85,21 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = _planned(QUERIES["rank_points"](spark, FOLDER))
     assert "PushedFilters: [IsNotNull" in plan or "EqualNullSafe" in plan or "EqualTo(o_orderstatus,F)" in plan
     assert "p_name" not in plan
+
+
+def test_drops_of_one_large_order_stay_small(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from turnstile.suite.standins import DROP_SIZE, Inputs
+
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet").limit(3 * DROP_SIZE + 7)
+    lines.withColumn("l_orderkey", F.lit(1).cast("bigint")).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    documents = Inputs(spark, str(tmp_path)).order_documents()
+    products = F.flatten(F.col("orders.products"))
+    per_drop = documents.groupBy("drop").agg(F.sum(F.size(F.flatten(products["tickets"]))).alias("n"))
+    assert [r.n for r in per_drop.orderBy("drop").collect()] == [DROP_SIZE] * 3 + [7]
+    path = f"{tmp_path}/drops"
+    documents.select("orders").write.json(path)
+    back = spark.read.schema("orders " + documents.schema["orders"].dataType.simpleString()).json(path)
+    tickets = back.select(F.explode("orders").alias("o")).select(F.explode("o.products").alias("p"))
+    assert tickets.select(F.explode("p.tickets")).count() == 3 * DROP_SIZE + 7

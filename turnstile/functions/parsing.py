@@ -17,7 +17,7 @@ _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 def strip(text: Column) -> Column:
     """Remove leading and trailing white space of any kind."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\r\v\f"))
 
 
 def year_first_date(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile import schemas
@@ -39,9 +39,14 @@ def read_order_drops(spark: SparkSession, path: str, one_document_per_file: bool
     )
 
 
+def is_unreadable() -> Column:
+    """Whether a document of an order drop could not be parsed."""
+    return F.col(_CORRUPT).isNotNull()
+
+
 def sound_drops(drops: DataFrame, one_document_per_file: bool = True) -> DataFrame:
     """Drops of files without any unreadable document: a file counts as a whole or not at all."""
-    readable = drops.filter(F.col(_CORRUPT).isNull())
+    readable = drops.filter(~is_unreadable())
     if one_document_per_file:
         return readable
     return without_files(readable, unreadable_files(drops), "_path")
@@ -53,7 +58,7 @@ def unreadable_files(drops: DataFrame) -> DataFrame:
     Spark parses documents only when a data column is asked for, hence the test on ``orders``.
     """
     parsed = F.coalesce(F.size("orders"), F.lit(0)) >= 0
-    return drops.filter(F.col(_CORRUPT).isNotNull() & parsed).select("filename", "_path").distinct()
+    return drops.filter(is_unreadable() & parsed).select("filename", "_path").distinct()
 
 
 def flatten_tickets(drops: DataFrame) -> DataFrame:

@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.sources.csv_files import scan_files
 from turnstile.sources.files import list_files, same_path
-from turnstile.sources.json_files import flatten_tickets, read_order_drops, unreadable_files
+from turnstile.sources.json_files import is_unreadable, read_order_drops
+
+
+def _tickets_in_document() -> Column:
+    """Number of tickets in a drop document, from the sizes of its lists."""
+
+    def joined(lists: Column) -> Column:
+        return F.flatten(F.filter(lists, lambda x: x.isNotNull()))
+
+    products = joined(F.col("orders.products"))
+    return F.coalesce(F.size(joined(products["tickets"])), F.lit(0))
 
 
 def order_file_report(spark: SparkSession, path: str, one_document_per_file: bool = True) -> DataFrame | None:
     """Per order file: size, tickets read, and ``ok``, ``corrupt`` or ``empty``.
 
-    The listing comes from the file system, so files that give no row at all
-    are reported too.
+    The drops are parsed once. The listing comes from the file index, so files
+    that give no row at all are reported too.
     """
     listing = list_files(spark, path)
     if listing is None:
         return None
-    drops = read_order_drops(spark, path, one_document_per_file)
-    bad = unreadable_files(drops).select(same_path(F.col("_path")).alias("path"), F.lit(True).alias("_bad"))
-    tickets = flatten_tickets(drops).groupBy("_path").agg(F.count("*").alias("_n"))
-    tickets = tickets.select(same_path(F.col("_path")).alias("path"), "_n")
-    state = (
-        F.when(F.col("length") == 0, "empty").when(F.coalesce("_bad", F.lit(False)), "corrupt").otherwise("ok")
+    read = (
+        read_order_drops(spark, path, one_document_per_file)
+        .select(same_path(F.col("_path")).alias("path"), _tickets_in_document().alias("_n"), is_unreadable().alias("_bad"))
+        .groupBy("path")
+        .agg(F.sum("_n").alias("_n"), F.max("_bad").alias("_bad"))
     )
+    state = F.when(F.col("length") == 0, "empty").when(F.coalesce("_bad", F.lit(False)), "corrupt").otherwise("ok")
     return (
-        listing.join(bad, "path", "left")
-        .join(tickets, "path", "left")
+        listing.join(read, "path", "left")
         .withColumn("state", state)
         .select(
             "filename",
