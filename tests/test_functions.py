@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 import duckdb
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
