@@ -11,6 +11,7 @@ from turnstile.llm.decontaminate import contamination
 from turnstile.llm.exact_dedup import exact_duplicates
 from turnstile.llm.mixing import mixed
 from turnstile.llm.sharding import sharded
+from turnstile.llm.simhash import linked_documents
 from turnstile.llm.url_filter import Rule, canonical, host_of, judged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +185,8 @@ def op8_hash_thresholds(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op9_winnowed_passages(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op10_simhash_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return linked_documents(table(spark, folder, "documents"))
