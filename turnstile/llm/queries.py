@@ -12,6 +12,7 @@ from turnstile.llm.exact_dedup import exact_duplicates
 from turnstile.llm.mixing import mixed
 from turnstile.llm.sharding import sharded
 from turnstile.llm.simhash import linked_documents
+from turnstile.llm.toxicity import toxicity
 from turnstile.llm.url_filter import Rule, canonical, host_of, judged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +191,8 @@ def op9_winnowed_passages(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_simhash_trees(spark: SparkSession, folder: str) -> DataFrame:
     return linked_documents(table(spark, folder, "documents"))
+
+
+@query()
+def op4_restored_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
