@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from turnstile.llm.decontaminate import contamination
 from turnstile.llm.exact_dedup import exact_duplicates
+from turnstile.llm.language import languages
 from turnstile.llm.mixing import mixed
 from turnstile.llm.sharding import sharded
 from turnstile.llm.simhash import linked_documents
@@ -196,3 +197,8 @@ def op10_simhash_trees(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_restored_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op1_partial_matching_language(spark: SparkSession, folder: str) -> DataFrame:
+    return languages(table(spark, folder, "documents"))
