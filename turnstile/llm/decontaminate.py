@@ -36,12 +36,6 @@ def _word_hashes(text: Column) -> Column:
     return F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _gram(step: int) -> Column:
-    """Hash of the words from t + step on; NULL where the text ends before."""
-    words = [F.get("hashes", F.col("t") + (step + i)) for i in range(GRAM)]
-    return F.when(words[0].isNotNull() & words[-1].isNotNull(), F.xxhash64(*words))
-
-
 def _starts(rows: DataFrame, length: int) -> DataFrame:
     """A row for each t at which ``length`` words begin."""
     last = F.size("hashes") - length
@@ -55,13 +49,17 @@ def fingerprints(rows: DataFrame) -> DataFrame:
     the hash that enters the row is the new smallest, or where the one that left it was.
     """
     names = [c for c in rows.columns if c != "hashes"]
-    wide = _starts(rows, WINDOW).select(*names, "hashes", "t", _gram(-1).alias("left"), *(_gram(j).alias(f"g{j}") for j in range(PICK)))
-    inner = F.least(*(F.col(f"g{j}") for j in range(PICK - 1)))  # in this row and in the one before
-    last = F.col(f"g{PICK - 1}")
-    new = (F.col("t") == 0) | (last <= inner) | (F.col("left") < inner)
-    mark = F.least(inner, last)
-    step = F.coalesce(*(F.when(F.col(f"g{j}") == mark, j) for j in reversed(range(PICK))))
-    return wide.where(new).select(*names, "hashes", mark.alias("mark"), (F.col("t") + step).alias("at"))
+    gram = lambda i: F.xxhash64(*(F.get("hashes", i + j) for j in range(GRAM)))
+    grams = F.transform(F.sequence(F.lit(0), F.size("hashes") - GRAM), gram).alias("grams")
+    hashed = rows.where(F.size("hashes") >= WINDOW).select(*names, "hashes", grams)
+    wide = hashed.withColumn("t", F.explode(F.sequence(F.lit(0), F.size("grams") - PICK)))
+    here = [F.get("grams", F.col("t") + j) for j in range(PICK)]
+    left = F.get("grams", F.col("t") - 1)
+    inner = F.least(*here[:-1])  # in this row and in the one before
+    new = (F.col("t") == 0) | (here[-1] <= inner) | (left < inner)
+    marked = wide.where(new).select(*names, "hashes", "grams", "t", F.least(*here).alias("mark"))
+    step = F.coalesce(*(F.when(here[j] == F.col("mark"), j) for j in reversed(range(PICK))))
+    return marked.select(*names, "hashes", "mark", (F.col("t") + step).alias("at"))
 
 
 def _around(rows: DataFrame) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from turnstile.llm.decontaminate import contamination
 from turnstile.llm.exact_dedup import exact_duplicates
+from turnstile.llm.html_text import page_texts
 from turnstile.llm.language import languages
 from turnstile.llm.mixing import mixed
+from turnstile.llm.quality import quality
 from turnstile.llm.sharding import sharded
 from turnstile.llm.simhash import linked_documents
 from turnstile.llm.toxicity import toxicity
@@ -202,3 +204,15 @@ def op4_restored_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op1_partial_matching_language(spark: SparkSession, folder: str) -> DataFrame:
     return languages(table(spark, folder, "documents"))
+
+
+@query()
+def op3_tree_marginals(spark: SparkSession, folder: str) -> DataFrame:
+    return page_texts(table(spark, folder, "pages"))
+
+
+@query()
+def op5_site_shrinkage(spark: SparkSession, folder: str) -> DataFrame:
+    source = F.col("source")
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return quality(docs, labels, host=source, path=F.concat_ws("/", source, F.col("lang")))

@@ -40,6 +40,7 @@ FIT_ROWS = 20_000
 TRIGRAMS = 200_000
 BEGINNINGS = range(4, 8)  # letters of a word's beginning that make a feature
 HIT = 0.98  # share of toxic texts among those with a toxic word
+SPREADS = (2.0, 4.0, 8.0, 16.0, 32.0, 64.0, 1e4)
 EVIDENCE = 0.1  # a feature below this says too little to be kept
 CACHED = 200_000
 
@@ -214,30 +215,35 @@ def _features(words: set[str]) -> set[str]:
     return found
 
 
-def mixture(seen: list[tuple[int, int, int]]) -> tuple[float, float]:
-    """Share of toxic features and the toxic share of all others, by expectation maximisation.
+def toxic_chances(seen: list[tuple[int, int, int]]) -> dict[tuple[int, int], float]:
+    """For features of n texts, k of them toxic: the chance that they are toxic words, times HIT.
 
-    ``seen`` says that m features occur in n texts, k of them toxic. A toxic feature's
-    texts are toxic with the fixed chance HIT; any other's with a common one.
+    ``seen`` says that m features have n and k. A toxic word's texts are toxic with the
+    fixed chance HIT; any other feature has a toxic share of its own, beta distributed
+    around the common one. How many features are toxic, and how far the shares of the
+    others spread, is fitted: expectation maximisation for each of SPREADS, the likeliest kept.
     """
-    share, base = 1e-3, sum(k * m for _, k, m in seen) / max(1, sum(n * m for n, _, m in seen))
+    base = sum(k * m for _, k, m in seen) / max(1, sum(n * m for n, _, m in seen))
     base = min(max(base, 1e-4), 0.5)
-    for _ in range(50):
-        toxic, in_rest, in_all = 0.0, 1e-9, 1e-9
-        for n, k, m in seen:
-            chance = 1 / (1 + (1 - share) / share * (base / HIT) ** k * ((1 - base) / (1 - HIT)) ** min(n - k, 150))
-            toxic += m * chance
-            in_rest += m * (1 - chance) * k
-            in_all += m * (1 - chance) * n
-        share = min(max(toxic / max(1, sum(m for *_, m in seen)), 1e-6), 0.5)
-        base = min(max(in_rest / in_all, 1e-4), 0.5)
-    return share, base
-
-
-def toxic_chance(n: Column, k: Column, share: float, base: float) -> Column:
-    """The chance that a feature of n texts, k of them toxic, is toxic, times HIT."""
-    odds = math.log((1 - share) / share) + k * math.log(base / HIT) + (n - k) * math.log((1 - base) / (1 - HIT))
-    return HIT / (1 + F.exp(F.least(odds, F.lit(700.0))))
+    total = max(1, sum(m for *_, m in seen))
+    best: tuple[float, dict[tuple[int, int], float]] = (-math.inf, {})
+
+    def beta(x: float, y: float) -> float:
+        return math.lgamma(x) + math.lgamma(y) - math.lgamma(x + y)
+
+    for spread in SPREADS:
+        a, b = base * spread, (1 - base) * spread
+        other = {(n, k): beta(a + k, b + n - k) - beta(a, b) for n, k, _ in seen}
+        toxic = {(n, k): k * math.log(HIT) + (n - k) * math.log(1 - HIT) for n, k, _ in seen}
+        share = 1e-3
+        for _ in range(40):
+            odds = {p: math.exp(min(50.0, toxic[p] - other[p])) * share / (1 - share) for p in other}
+            share = sum(m * odds[n, k] / (1 + odds[n, k]) for n, k, m in seen) / total
+            share = min(max(share, 1e-6), 0.5)
+        fit_of = sum(m * (other[n, k] + math.log(1 - share) + math.log1p(odds[n, k])) for n, k, m in seen)
+        if fit_of > best[0]:
+            best = (fit_of, {p: HIT * o / (1 + o) for p, o in odds.items()})
+    return best[1]
 
 
 def fit(labelled: DataFrame, model: CharacterModel, rows: int = FIT_ROWS) -> dict[str, float]:
@@ -263,9 +269,12 @@ def fit(labelled: DataFrame, model: CharacterModel, rows: int = FIT_ROWS) -> dic
     ).where("n > 1").write.parquet(path)
     counted = spark.read.parquet(path).where("feature <> ''")
     seen = counted.groupBy("n", "k").agg(F.count(F.lit(1)).alias("m"))
-    share, base = mixture([(r["n"], r["k"], r["m"]) for r in seen.collect()])  # fewer rows than texts learnt from
-    weight = toxic_chance(F.col("n"), F.col("k"), share, base)
-    kept = counted.select("feature", weight.alias("weight")).where(F.col("weight") >= EVIDENCE)
+    chances = toxic_chances([(r["n"], r["k"], r["m"]) for r in seen.collect()])  # fewer rows than texts learnt from
+    telling = [(n, k, weight) for (n, k), weight in chances.items() if weight >= EVIDENCE]
+    if not telling:
+        return {}
+    table = F.broadcast(spark.createDataFrame(telling, "n long, k long, weight double"))
+    kept = counted.join(table, ["n", "k"]).select("feature", "weight")
     return {r["feature"]: r["weight"] for r in kept.collect()}  # of at most FIT_ROWS texts
 
 
