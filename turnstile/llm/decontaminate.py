@@ -123,17 +123,20 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), zero, add)["total"]
 
 
-def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per document: its words, those inside any window of an item, and the items that hit it."""
+def text_key() -> Column:
+    """What identifies a text: hits belong to texts, however many documents repeat one."""
+    return F.md5(whole(F.col("text")).cast("binary"))
+
+
+def hit_texts(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The texts that hold a window of an item: text_md5, n_hit words inside windows, the sorted item_ids."""
     spark = docs.sparkSession
     path = scratch_path(spark, "item-windows")
     item_windows(items).write.parquet(path)
     windows = spark.read.parquet(path)
     lengths = [r[0] for r in windows.select(F.size("window").alias("n")).distinct().collect()]  # at most WINDOW
 
-    # hits belong to texts: however many documents repeat one, it is one row here
-    text = F.md5(whole(F.col("text")).cast("binary")).alias("text_md5")
-    rows = docs.select(text, _word_hashes(F.col("text")).alias("hashes"))
+    rows = docs.select(text_key().alias("text_md5"), _word_hashes(F.col("text")).alias("hashes"))
     hits = _long_hits(rows, windows)
     for length in sorted(n for n in lengths if n < WINDOW):
         hits = hits.unionAll(_short_hits(rows, windows, length))
@@ -141,22 +144,28 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     hits.groupBy("text_md5").agg(
         F.collect_set(F.struct("start", "length")).alias("spans"), F.collect_set("key").alias("keys")
     ).select("text_md5", _covered(F.col("spans")).cast("long").alias("n_hit"), "keys").write.parquet(path)
-    hit_texts = spark.read.parquet(path)
+    found = spark.read.parquet(path)
 
     named = windows.where("item_id is not null").select("key", "item_id")
     ids = (
-        hit_texts.select("text_md5", F.explode("keys").alias("key"))
+        found.select("text_md5", F.explode("keys").alias("key"))
         .join(named, "key")
         .groupBy("text_md5")
         .agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     )
     path = scratch_path(spark, "judged-texts")
-    hit_texts.select("text_md5", "n_hit").join(ids, "text_md5", "left").write.parquet(path)
+    found.select("text_md5", "n_hit").join(ids, "text_md5", "left").write.parquet(path)
+    return spark.read.parquet(path)
+
 
-    counted = docs.select("doc_id", text, F.size(_word_hashes(F.col("text"))).cast("long").alias("n_words"))
+def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per document: its words, those inside any window of an item, and the items that hit it."""
+    counted = docs.select(
+        "doc_id", text_key().alias("text_md5"), F.size(_word_hashes(F.col("text"))).cast("long").alias("n_words")
+    )
     ids_of = F.coalesce("item_ids", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return counted.join(spark.read.parquet(path), "text_md5", "left").select(
+    return counted.join(hit_texts(docs, items), "text_md5", "left").select(
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
@@ -164,3 +173,9 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.sha2(F.array_join(ids_of, ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def without_passages(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents without a window of an item, all columns as they are."""
+    found = hit_texts(docs, items).select(F.col("text_md5").alias("_text_md5"))
+    return docs.join(found, text_key() == F.col("_text_md5"), "left_anti")

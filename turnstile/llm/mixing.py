@@ -101,17 +101,11 @@ def thresholds(rows: DataFrame, needs: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def mixed(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """Every document with the words that the mix takes of it, repeats counted.
-
-    A source whose target is between one and two times its size gives each document
-    once and those up to the threshold once more.
-    """
+def mix_plan(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """One row per source: source_size, target, whole ``times`` for every document, ``threshold`` for once more."""
     spark = docs.sparkSession
     path = scratch_path(spark, "word-counts")
-    docs.select(
-        "doc_id", "source", document_hash(F.col("doc_id")).alias("hash"), word_count(F.col("text")).alias("size")
-    ).write.parquet(path)
+    docs.select("source", document_hash(F.col("doc_id")).alias("hash"), word_count(F.col("text")).alias("size")).write.parquet(path)
     rows = spark.read.parquet(path)
     path = scratch_path(spark, "targets")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -122,20 +116,41 @@ def mixed(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFrame:
     targets = spark.read.parquet(path)
     limits = thresholds(rows, targets).select(F.col("source").alias("_limited"), "threshold")
     path = scratch_path(spark, "plan")
+    full = F.col("times") >= most
     targets.join(limits, F.col("source").eqNullSafe(F.col("_limited")), "left").select(
         F.col("source").alias("_source"),
-        "source_size",
-        "target",
-        "times",
-        F.coalesce("threshold", F.lit("g")).alias("threshold"),  # never crossed: all
+        F.col("source_size").alias("_source_size"),
+        F.col("target").alias("_target"),
+        F.col("times").alias("_times"),
+        # a source never crossed gives all once more, a full one none
+        F.when(full, "").otherwise(F.coalesce("threshold", F.lit("g"))).alias("_threshold"),
     ).write.parquet(path)
-    plan = spark.read.parquet(path)
-    once_more = (F.col("hash") <= F.col("threshold")).cast("long")
-    return rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).select(
+    return spark.read.parquet(path)
+
+
+def planned(docs: DataFrame, **limits: float) -> DataFrame:
+    """All columns of the documents, the plan of their source (``_source`` ..) and ``_taken``, how often each is in the mix."""
+    once_more = (document_hash(F.col("doc_id")) <= F.col("_threshold")).cast("long")
+    plan = mix_plan(docs, **limits)
+    return docs.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_taken", F.col("_times") + once_more)
+
+
+def mixed(docs: DataFrame, **limits: float) -> DataFrame:
+    """Every document with the words that the mix takes of it, repeats counted."""
+    size = word_count(F.col("text"))
+    rows = planned(docs.select("doc_id", "source", "text"), **limits)
+    return rows.select(
         "doc_id",
         "source",
-        "size",
-        "source_size",
-        "target",
-        (F.col("times") + F.when(F.col("times") >= most, 0).otherwise(once_more)).alias("times"),
-    ).withColumn("taken", F.col("size") * F.col("times"))
+        size.alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (size * F.col("_taken")).alias("taken"),
+    )
+
+
+def mixture(docs: DataFrame, **limits: float) -> DataFrame:
+    """The mix itself: each document as often as it is taken, all columns as they are."""
+    rows = planned(docs, **limits).where("_taken > 0")
+    repeated = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_taken")))
+    return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))

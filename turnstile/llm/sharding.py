@@ -81,20 +81,22 @@ def numbered(placed: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
-    """Every document with its shard and slot; equal texts share a shard."""
+def shard_documents(docs: DataFrame, shards: int = 16, keep: list[str] | None = None) -> DataFrame:
+    """Every document with its size, CRC, shard and slot beside the ``keep`` columns; equal texts share a shard."""
     spark = docs.sparkSession
     text = whole(F.col("text"))
+    made = {
+        "size": (F.octet_length(text) + 1).cast("long"),
+        "text_crc32": F.crc32(text.cast("binary")),
+        "group": F.xxhash64(F.col("text").isNull(), text),
+    }
+    names = [c for c in keep or ["doc_id"] if c not in (*made, "shard", "block", "first", "slot")]
+    rows = docs.select(*(F.col(f"`{c}`") for c in names), *(c.alias(n) for n, c in made.items()))
     path = scratch_path(spark, "sizes")
-    docs.select(
-        "doc_id",
-        (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(F.col("text").isNull(), text).alias("group"),
-    ).write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows.select("group", "size").write.parquet(path)
+    sizes = spark.read.parquet(path)
     path = scratch_path(spark, "group-shards")
-    group_shards(rows, shards).write.parquet(path)
+    group_shards(sizes, shards).write.parquet(path)
     path_placed = scratch_path(spark, "placed")
     rows.join(spark.read.parquet(path), "group").write.parquet(path_placed)
     return numbered(spark.read.parquet(path_placed), ["doc_id", "group", "size"])

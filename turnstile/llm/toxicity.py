@@ -9,8 +9,8 @@ the words of all documents, counted by Spark. The restored words are then scored
 The score is learnt from labelled texts: words, and beginnings of words, are either
 toxic or not, and how many of their texts are toxic tells which; the share of toxic
 ones is itself fitted, so that chance finds among many words count little. A text's score is the chance that at least one of its distinct words means
-what its value says. Texts that are copies of each other, recognised by their
-smallest word hash, count once.
+what its value says. A word counts once for each pair of neighbours it is seen with,
+so copies of a text, and passages that many texts share, count once.
 
 At most ``FIT_ROWS`` labelled texts, drawn by hash, are used to fit the scorer
 (a documented bound of the classifier); the language model has no bound on its
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,12 +37,12 @@ from pyspark.sql import functions as F
 from turnstile.llm.texts import whole
 from turnstile.session import scratch_path
 
-FIT_ROWS = 20_000
+FIT_ROWS = 10_000
 TRIGRAMS = 200_000
 BEGINNINGS = range(4, 8)  # letters of a word's beginning that make a feature
 HIT = 0.98  # share of toxic texts among those with a toxic word
 SPREADS = (2.0, 4.0, 8.0, 16.0, 32.0, 64.0, 1e4)
-EVIDENCE = 0.1  # a feature below this says too little to be kept
+EVIDENCE = 0.5  # a feature below this is more likely a chance find, and is left out
 CACHED = 200_000
 
 # What a symbol or digit may stand for.
@@ -166,8 +167,18 @@ class Reader:
         low = (text or "").lower()
         return {*low.split(), *(m.group() for m in SPACED.finditer(low))}
 
-    def words(self, text: str | None) -> set[str]:
-        return {word for span in self.spans(text) for word in self.words_of(span)}
+    def contexts(self, text: str | None) -> dict[str, int]:
+        """Each distinct word of a text and a hash of the tokens around its first occurrence."""
+        low = (text or "").lower()
+        tokens = ["", *low.split(), ""]
+        around = [(token, f"{tokens[i]} {tokens[i + 2]}") for i, token in enumerate(tokens[1:-1])]
+        around += [(m.group(), low[max(0, m.start() - 20) : m.start()] + low[m.end() : m.end() + 20]) for m in SPACED.finditer(low)]
+        found: dict[str, int] = {}
+        for span, near in around:
+            for word in self.words_of(span):
+                if word not in found:
+                    found[word] = zlib.crc32(near.encode())
+        return found
 
     def telling(self, span: str) -> dict[str, float]:
         """The words of a span that speak for toxicity, each with its best feature's weight."""
@@ -216,7 +227,7 @@ def _features(words: set[str]) -> set[str]:
 
 
 def toxic_chances(seen: list[tuple[int, int, int]]) -> dict[tuple[int, int], float]:
-    """For features of n texts, k of them toxic: the chance that they are toxic words, times HIT.
+    """For features seen n times, k of them in toxic texts: the chance that they are toxic words, times HIT.
 
     ``seen`` says that m features have n and k. A toxic word's texts are toxic with the
     fixed chance HIT; any other feature has a toxic share of its own, beta distributed
@@ -251,22 +262,31 @@ def fit(labelled: DataFrame, model: CharacterModel, rows: int = FIT_ROWS) -> dic
     spark = labelled.sparkSession
     total = labelled.count()
     drawn = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 20)) < math.ceil(min(1.0, rows / max(total, 1)) * (1 << 20))
-    words = F.split(whole(F.col("text")), r"[^\p{L}]+")
-    copies = F.array_min(F.transform(words, lambda w: F.xxhash64(F.lower(w)))).alias("copies")
 
     def spelled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(model)
         for frame in frames:
-            lists = [sorted(_features(reader.words(text))) or [""] for text in frame["text"]]
-            yield pd.DataFrame({"copies": frame["copies"], "toxic": frame["toxic"], "feature": lists})
+            features, contexts = [], []
+            for text in frame["text"]:
+                first: dict[str, int] = {}
+                for word, context in reader.contexts(text).items():
+                    for feature in _features({word}):
+                        first.setdefault(feature, context)
+                features.append(list(first))
+                contexts.append(list(first.values()))
+            yield pd.DataFrame({"copies": frame["copies"], "toxic": frame["toxic"], "feature": features, "context": contexts})
 
     path = scratch_path(spark, "toxic-features")
-    learnt = labelled.where(drawn).select(copies, "text", F.col("toxic").cast("int").alias("toxic")).repartition("copies")
-    learnt.mapInPandas(spelled, "copies long, toxic int, feature array<string>").select(
-        "copies", "toxic", F.explode("feature").alias("feature")
-    ).groupBy("feature", "copies").agg(F.max("toxic").alias("toxic")).groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k")
-    ).where("n > 1").write.parquet(path)
+    words = F.split(whole(F.col("text")), r"[^\p{L}]+")
+    copies = F.array_min(F.transform(words, lambda w: F.xxhash64(F.lower(w)))).alias("copies")
+    learnt = labelled.where(drawn).select(copies, "text", F.col("toxic").cast("int").alias("toxic"))
+    met = learnt.mapInPandas(spelled, "copies long, toxic int, feature array<string>, context array<long>").select(
+        "copies", "toxic", F.explode(F.arrays_zip("feature", "context")).alias("seen")
+    )
+    # copies with the same smallest word count once, and so do those that escape this but share the neighbours
+    once = met.groupBy("seen.feature", "copies").agg(F.max("toxic").alias("toxic"), F.min("seen.context").alias("context"))
+    once = once.groupBy("feature", "context").agg(F.max("toxic").alias("toxic"))
+    once.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k")).where("n > 1").write.parquet(path)
     counted = spark.read.parquet(path).where("feature <> ''")
     seen = counted.groupBy("n", "k").agg(F.count(F.lit(1)).alias("m"))
     chances = toxic_chances([(r["n"], r["k"], r["m"]) for r in seen.collect()])  # fewer rows than texts learnt from
@@ -278,30 +298,42 @@ def fit(labelled: DataFrame, model: CharacterModel, rows: int = FIT_ROWS) -> dic
     return {r["feature"]: r["weight"] for r in kept.collect()}  # of at most FIT_ROWS texts
 
 
-def scores(docs: DataFrame, weights: dict[str, float], model: CharacterModel, keep: list[Column]) -> DataFrame:
-    """``keep`` and score, for every document."""
+def score_column(text: Column, weights: dict[str, float], model: CharacterModel) -> Column:
+    """The score of a text; other columns of the row stay outside Python."""
 
-    def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = Reader(model, weights)
-        for frame in frames:
-            values = [reader.score(text) for text in frame.pop("_text")]
-            yield frame.assign(score=values)
+        for texts in batches:
+            yield pd.Series([reader.score(text) for text in texts], dtype="float64")
 
-    named = docs.select(*keep, F.col("text").alias("_text"))
-    schema = docs.select(*keep, F.lit(0.0).alias("score")).schema
-    return named.mapInPandas(scored, schema)
+    return scored(text)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, keep: list[Column] | None = None, held_out: int = 5) -> DataFrame:
-    """Score and prediction for every document: doc_id, held_out, score, predicted.
+def _held_out(every: int) -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % every == 0, F.lit(False))
+
+
+def scored(docs: DataFrame, labels: DataFrame, held_out: int = 5, name: str = "score") -> DataFrame:
+    """All columns of the documents and their score.
 
     Labels of documents whose crc32(doc_id as text) is divisible by ``held_out`` are not learnt from.
     """
-    out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % held_out == 0
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    labelled = docs.select("doc_id", "text").where(~out).join(known, "doc_id")
+    labelled = docs.select("doc_id", "text").where(~_held_out(held_out)).join(known, "doc_id")
     model = character_model(docs)
-    weights = fit(labelled, model)
-    keep = keep or [F.col("doc_id"), F.coalesce(out, F.lit(False)).alias("held_out")]
-    found = scores(docs, weights, model, keep)
-    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return docs.withColumn(name, score_column(F.col("text"), fit(labelled, model), model))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, held_out: int = 5) -> DataFrame:
+    """Score and prediction for every document: doc_id, held_out, score, predicted."""
+    out = _held_out(held_out).alias("held_out")
+    return scored(docs.select("doc_id", "text"), labels, held_out).select(
+        "doc_id", out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that score below one half, all columns as they are."""
+    found = scored(docs, labels, name="_toxicity")
+    return found.where(F.col("_toxicity") < 0.5).select(*(F.col(f"`{c}`") for c in docs.columns))
