@@ -77,7 +77,6 @@ def test_dates_keep_the_written_day(spark):
 def test_names(spark):
     assert values(spark, lambda c: parsing.number_in_name(c, r"streaks_r(\d+)\.json"), ["streaks_r07.json", "x"]) == [7, None]
     assert values(spark, lambda c: parsing.token_in_name(c, r"scan_(.*)\.csv"), ["scan_20251017.csv", "x"]) == ["20251017", None]
-    assert values(spark, parsing.first_field, [" barcode , x", "abc"]) == ["barcode", "abc"]
 
 
 @settings(max_examples=20, deadline=None)

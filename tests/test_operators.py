@@ -229,3 +229,17 @@ def test_ridge_refuses_incomplete_rows(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, 3.0)], "y double, x double")
     with pytest.raises(ValueError, match="1 of 2 rows"):
         fit_ridge(df, "y", ["x"])
+
+
+def test_one_reading_gives_both_values(spark):
+    at = dt.datetime(2025, 1, 1, 20)
+    df = spark.createDataFrame([(at, 5.0, None), (at, 7.0, 2.0)], "hour_ts timestamp_ntz, temperature double, precipitation double")
+    assert rows(lookups.hourly_readings(df)) == [(at, 5.0, None)]
+
+
+def test_no_label_is_left_out(spark):
+    labels = [f"l{i:04d}" for i in range(1100)]
+    data = [(x, float(i % 7), float(i)) for i, x in enumerate(labels) for _ in range(2)]
+    df = spark.createDataFrame(data, "label string, y double, x double")
+    model = fit_ridge(df.select("label", "y"), "y", [], ["label"])
+    assert model.features == tuple(f"label_{x}" for x in labels[1:])

@@ -8,7 +8,7 @@ import pytest
 import raw_files
 from pyspark.sql import functions as F
 
-from turnstile import schemas
+from turnstile import schemas, session
 from turnstile.plans import analysis, gold, job, quality, silver
 from turnstile.sources import csv_files
 
@@ -38,7 +38,7 @@ def test_run_writes_all_tables_and_names_absent_sources(log):
         "silver.campagnes", "silver.animations_participations", "silver.fb_transactions",
     }
     assert "gold.fact_match" in log.written and "silver.scans" in log.written
-    assert len(log.written) == len(set(log.written)) == 19 + 13 + 1
+    assert len(log.written) == len(set(log.written)) == 19 + 3 + 13 + 1 + 3
 
 
 def test_run_stops_at_the_first_failure(spark, tmp_path):
@@ -248,3 +248,37 @@ def test_columns_in_another_order_do_not_matter(spark, raw):
     results = csv_files.read_named_csv(spark, f"{raw}/dataset/resultats_matchs.csv", schemas.RESULTS)
     turned = results.select(*reversed(results.columns))
     assert rows(gold.home_results(turned)) == rows(gold.home_results(results))
+
+
+def test_of_two_results_the_known_one_stays(spark):
+    results = spark.createDataFrame(
+        [("DOMICILE", 80, 70, 3, 9), ("DOMICILE", None, None, None, None)],
+        "lieu string, score_domicile int, score_exterieur int, rang_pbb_avant int, rang_adversaire_avant int",
+    ).withColumn("date", F.lit("2025-01-01").cast("date"))
+    assert [tuple(r)[1:] for r in gold.home_results(results).collect()] == [(3, 9, 80, 70)]
+    assert [r.n_results for r in gold.dates_with_several_results(results).collect()] == [2]
+
+
+def test_codes_meet_folded_tickets_only(spark):
+    types = spark.createDataFrame([(1, "ABONNEMENT"), (1, "X"), (2, "BILLET_UNITE")], "id int, code string")
+    assert rows(gold.types_with_several_codes(types)) == [(1, 2)]
+    tickets = spark.createDataFrame(
+        [(1, 1, 5.0, 1, False), (1, 1, 5.0, 1, False), (1, 2, 7.0, 8, False), (2, None, None, 1, None)],
+        "session_id int, product_type_id int, amount double, order_status_id int, product_is_cancelled boolean",
+    )
+    got = {r.session_id: (r.n_tickets, r.n_sold, r.revenue, r.n_subscription, r.n_single) for r in gold.tickets_by_session(tickets, types).collect()}
+    assert got == {1: (3, 2, 10.0, 2, 0), 2: (1, 0, None, None, None)}
+
+
+def test_scratch_must_be_shared_unless_local(monkeypatch):
+    class Session:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default: None)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_path(Session, "x")
+    Session.sparkContext.master = "local[2]"
+    assert "/x-" in session.scratch_path(Session, "x")

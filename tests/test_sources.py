@@ -126,14 +126,33 @@ def test_a_file_counts_as_a_whole(spark, tmp_path):
     assert states == {"mixed.json": "corrupt", "sound.json": "ok"}
 
 
-def test_many_bad_files_are_joined_by_shuffle(spark, tmp_path, monkeypatch):
+def test_files_are_left_out_by_one_lazy_join(spark):
     data = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "_path string, v int")
     listed = spark.createDataFrame([("a",), ("b",)], "_path string")
-    monkeypatch.setattr(files, "MAX_LISTED", 1)
     assert rows(files.without_files(data, listed, "_path")) == [("c", 3)]
     assert rows(files.without_files(data, listed.filter("false"), "_path")) == [("a", 1), ("b", 2), ("c", 3)]
 
 
+def test_declared_columns_survive_other_notations(spark, tmp_path):
+    path = str(tmp_path / "results.csv")
+    (tmp_path / "results.csv").write_text("date,lieu,rang_pbb_avant\n17/10/2025,DOMICILE,3.0\n2025-10-18,X,n/a\n")
+    got = csv_files.read_named_csv(spark, path, schemas.RESULTS)
+    assert rows(got) == [(dt.date(2025, 10, 17), "DOMICILE", 3), (dt.date(2025, 10, 18), "X", None)]
+    unread = {r.column: r.n_unread for r in csv_files.unread_values(spark, path, schemas.RESULTS).collect()}
+    assert unread == {"date": 0, "lieu": 0, "rang_pbb_avant": 1}
+
+
+def test_only_a_line_of_column_names_is_a_header(spark, tmp_path):
+    (tmp_path / "scan_20250101.csv").write_text(
+        "B1,2025-01-01T20:00:00+02:00,P1,e1,T,OK\nB2,2025-01-01 20:00:00,P1,e1,T,OK\nbarcode,,P1,e1,T,OK\nB3,late,P1,e1,T,OK\n"
+    )
+    scans = csv_files.read_scans(spark, f"{tmp_path}/scan_*.csv")
+    assert rows(scans.select("barcode", "scan_ts_utc")) == [
+        ("B1", dt.datetime(2025, 1, 1, 18)), ("B2", dt.datetime(2025, 1, 1, 20)), ("B3", None), ("barcode", None),
+    ]
+    assert report.scan_file_report(spark, f"{tmp_path}/scan_*.csv").first().n_unread_times == 1
+
+
 def test_reference_lists_come_from_the_first_drop(spark, raw):
     lists = json_files.read_reference_lists(spark, f"{raw}/{job.ORDERS}")
     assert [r.id for r in lists["sessions"].orderBy("id").collect()] == [1, 2, 3]

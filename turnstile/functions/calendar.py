@@ -29,11 +29,6 @@ def day_token(day: Column) -> Column:
     return F.date_format(day, "yyyyMMdd")
 
 
-def iso_day(day: Column) -> Column:
-    """``2024-01-05``."""
-    return F.date_format(day, "yyyy-MM-dd")
-
-
 def clock_hour(clock: Column) -> Column:
     """Hour of ``HH:mm[:ss]`` text."""
     return F.split_part(clock, F.lit(":"), F.lit(1)).try_cast("int")

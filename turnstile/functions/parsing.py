@@ -70,6 +70,14 @@ def local_timestamp(text: Column) -> Column:
     return strip(text).try_cast("timestamp_ntz")
 
 
+def utc_timestamp(text: Column) -> Column:
+    """ISO text as a wall-clock timestamp in UTC; an offset such as ``+02:00`` or ``Z`` is applied."""
+    cleaned = strip(text)
+    with_zone = cleaned.rlike(r"[0-9]([+-][0-9]{2}:?[0-9]{2}|Z)$") & cleaned.contains(":")
+    shifted = F.to_utc_timestamp(cleaned.try_cast("timestamp"), F.current_timezone()).cast("timestamp_ntz")
+    return F.when(with_zone, shifted).otherwise(cleaned.try_cast("timestamp_ntz"))
+
+
 def number_in_name(name: Column, pattern: str) -> Column:
     """First group of ``pattern`` in a file name, as INT; NULL when there is no match."""
     return F.regexp_extract(name, pattern, 1).try_cast("int")
@@ -78,8 +86,3 @@ def number_in_name(name: Column, pattern: str) -> Column:
 def token_in_name(name: Column, pattern: str) -> Column:
     """First group of ``pattern`` in a file name, as text; NULL when there is no match."""
     return F.nullif(F.regexp_extract(name, pattern, 1), F.lit(""))
-
-
-def first_field(line: Column, separator: str = ",") -> Column:
-    """First separated field of a text line, without surrounding blanks."""
-    return strip(F.split_part(strip(line), F.lit(separator), F.lit(1)))

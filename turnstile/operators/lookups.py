@@ -32,12 +32,17 @@ def hourly_readings(weather: DataFrame) -> DataFrame:
     """Weather reduced to one row per hour: the coolest reading, the driest of equals.
 
     Two hash aggregations over primitive columns, so repeated hours are folded
-    before the shuffle. Columns in: ``hour_ts, temperature, precipitation``.
+    before the shuffle. Both values come from one reading: a known temperature
+    goes before an unknown one, and so does a known precipitation among equal
+    temperatures. Columns in: ``hour_ts, temperature, precipitation``.
     """
     per_temperature = weather.groupBy("hour_ts", "temperature").agg(F.min("precipitation").alias("precipitation"))
     return per_temperature.groupBy("hour_ts").agg(
         F.min("temperature").alias("temperature"),
-        F.coalesce(F.min_by("precipitation", "temperature"), F.min("precipitation")).alias("precipitation"),
+        # an hour without any temperature has one row here
+        F.when(F.min("temperature").isNull(), F.min("precipitation"))
+        .otherwise(F.min_by("precipitation", "temperature"))
+        .alias("precipitation"),
     )
 
 

@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 
 from turnstile.functions.numbers import ratio
 
-# The driver holds one square matrix of this many features at most (8 MB).
-MAX_FEATURES = 1000
-
 
 @dataclass(frozen=True)
 class RidgeFit:
@@ -125,6 +122,9 @@ def fit_ridge(
 
     Categorical columns become one indicator per label except the alphabetically
     first. ``df`` is read three times: save it first if it is costly to derive.
+    All labels take part, however many. They are the width of the design that the
+    caller chose, and the driver solves for it: three square matrices of doubles,
+    24 bytes times the square of the number of features (2.4 GB at 10 000).
     """
     numbers = [F.col(c).cast("double") for c in (*numeric, target)]
     first = df.agg(
@@ -144,15 +144,12 @@ def fit_ridge(
             .select("p.*")
             .filter(F.col("label").isNotNull())
             .distinct()
-            .limit(MAX_FEATURES + 1)
             .collect()
         )
         for c in categorical:
             levels[c] = tuple(sorted(r.label for r in found if r.name == c))
     features = [*numeric, *(f"{c}_{label}" for c in categorical for label in levels[c][1:])]
     size = len(features)
-    if size > MAX_FEATURES:
-        raise ValueError(f"more than {MAX_FEATURES} features")
 
     shifts = tuple(first[f"m{i}"] for i in range(len(numeric)))
     active = _active(numeric, shifts, levels)

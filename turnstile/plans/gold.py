@@ -59,32 +59,39 @@ def _day(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("date")
 
 
+TICKET_SUMS = ("n_tickets", "n_sold", "revenue", "n_priced", "n_cancelled", "n_refunded", "n_pending")
+
+
 def tickets_by_session(tickets: DataFrame, product_types: DataFrame) -> DataFrame:
     """Counts and sums per session, sold and unsold together in one pass over all tickets.
 
-    Runs before the tickets meet their sessions: a session that holds a large
-    part of all tickets is folded in every input task, and only one row per
-    session goes into the join.
+    Runs before the tickets meet their sessions or codes: a session, or a product
+    type, that holds a large part of all tickets is folded in every input task. Only
+    one row per session and type meets the codes, and one per session the sessions.
     """
     codes = product_types.groupBy(F.col("id").alias("product_type_id")).agg(F.min("code").alias("code"))
     sold, status = is_sold(), F.col("order_status_id")
+    by_type = tickets.groupBy("session_id", "product_type_id").agg(
+        F.count("*").alias("n_tickets"),
+        F.count_if(sold).alias("n_sold"),
+        F.sum(F.when(sold, F.col("amount"))).alias("revenue"),
+        F.count(F.when(sold, F.col("amount"))).alias("n_priced"),
+        F.count_if(status == schemas.STATUS_CANCELLED).alias("n_cancelled"),
+        F.count_if(status == schemas.STATUS_REFUNDED).alias("n_refunded"),
+        F.count_if(status == schemas.STATUS_PENDING).alias("n_pending"),
+    )
 
     def sold_with_code(code: str) -> Column:
-        return F.sum(F.when(sold, F.when(F.col("code") == code, 1).otherwise(0)))
+        sold_here = F.when(F.col("n_sold") > 0, F.when(F.col("code") == code, F.col("n_sold")).otherwise(0))
+        return F.sum(sold_here)
 
     return (
-        tickets.join(codes, "product_type_id", "left")
+        by_type.join(codes, "product_type_id", "left")
         .groupBy("session_id")
         .agg(
-            F.count("*").alias("n_tickets"),
-            F.count_if(sold).alias("n_sold"),
-            F.sum(F.when(sold, F.col("amount"))).alias("revenue"),
-            F.count(F.when(sold, F.col("amount"))).alias("n_priced"),
             sold_with_code(schemas.CODE_SUBSCRIPTION).alias("n_subscription"),
             sold_with_code(schemas.CODE_SINGLE).alias("n_single"),
-            F.count_if(status == schemas.STATUS_CANCELLED).alias("n_cancelled"),
-            F.count_if(status == schemas.STATUS_REFUNDED).alias("n_refunded"),
-            F.count_if(status == schemas.STATUS_PENDING).alias("n_pending"),
+            *(F.sum(c).alias(c) for c in TICKET_SUMS),
         )
     )
 
@@ -92,15 +99,11 @@ def tickets_by_session(tickets: DataFrame, product_types: DataFrame) -> DataFram
 def tickets_by_date(tickets: DataFrame, sessions: DataFrame, product_types: DataFrame) -> DataFrame:
     """Ticket measures per session date; measures of sold tickets are NULL when none was sold."""
     dated = sessions.select(F.col("id").alias("session_id"), _day(sessions, "start_at").alias("date_match"))
-    sums = (
-        "n_tickets", "n_sold", "revenue", "n_priced", "n_subscription",
-        "n_single", "n_cancelled", "n_refunded", "n_pending",
-    )
     return (
         tickets_by_session(tickets, product_types)
         .join(dated, "session_id")
         .groupBy("date_match")
-        .agg(*(F.sum(c).alias(c) for c in sums))
+        .agg(*(F.sum(c).alias(c) for c in (*TICKET_SUMS, "n_subscription", "n_single")))
         .select(
             "date_match",
             F.col("n_tickets").alias("billets_total"),
@@ -123,17 +126,36 @@ def scans_by_token(scans: DataFrame) -> DataFrame:
     )
 
 
+RESULT_VALUES = ("rang_pbb_avant", "rang_adversaire_avant", "score_domicile", "score_exterieur")
+
+
 def home_results(results: DataFrame) -> DataFrame:
-    """Ranks before the match and scores of home matches, one row per date."""
-    values = ("rang_pbb_avant", "rang_adversaire_avant", "score_domicile", "score_exterieur")
+    """Ranks before the match and scores of home matches, one row per date.
+
+    Of several results on a date the one with the fewest unknown values stays, then
+    the smallest by ranks and scores; ``dates_with_several_results`` lists such dates.
+    """
+    unknown = sum((F.col(c).isNull().cast("int") for c in RESULT_VALUES), F.lit(0)).alias("unknown")
     return (
         results.filter(F.col("lieu") == schemas.HOME)
         .groupBy(F.col("date").alias("date_resultat"))
-        .agg(F.min(F.struct(*values)).alias("r"))
-        .select("date_resultat", "r.*")
+        .agg(F.min(F.struct(unknown, *RESULT_VALUES)).alias("r"))
+        .select("date_resultat", *(F.col(f"r.{c}").alias(c) for c in RESULT_VALUES))
     )
 
 
+def dates_with_several_results(results: DataFrame) -> DataFrame:
+    """Dates with more than one home result, of which ``home_results`` keeps one."""
+    home = results.filter(F.col("lieu") == schemas.HOME)
+    return home.groupBy("date").agg(F.count("*").alias("n_results")).filter("n_results > 1")
+
+
+def types_with_several_codes(product_types: DataFrame) -> DataFrame:
+    """Product types with more than one code, of which the ticket counts use the smallest."""
+    codes = product_types.groupBy(F.col("id").alias("product_type_id")).agg(F.countDistinct("code").alias("n_codes"))
+    return codes.filter("n_codes > 1")
+
+
 def fact_match(
     calendar: DataFrame,
     tickets: DataFrame,

@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from turnstile import schemas
-from turnstile.plans import gold, silver
-from turnstile.sources import csv_files, json_files
+from turnstile.plans import gold, quality, silver
+from turnstile.sources import csv_files, json_files, report
 from turnstile.sources.tables import copy_tables, ensure_schema, replace_table
 
 # Where each source lies under the raw folder.
@@ -59,6 +61,27 @@ def bronze(spark: SparkSession, raw: str, log: RunLog) -> None:
     log.save(json_files.read_tickets(spark, f"{raw}/{ORDERS}"), "bronze.raw_billets")
     for name, rows in (json_files.read_reference_lists(spark, f"{raw}/{ORDERS}") or {}).items():
         log.save(rows, f"bronze.raw_billetterie_{name}")
+    report_loads(spark, raw, log)
+
+
+def report_loads(spark: SparkSession, raw: str, log: RunLog) -> None:
+    """Reports on the files read: their state and rows, those left out, and values that could not be converted."""
+    reports = {"orders": report.order_file_report(spark, f"{raw}/{ORDERS}"), "scans": report.scan_file_report(spark, f"{raw}/{SCANS}")}
+    parts = [
+        df.select(F.lit(kind).alias("source"), "filename", F.col("length").cast("long").alias("length"), "state", F.col("n_rows").cast("long").alias("n_rows"))
+        for kind, df in reports.items()
+        if df is not None
+    ]
+    files = reduce(DataFrame.unionAll, parts) if parts else None
+    log.save(files, "bronze.load_report")
+    log.save(None if files is None else spark.table("bronze.load_report").filter("state <> 'ok'"), "bronze.quarantine")
+    counted = {
+        name: csv_files.unread_values(spark, f"{raw}/{DATASET}/{file}", schema)
+        for name, (file, schema) in schemas.NAMED_CSV_FILES.items()
+        if schema
+    }
+    unread = [df.select(F.lit(name).alias("source"), "column", "n_unread") for name, df in counted.items() if df is not None]
+    log.save(reduce(DataFrame.unionAll, unread) if unread else None, "bronze.unread_values")
 
 
 def clean(spark: SparkSession, raw: str, log: RunLog) -> None:
@@ -91,6 +114,18 @@ def build(spark: SparkSession, raw: str, log: RunLog) -> None:
         weather=spark.table("bronze.raw_meteo_horaire"),
     )
     log.save(fact, "gold.fact_match")
+    checks = quality.all_checks(
+        fact=spark.table("gold.fact_match"),
+        calendar=spark.table("silver.calendrier_matchs"),
+        till=spark.table("silver.boutique_ventes"),
+        scans=spark.table("silver.scans"),
+        sold=spark.table("silver.billets"),
+        raw=spark.table("bronze.raw_billets"),
+        contacts=spark.table("silver.contacts"),
+    )
+    log.save(checks, "gold.quality_report")
+    log.save(gold.dates_with_several_results(spark.table("silver.resultats_matchs")), "gold.dates_with_several_results")
+    log.save(gold.types_with_several_codes(spark.table("silver.product_types")), "gold.types_with_several_codes")
 
 
 STAGES: tuple[Callable[[SparkSession, str, RunLog], None], ...] = (bronze, clean, build)

@@ -135,7 +135,7 @@ def is_sold():
 
 def sold_tickets(raw: DataFrame) -> DataFrame:
     """Tickets of valid orders whose product is not cancelled."""
-    return raw.filter(is_sold()).select(*(c for c in TICKET_COLUMNS if c in raw.columns))
+    return raw.filter(is_sold()).select(*TICKET_COLUMNS)
 
 
 def kept_share(raw: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,10 +34,13 @@ def build_session(app_name: str = "turnstile", master: str | None = None, **sett
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for intermediate tables, on storage every executor can read.
 
-    The cluster names that storage in ``spark.checkpoint.dir``. Only a session
-    without the setting, such as a local test, gets a temporary folder.
+    The cluster names that storage in ``spark.checkpoint.dir``. Only a local
+    session may do without the setting and gets a temporary folder; elsewhere the
+    executors would each write to a disk of their own, so that is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to storage that the driver and all executors share")
     root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="turnstile-")
     return f"{root}/{purpose}-{uuid.uuid4().hex}"
 

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from turnstile import schemas
-from turnstile.functions.parsing import local_timestamp, strip, token_in_name
+from turnstile.functions.parsing import (
+    DAY_FIRST_SLASH,
+    comma_number,
+    flexible_date,
+    strip,
+    token_in_name,
+    utc_timestamp,
+    whole_number,
+)
 from turnstile.sources.files import absent_as_none, without_files
 
 # Fixed value: the date token in a scan file's name.
@@ -21,22 +30,57 @@ def _reader(spark: SparkSession, separator: str = ","):
     return spark.read.option("header", True).option("sep", separator).option("quote", '"').option("escape", '"')
 
 
+def _tolerant(text: Column, kind: T.DataType) -> Column:
+    """Text as a declared type: numbers such as ``3.0`` or ``39,00`` and day-first dates are read too."""
+    if isinstance(kind, T.IntegerType):
+        return whole_number(text)
+    if isinstance(kind, T.DoubleType):
+        return comma_number(text)
+    if isinstance(kind, T.DateType):
+        return flexible_date(text, DAY_FIRST_SLASH)
+    return text if isinstance(kind, T.StringType) else text.try_cast(kind)
+
+
 def read_named_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """Typed CSV with a header row, or None when the file is absent.
 
-    Columns are matched by their name in the header. The types of columns in
-    ``schema`` are given; only if the file has others is it read once more to
-    infer those from all rows.
+    Columns are matched by their name in the header. Columns in ``schema`` are read
+    as text and converted tolerantly, so that a rank written ``3.0`` or a date
+    written ``17/10/2025`` survives; ``unread_values`` counts what does not. Only if
+    the file has other columns is it read once more to infer those from all rows.
     """
     as_text = absent_as_none(lambda: _reader(spark).csv(path))
     if as_text is None:
         return None
     known = {f.name.lower(): f for f in StructType.fromDDL(schema).fields} if schema else {}
-    fields = [known.get(name.lower()) for name in as_text.columns]
-    if None in fields:
+    given = [known.get(name.lower()) for name in as_text.columns]
+    if None in given:
         inferred = _reader(spark).option("inferSchema", True).option("samplingRatio", 1.0).csv(path).schema.fields
-        fields = [given or found for given, found in zip(fields, inferred)]
-    return _reader(spark).schema(StructType(fields)).csv(path)
+        mixed = [T.StructField(i.name, T.StringType()) if g else i for g, i in zip(given, inferred)]
+        as_text = _reader(spark).schema(StructType(mixed)).csv(path)
+    return as_text.select(
+        *(
+            _tolerant(F.col(f"`{name}`"), field.dataType).alias(field.name) if field else F.col(f"`{name}`")
+            for name, field in zip(as_text.columns, given)
+        )
+    )
+
+
+def unread_values(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """Per declared column of a CSV file: how many non-empty texts could not be converted."""
+    text = absent_as_none(lambda: _reader(spark).csv(path))
+    if text is None:
+        return None
+    known = {f.name.lower(): f for f in StructType.fromDDL(schema).fields}
+    pairs = [(name, known[name.lower()]) for name in text.columns if name.lower() in known]
+    counts = text.agg(
+        *(
+            F.count_if((strip(F.col(f"`{name}`")) != "") & _tolerant(F.col(f"`{name}`"), field.dataType).isNull()).alias(field.name)
+            for name, field in pairs
+        )
+    )
+    listed = F.array(*(F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("n_unread")) for _, f in pairs))
+    return counts.select(F.explode(listed).alias("c")).select("c.*")
 
 
 def read_text_csv(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
@@ -67,10 +111,12 @@ def _raw_scans(spark: SparkSession, path: str) -> DataFrame | None:
     rows = absent_as_none(lambda: reader.csv(path))
     if rows is None:
         return None
-    is_header = (strip(F.col("barcode")) == "barcode") & local_timestamp(F.col("scan_ts_utc")).isNull()
+    is_header = F.lit(True)
+    for name in StructType.fromDDL(schemas.SCANS).names:  # a line that names every column, nothing less
+        is_header = is_header & F.coalesce(strip(F.col(name)) == name, F.lit(False))
     return rows.select(
         "*",
-        F.coalesce(is_header, F.lit(False)).alias("_is_header"),
+        is_header.alias("_is_header"),
         F.col("_metadata.file_name").alias("filename"),
         F.col("_metadata.file_path").alias("_path"),
     )
@@ -90,7 +136,7 @@ def read_scans(spark: SparkSession, path: str, token_pattern: str = SCAN_NAME) -
     malformed = data.filter(F.col(_CORRUPT).isNotNull()).select("_path").distinct()
     return without_files(data, malformed, "_path").select(
         "barcode",
-        local_timestamp(F.col("scan_ts_utc")).alias("scan_ts_utc"),
+        utc_timestamp(F.col("scan_ts_utc")).alias("scan_ts_utc"),
         "portique",
         "ext_id",
         "type_billet",
@@ -108,5 +154,8 @@ def scan_files(spark: SparkSession, path: str) -> DataFrame | None:
     return rows.groupBy("filename", "_path").agg(
         F.count_if(~F.col("_is_header")).alias("n_rows"),
         F.count_if(F.col(_CORRUPT).isNotNull() & ~F.col("_is_header")).alias("n_malformed"),
+        F.count_if(
+            ~F.col("_is_header") & (strip(F.col("scan_ts_utc")) != "") & utc_timestamp(F.col("scan_ts_utc")).isNull()
+        ).alias("n_unread_times"),
         F.max("_is_header").alias("has_header"),
     )

@@ -49,19 +49,6 @@ def first_file(spark: SparkSession, path: str) -> str | None:
     return None if listing is None else listing.agg(F.min("path")).first()[0]
 
 
-# Paths that may be sent to every task: at most about 3 MB.
-MAX_LISTED = 10_000
-
-
 def without_files(rows: DataFrame, listed: DataFrame, path_column: str) -> DataFrame:
-    """Rows of files that are not listed.
-
-    The list is looked at first. Usually it is empty and nothing is joined; a
-    short list is broadcast; a list of any other length is joined by shuffle.
-    """
-    found = listed.select(path_column).limit(MAX_LISTED + 1).collect()
-    if not found:
-        return rows
-    if len(found) <= MAX_LISTED:
-        listed = F.broadcast(rows.sparkSession.createDataFrame(found, f"{path_column} string"))
+    """Rows of files that are not listed: one lazy anti-join, whose form the planner chooses."""
     return rows.join(listed.select(path_column), path_column, "left_anti").select(rows.columns)

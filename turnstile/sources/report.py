@@ -54,7 +54,7 @@ def scan_file_report(spark: SparkSession, path: str) -> DataFrame | None:
     if listing is None:
         return None
     read = scan_files(spark, path).select(
-        same_path(F.col("_path")).alias("path"), F.col("n_rows").alias("_n"), "n_malformed", "has_header"
+        same_path(F.col("_path")).alias("path"), F.col("n_rows").alias("_n"), "n_malformed", "n_unread_times", "has_header"
     )
     state = (
         F.when(F.coalesce("_n", F.lit(0)) == 0, "empty").when(F.col("n_malformed") > 0, "corrupt").otherwise("ok")
@@ -67,6 +67,7 @@ def scan_file_report(spark: SparkSession, path: str) -> DataFrame | None:
             "length",
             "state",
             F.when(F.col("state") == "ok", F.col("_n")).otherwise(0).alias("n_rows"),
+            F.coalesce("n_unread_times", F.lit(0)).alias("n_unread_times"),
             "has_header",
         )
     )

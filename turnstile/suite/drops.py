@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstile import schemas
+from turnstile.operators.lookups import hourly_readings
 from turnstile.session import scratch_path
 from turnstile.sources import csv_files, json_files, report, tables
 from turnstile.suite.catalogue import query, rounded
@@ -114,10 +115,7 @@ def reference_lists(inputs: Inputs) -> DataFrame:
 def weather_from_lists(inputs: Inputs) -> DataFrame:
     """One document per day with parallel hourly lists, then rows again."""
     path = scratch_path(inputs.spark, "weather")
-    hours = inputs.weather().groupBy("heure", "temperature").agg(F.min("precipitation").alias("precipitation"))
-    hours = hours.groupBy("heure").agg(
-        F.min("temperature").alias("temperature"), F.min_by("precipitation", "temperature").alias("precipitation")
-    )
+    hours = hourly_readings(inputs.weather().withColumnRenamed("heure", "hour_ts")).withColumnRenamed("hour_ts", "heure")
     days = hours.groupBy(F.substring("heure", 1, 10).alias("day")).agg(
         F.array_sort(F.collect_list(F.struct("heure", "temperature", "precipitation"))).alias("h")
     )

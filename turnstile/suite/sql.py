@@ -11,6 +11,12 @@ TABLES = {
                CASE WHEN l_returnflag = 'N' THEN 1 WHEN l_returnflag = 'A' THEN 8
                     WHEN l_linestatus = 'F' THEN 9 ELSE 4 END AS order_status_id,
                CASE WHEN l_discount > 0 THEN l_discount > 0.08 END AS product_is_cancelled,
+               CAST(l_suppkey AS VARCHAR) AS ext_id, CAST(l_linenumber % 3 AS INTEGER) AS category_id,
+               CAST(l_linenumber % 2 AS INTEGER) AS ticket_status_id,
+               strftime(l_shipdate, '%Y-%m-%d') AS order_creation_date,
+               CASE WHEN l_returnflag = 'N' THEN strftime(l_shipdate, '%Y-%m-%d') END AS order_validation_date,
+               'G' || l_linenumber AS seat_gate, l_returnflag AS seat_stand, l_linestatus AS seat_row,
+               CAST(l_partkey AS VARCHAR) AS seat_number,
                l_shipdate
         FROM lineitem""",
     "sessions": "SELECT o_orderkey AS id, o_orderdate AS start_at FROM orders",
@@ -59,61 +65,74 @@ TABLES = {
     "weather_hour": """
         SELECT hour_ts, temperature, precipitation FROM weather
         QUALIFY row_number() OVER (PARTITION BY hour_ts ORDER BY temperature, precipitation) = 1""",
+    "home_results": "SELECT * FROM results WHERE lieu = 'DOMICILE'",
+    # every value of a day under its name; a name is missing where the value is unknown
+    "dated_tickets": """
+        SELECT CAST(start_at AS DATE) AS day, amount, order_status_id AS state,
+               (SELECT min(code) FROM product_types p WHERE p.id = product_type_id) AS code,
+               order_status_id = 1 AND product_is_cancelled IS NOT DISTINCT FROM false AS is_sold
+        FROM sessions JOIN tickets ON session_id = id""",
+    "day_values": """
+        SELECT day, map_from_entries(list((name, value))) AS v FROM (
+            SELECT day, unnest(['all', 'cancelled', 'refunded', 'pending']) AS name,
+                   unnest([count(*), sum((state = 8)::INT), sum((state = 9)::INT), sum((state = 4)::INT)]::DOUBLE[]) AS value
+            FROM dated_tickets GROUP BY day
+            UNION ALL
+            SELECT day, unnest(['sold', 'season', 'single', 'revenue', 'price']),
+                   unnest([count(*), sum(coalesce(code = 'ABONNEMENT', false)::INT),
+                           sum(coalesce(code = 'BILLET_UNITE', false)::INT), sum(amount), avg(amount)]::DOUBLE[])
+            FROM dated_tickets WHERE is_sold GROUP BY day
+            UNION ALL
+            SELECT CAST(strptime(date_fichier, '%Y%m%d') AS DATE), 'entries', sum((resultat IS NOT DISTINCT FROM 'OK')::INT)
+            FROM scans GROUP BY 1
+            UNION ALL
+            SELECT date, unnest(['own', 'theirs', 'home', 'away']),
+                   unnest([rang_pbb_avant, rang_adversaire_avant, score_domicile, score_exterieur]::DOUBLE[])
+            FROM home_results
+            UNION ALL
+            SELECT DISTINCT CAST(unnest(generate_series(CAST(start_date[:10] AS DATE), CAST(end_date[:10] AS DATE),
+                                                        INTERVAL 1 DAY)) AS DATE), 'holiday', 1
+            FROM holidays WHERE location = 'Paris')
+        WHERE value IS NOT NULL GROUP BY day""",
     "by_date": """
-        SELECT CAST(s.start_at AS DATE) AS date_match,
-               count(*) AS billets_total,
-               nullif(count(*) FILTER (WHERE order_status_id = 1 AND NOT product_is_cancelled), 0) AS billets_vendus,
-               sum(amount) FILTER (WHERE order_status_id = 1 AND NOT product_is_cancelled) AS revenu_billetterie,
-               avg(amount) FILTER (WHERE order_status_id = 1 AND NOT product_is_cancelled) AS prix_moyen,
-               CAST(sum(CASE WHEN code = 'ABONNEMENT' THEN 1 ELSE 0 END)
-                    FILTER (WHERE order_status_id = 1 AND NOT product_is_cancelled) AS BIGINT) AS billets_abonnement,
-               CAST(sum(CASE WHEN code = 'BILLET_UNITE' THEN 1 ELSE 0 END)
-                    FILTER (WHERE order_status_id = 1 AND NOT product_is_cancelled) AS BIGINT) AS billets_unite,
-               count(*) FILTER (WHERE order_status_id = 8) AS billets_annules,
-               count(*) FILTER (WHERE order_status_id = 9) AS billets_rembourses,
-               count(*) FILTER (WHERE order_status_id = 4) AS billets_en_attente
-        FROM tickets t JOIN sessions s ON t.session_id = s.id
-        LEFT JOIN product_types p ON t.product_type_id = p.id
-        GROUP BY 1""",
+        SELECT day AS date_match, CAST(v['all'] AS BIGINT) AS billets_total, CAST(v['sold'] AS BIGINT) AS billets_vendus,
+               v['revenue'] AS revenu_billetterie, v['price'] AS prix_moyen,
+               CAST(v['season'] AS BIGINT) AS billets_abonnement, CAST(v['single'] AS BIGINT) AS billets_unite,
+               CAST(v['cancelled'] AS BIGINT) AS billets_annules, CAST(v['refunded'] AS BIGINT) AS billets_rembourses,
+               CAST(v['pending'] AS BIGINT) AS billets_en_attente
+        FROM day_values WHERE v['all'] IS NOT NULL""",
     "scans_by_token": """
-        SELECT date_fichier, count(*) FILTER (WHERE resultat = 'OK') AS entrees_ok FROM scans GROUP BY 1""",
-    "home_results": "SELECT * FROM results WHERE lieu = 'DOMICILE'",
+        SELECT strftime(day, '%Y%m%d') AS date_fichier, CAST(v['entries'] AS BIGINT) AS entrees_ok
+        FROM day_values WHERE v['entries'] IS NOT NULL""",
     "fact": """
-        SELECT c.match_id, c.date, c.heure, c.competition, c.journee, c.adversaire, c.salle, c.capacite_salle,
-               b.billets_vendus,
-               round(CAST(b.billets_vendus AS DOUBLE) / nullif(c.capacite_salle, 0), 3) AS taux_remplissage,
-               b.revenu_billetterie,
-               CAST(round(CAST(b.prix_moyen AS DECIMAL(28, 6)), 2) AS DOUBLE) AS prix_moyen_billet,
-               b.billets_abonnement, b.billets_unite,
-               round(CAST(b.billets_unite AS DOUBLE) / nullif(b.billets_vendus, 0), 3) AS part_billets_unite,
-               b.billets_annules, b.billets_rembourses, b.billets_en_attente,
-               round(CAST(b.billets_annules AS DOUBLE) / nullif(b.billets_total, 0), 3) AS taux_annulation,
-               s.entrees_ok,
-               round(CAST(s.entrees_ok AS DOUBLE) / nullif(b.billets_vendus, 0), 3) AS taux_presence,
-               r.rang_pbb_avant, r.rang_adversaire_avant,
-               r.rang_adversaire_avant - r.rang_pbb_avant AS ecart_classement,
-               r.score_domicile, r.score_exterieur,
-               CASE WHEN r.score_domicile > r.score_exterieur THEN 1 ELSE 0 END AS victoire_pbb,
-               dayname(c.date) AS jour_semaine,
-               EXISTS (SELECT 1 FROM holidays h WHERE h.location = 'Paris'
-                       AND c.date BETWEEN CAST(left(h.start_date, 10) AS DATE) AND CAST(left(h.end_date, 10) AS DATE))
-                   AS vacances_scolaires,
-               w.temperature, w.precipitation
-        FROM calendar c
-        LEFT JOIN by_date b ON b.date_match = c.date
-        LEFT JOIN scans_by_token s ON s.date_fichier = strftime(c.date, '%Y%m%d')
-        LEFT JOIN home_results r ON r.date = c.date
-        LEFT JOIN weather_hour w ON w.hour_ts = date_trunc('hour', c.date + CAST(
-            CASE WHEN length(c.heure) = 5 THEN c.heure || ':00' ELSE c.heure END AS TIME))""",
+        SELECT match_id, date, heure, competition, journee, adversaire, salle, capacite_salle,
+               CAST(v['sold'] AS BIGINT) AS billets_vendus,
+               CASE WHEN capacite_salle <> 0 THEN round(v['sold'] / capacite_salle, 3) END AS taux_remplissage,
+               v['revenue'] AS revenu_billetterie,
+               CAST(round(CAST(v['price'] AS DECIMAL(28, 6)), 2) AS DOUBLE) AS prix_moyen_billet,
+               CAST(v['season'] AS BIGINT) AS billets_abonnement, CAST(v['single'] AS BIGINT) AS billets_unite,
+               round(v['single'] / v['sold'], 3) AS part_billets_unite,
+               CAST(v['cancelled'] AS BIGINT) AS billets_annules, CAST(v['refunded'] AS BIGINT) AS billets_rembourses,
+               CAST(v['pending'] AS BIGINT) AS billets_en_attente, round(v['cancelled'] / v['all'], 3) AS taux_annulation,
+               CAST(v['entries'] AS BIGINT) AS entrees_ok, round(v['entries'] / v['sold'], 3) AS taux_presence,
+               CAST(v['own'] AS INTEGER) AS rang_pbb_avant, CAST(v['theirs'] AS INTEGER) AS rang_adversaire_avant,
+               CAST(v['theirs'] - v['own'] AS INTEGER) AS ecart_classement,
+               CAST(v['home'] AS INTEGER) AS score_domicile, CAST(v['away'] AS INTEGER) AS score_exterieur,
+               CAST(coalesce(v['home'] > v['away'], false) AS INTEGER) AS victoire_pbb,
+               dayname(date) AS jour_semaine, v['holiday'] IS NOT NULL AS vacances_scolaires, temperature, precipitation
+        FROM calendar LEFT JOIN day_values ON day = date
+        LEFT JOIN weather_hour ON hour_ts = date + to_hours(CAST(split_part(heure, ':', 1) AS BIGINT))""",
     "survey": """
         SELECT 'M' || strftime(l_shipdate, '%Y%m%d') AS match_id,
                CASE WHEN l_linestatus = 'F' THEN 'POST_MATCH' ELSE 'SAISON' END AS type_enquete,
                l_quantity / 5.0 AS note_globale
         FROM lineitem""",
     "match_scores": """
-        SELECT f.match_id, f.victoire_pbb, avg(s.note_globale) AS note_globale_moy, count(*) AS n_reponses
-        FROM fact f JOIN survey s ON f.match_id = s.match_id
-        WHERE s.type_enquete = 'POST_MATCH' GROUP BY f.match_id, f.victoire_pbb""",
+        SELECT match_id, victoire_pbb, note_globale_moy, n_reponses FROM (
+            SELECT match_id, sum(note_globale) / count(note_globale) AS note_globale_moy, count(*) AS n_reponses
+            FROM (FROM survey WHERE type_enquete IN ('POST_MATCH')) GROUP BY match_id)
+        SEMI JOIN fact USING (match_id)
+        JOIN (SELECT match_id, victoire_pbb FROM fact) USING (match_id)""",
     "kickoff": """
         SELECT *, CAST(split_part(heure, ':', 1) AS INTEGER) * 60 + CAST(split_part(heure, ':', 2) AS INTEGER)
                   AS heure_minutes,
@@ -130,9 +149,10 @@ TABLES = {
                CASE WHEN event_type = 'purchase' THEN value WHEN event_type <> 'view' THEN value - 50.0 END AS revenue
         FROM events""",
     "conversion": """
-        SELECT source, medium, count(*) AS sessions,
-               round(count(*) FILTER (WHERE revenue > 0) * CAST(100.0 AS DOUBLE) / count(*), 2) AS taux_conversion_pct
-        FROM web_sessions GROUP BY source, medium HAVING count(*) > 1000""",
+        SELECT source, medium, n AS sessions, round(CAST(100 * buyers AS DOUBLE) / n, 2) AS taux_conversion_pct
+        FROM (SELECT source, medium, len(list(medium)) AS n, len(list_filter(list(revenue), lambda r: r > 0)) AS buyers
+              FROM web_sessions GROUP BY ALL)
+        WHERE n > 1000""",
     "campaign_events": """
         SELECT CASE WHEN event_type = 'error' THEN 'WEB' WHEN value > 20 THEN 'SMS' ELSE 'EMAIL' END AS canal,
                CASE event_type WHEN 'view' THEN 'DELIVRE' WHEN 'click' THEN 'OUVERTURE'
@@ -154,11 +174,16 @@ TABLES = {
         FROM (SELECT *, CAST(DATE '1950-01-01' + CAST(c_custkey % 18000 AS INTEGER) AS DATE) AS born FROM customer)""",
     "contacts": """
         SELECT ext_id, nom,
-               coalesce(try_cast(date_naissance AS DATE),
-                        CAST(try_strptime(date_naissance, '%d/%m/%Y') AS DATE)) AS date_naissance,
-               code_postal, segment, try_cast(date_creation AS DATE) AS date_creation,
-               try_cast(optin_email AS BOOLEAN) AS optin_email
-        FROM raw_contacts""",
+               CASE WHEN len(born) = 3 THEN CASE WHEN length(born[1]) = 4
+                    THEN make_date(CAST(born[1] AS BIGINT), CAST(born[2] AS BIGINT), CAST(born[3] AS BIGINT))
+                    ELSE make_date(CAST(born[3] AS BIGINT), CAST(born[2] AS BIGINT), CAST(born[1] AS BIGINT)) END
+               END AS date_naissance,
+               code_postal, segment,
+               make_date(CAST(made[1] AS BIGINT), CAST(made[2] AS BIGINT), CAST(made[3] AS BIGINT)) AS date_creation,
+               CASE WHEN lower(optin_email) IN ('true', 't', 'yes', 'y', '1') THEN true
+                    WHEN lower(optin_email) IN ('false', 'f', 'no', 'n', '0') THEN false END AS optin_email
+        FROM (SELECT *, regexp_extract_all(date_naissance, '[0-9]+') AS born,
+                     regexp_extract_all(date_creation, '[0-9]+') AS made FROM raw_contacts)""",
     "nation_suppliers": """
         SELECT n_nationkey, n_name, n_regionkey, count(s_suppkey) AS n
         FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1, 2, 3""",
@@ -172,9 +197,11 @@ TABLES = {
                CAST(sum(n) * 2000 AS BIGINT) AS population
         FROM region JOIN nation_suppliers ON n_regionkey = r_regionkey GROUP BY r_name, r_regionkey""",
     "population": """
-        SELECT code_postal, CAST(sum(population) AS BIGINT) AS population FROM (
-            SELECT unnest(codes) AS code_postal, population FROM districts
-            UNION ALL SELECT unnest(codes), population FROM towns WHERE nom <> 'Paris') GROUP BY 1""",
+        SELECT code_postal, CAST(sum(population) AS BIGINT) AS population
+        FROM (SELECT codes, population FROM districts
+              UNION ALL SELECT codes, population FROM towns WHERE NOT (nom = 'Paris')) AS places,
+             unnest(places.codes) AS code(code_postal)
+        GROUP BY ALL""",
     "contacts_by_postcode": """
         SELECT code_postal, count(*) AS nb_contacts FROM contacts WHERE code_postal IS NOT NULL GROUP BY 1""",
     "penetration": """
@@ -200,19 +227,22 @@ TABLES = {
                CASE WHEN l_returnflag = 'R' THEN 'ANNULEE' ELSE 'VALIDEE' END AS etat_vente
         FROM (SELECT *, DATE '2020-01-01' + CAST(l_orderkey % 1500 AS INTEGER) AS day FROM lineitem)""",
     "till": """
-        SELECT ligne_id, ticket_id, magasin, famille, rayon, sous_famille, designation, couleur, taille,
-               try_cast(replace(prix_vente, ',', '.') AS DOUBLE) AS prix_vente,
-               try_cast(quantite AS INTEGER) AS quantite,
-               try_cast(replace(total_ligne, ',', '.') AS DOUBLE) AS total_ligne, motif_avoir, vente_id,
-               coalesce(try_cast(date_vente AS DATE), CAST(try_strptime(date_vente, '%d/%m/%Y') AS DATE),
-                        CAST(try_strptime(date_vente, '%d-%m-%Y') AS DATE)) AS date_vente,
-               vente_magasin, try_cast(replace(vente_total, ',', '.') AS DOUBLE) AS vente_total,
-               nature, ext_id, segment_client, etat_vente
-        FROM raw_till
-        QUALIFY row_number() OVER (
-            PARTITION BY ligne_id, ticket_id, designation, raw_till.date_vente, etat_vente
-            ORDER BY raw_till.magasin, raw_till.prix_vente, raw_till.quantite, raw_till.total_ligne,
-                     raw_till.vente_id, raw_till.vente_total, raw_till.nature, raw_till.ext_id) = 1""",
+        SELECT ligne_id, ticket_id, l.magasin, l.famille, l.rayon, l.sous_famille, designation, l.couleur, l.taille,
+               CAST(array_to_string(string_split(l.prix_vente, ','), '.') AS DOUBLE) AS prix_vente,
+               CAST(round(try_cast(l.quantite AS DOUBLE), 0) AS INTEGER) AS quantite,
+               CAST(array_to_string(string_split(l.total_ligne, ','), '.') AS DOUBLE) AS total_ligne, l.motif_avoir, l.vente_id,
+               CASE len(n) WHEN 3 THEN CASE WHEN length(n[1]) = 4
+                    THEN make_date(CAST(n[1] AS BIGINT), CAST(n[2] AS BIGINT), CAST(n[3] AS BIGINT))
+                    ELSE make_date(CAST(n[3] AS BIGINT), CAST(n[2] AS BIGINT), CAST(n[1] AS BIGINT)) END END AS date_vente,
+               l.vente_magasin, CAST(l.vente_total AS DOUBLE) AS vente_total,
+               l.nature, l.ext_id, l.segment_client, etat_vente
+        FROM (  -- of lines with one key the smallest by what else they say
+            SELECT ligne_id, ticket_id, designation, etat_vente, regexp_extract_all(date_vente, '[0-9]+') AS n,
+                   min({magasin: magasin, prix_vente: prix_vente, quantite: quantite, total_ligne: total_ligne,
+                        vente_id: vente_id, vente_total: vente_total, nature: nature, ext_id: ext_id, famille: famille,
+                        rayon: rayon, sous_famille: sous_famille, couleur: couleur, taille: taille,
+                        motif_avoir: motif_avoir, vente_magasin: vente_magasin, segment_client: segment_client}) AS l
+            FROM raw_till GROUP BY ligne_id, ticket_id, designation, date_vente, etat_vente)""",
     "teams": """
         SELECT month(o_orderdate) AS round, c_nationkey AS team, count(*) AS wins,
                count(*) FILTER (WHERE o_orderstatus = 'F') AS losses

@@ -43,6 +43,15 @@ class Inputs:
             F.col("l_extendedprice").alias("amount"),
             F.when(flag == "N", 1).when(flag == "A", 8).when(line == "F", 9).otherwise(4).alias("order_status_id"),
             F.when(F.col("l_discount") > 0, F.col("l_discount") > 0.08).alias("product_is_cancelled"),
+            F.col("l_suppkey").cast("string").alias("ext_id"),
+            (F.col("l_linenumber") % 3).cast("int").alias("category_id"),
+            (F.col("l_linenumber") % 2).cast("int").alias("ticket_status_id"),
+            F.date_format("l_shipdate", "yyyy-MM-dd").alias("order_creation_date"),
+            F.when(flag == "N", F.date_format("l_shipdate", "yyyy-MM-dd")).alias("order_validation_date"),
+            F.concat(F.lit("G"), "l_linenumber").alias("seat_gate"),
+            flag.alias("seat_stand"),
+            line.alias("seat_row"),
+            F.col("l_partkey").cast("string").alias("seat_number"),
         )
 
     def sessions(self) -> DataFrame:
