@@ -190,7 +190,7 @@ LIMITS = {"tag:textual": 0.7, "tag:other": 0.7, "tag:div": 0.7, "tag:section": 0
 # Chance that a child is what its parent is, by the place of the child and whether the parent is content:
 # the prior, and the bounds within which counts may move it.
 STAYS = {
-    ("plain", True): (0.97, 0.6, 0.98), ("plain", False): (0.9, 0.6, 0.98),
+    ("plain", True): (0.97, 0.6, 0.98), ("plain", False): (0.9, 0.6, 0.94),
     ("box", True): (0.05, 0.02, 0.3), ("box", False): (0.98, 0.9, 0.99),
     ("in box", True): (0.97, 0.9, 0.98), ("in box", False): (0.998, 0.99, 0.999),
 }
@@ -240,10 +240,12 @@ def _places(nodes: list[Node]) -> list[str]:
     for i in range(len(nodes) - 1, 0, -1):
         holds[nodes[i].parent] |= holds[i]
     places = ["plain"] * len(nodes)
+    inside = [False] * len(nodes)  # an article; a header there is its own
     for i, node in enumerate(nodes[1:], 1):
+        inside[i] = inside[node.parent] or node.tag in ("article", "main")
         if holds[i]:
             node.hint = "none" if node.hint == "box" else node.hint
-        elif node.tag in BOX or node.hint == "box":
+        elif node.tag in BOX or node.hint == "box" or node.tag == "header" and not inside[i]:
             places[i] = "box"
         elif places[node.parent] != "plain":
             places[i] = "in box"
