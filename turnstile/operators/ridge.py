@@ -9,6 +9,7 @@ then scores the rows. Leave-one-out errors come from the leverage of each row,
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -108,8 +109,8 @@ def _active(
     for name, labels in levels.items():
         position = F.lit(None).cast("int")
         if len(labels) > 1:
-            entries = [F.lit(x) for i, label in enumerate(labels[1:]) for x in (label, place + i + 1)]
-            position = F.try_element_at(F.create_map(*entries), F.col(name).cast("string"))
+            places = json.dumps({label: place + i + 1 for i, label in enumerate(labels[1:])})  # one literal, however many
+            position = F.try_element_at(F.from_json(F.lit(places), "map<string,int>"), F.col(name).cast("string"))
         parts.append((position, F.lit(1.0)))
         place += max(len(labels) - 1, 0)
     return parts
