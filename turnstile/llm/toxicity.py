@@ -42,8 +42,8 @@ TRIGRAMS = 200_000
 BEGINNINGS = range(4, 8)  # letters of a word's beginning that make a feature
 HIT = 0.98  # share of toxic texts among those with a toxic word
 SPREADS = (2.0, 4.0, 8.0, 16.0, 32.0, 64.0, 1e4)
-EVIDENCE = 0.5  # a feature below this is more likely a chance find, and is left out
-CACHED = 200_000
+EVIDENCE = 0.6  # a feature below this is more likely a chance find, and is left out
+CACHED = 50_000
 
 # What a symbol or digit may stand for.
 LOOKS_LIKE = {
@@ -283,9 +283,12 @@ def fit(labelled: DataFrame, model: CharacterModel, rows: int = FIT_ROWS) -> dic
     met = learnt.mapInPandas(spelled, "copies long, toxic int, feature array<string>, context array<long>").select(
         "copies", "toxic", F.explode(F.arrays_zip("feature", "context")).alias("seen")
     )
-    # copies with the same smallest word count once, and so do those that escape this but share the neighbours
-    once = met.groupBy("seen.feature", "copies").agg(F.max("toxic").alias("toxic"), F.min("seen.context").alias("context"))
-    once = once.groupBy("feature", "context").agg(F.max("toxic").alias("toxic"))
+    # copies with the same smallest word count once, and so do those that escape this but share the neighbours;
+    # such a group is toxic if most of its texts are, so a passage of many clean texts and a few toxic ones is not
+    once = met.groupBy("seen.feature", "copies").agg(
+        F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("texts"), F.min("seen.context").alias("context")
+    )
+    once = once.groupBy("feature", "context").agg((2 * F.sum("toxic") > F.sum("texts")).cast("int").alias("toxic"))
     once.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k")).where("n > 1").write.parquet(path)
     counted = spark.read.parquet(path).where("feature <> ''")
     seen = counted.groupBy("n", "k").agg(F.count(F.lit(1)).alias("m"))
