@@ -164,7 +164,11 @@ def train(docs: DataFrame, fit_bytes: int = FIT_BYTES) -> ContextTree | None:
     known = docs.where("lang is not null and text is not null")
     sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
     drawn = F.pmod(F.xxhash64(F.lit("fit"), "doc_id", F.octet_length("text")), F.lit(1 << 20))
-    shares = sizes.select(F.col("lang").alias("_lang"), F.ceil(F.least(fit_bytes / F.col("bytes"), F.lit(1.0)) * (1 << 20)).alias("upto"))
+    # one row a language, written so that the planner knows how small it is and leaves the texts where they are
+    path = scratch_path(spark, "shares")
+    upto = F.ceil(F.least(fit_bytes / F.col("bytes"), F.lit(1.0)) * (1 << 20)).alias("upto")
+    sizes.select(F.col("lang").alias("_lang"), upto).write.parquet(path)
+    shares = spark.read.parquet(path)
     learnt = known.join(shares, F.col("lang") == F.col("_lang")).where(drawn < F.col("upto")).select("lang", "text")
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
