@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")  # Spark's threads already fill the machine
+
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tests"))
