@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnstile.llm.alike import alike_links, first_members, with_shared_members
 from turnstile.llm.bk_trees import spanning_links
 from turnstile.llm.components import components
 from turnstile.llm.texts import lower_ascii, whole, words
@@ -162,68 +163,56 @@ def linked_documents(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Data
     return rows.join(named, "f0").select("doc_id", hexadecimal(1).alias("fingerprint"), "component_id")
 
 
-def _shingle_set(size: int) -> Column:
-    """Distinct hashes of the runs of ``size`` words of ``words``; of all words where there are fewer."""
-    steps = F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0)))
-    text = lambda i: F.concat_ws(" ", *(F.get("words", i + j) for j in range(size)))
-    return F.array_distinct(F.transform(steps, lambda i: F.xxhash64(text(i))))
+def with_run_sets(docs: DataFrame, shingle: int, *keep: Column | str) -> DataFrame:
+    """``keep`` columns and ``runs``, the sorted distinct hashes of the runs of ``shingle`` words; of all words where there are fewer."""
+    hashed = F.transform(words(lower_ascii(whole(F.col("text")))), lambda w: F.xxhash64(w))
+    split = docs.select(*keep, hashed.alias("_words"))
+    steps = F.sequence(F.lit(0), F.greatest(F.size("_words") - shingle, F.lit(0)))
+    runs = F.transform(steps, lambda i: F.xxhash64(*(F.get("_words", i + j) for j in range(shingle))))
+    return split.select(*(c for c in split.columns if c != "_words"), F.sort_array(F.array_distinct(runs)).alias("runs"))
 
 
-def without_near_duplicates(
-    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, width: int = 4, radius: int = 40
-) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
     """The documents without near-duplicates: of each group the one with the smallest doc_id stays, all columns as they are.
 
-    Candidates are fingerprints of ``64 * width`` bits over pairs of words, within
-    ``radius`` bits; a candidate link holds if the sets of ``shingle``-word runs have a
-    Jaccard similarity of at least ``similarity``. With 16 bands of 16 bits two texts
-    of similarity 0.8 differ in about 0.1 of the bits and meet in a band with a chance
-    of 0.97, of 0.9 with over 0.999; equal texts always do. Texts without words are equal.
+    Two texts are linked if the sets of their ``shingle``-word runs have a Jaccard
+    similarity of at least ``similarity``, and a group is what links connect. No link is
+    lost (see ``turnstile.llm.alike``). Texts with equal sets, so exact copies and
+    texts that repeat a line more or less often, are one from the start. Texts without
+    words are equal.
     """
-    names = [f"f{w}" for w in range(width)]
     text_key = F.md5(lower_ascii(whole(F.col("text"))).cast("binary")).alias("text_md5")
-    rows = _written(fingerprints(docs, [F.col("doc_id"), text_key], shingle=2, width=width), "fingerprints")
-    texts = _written(
-        rows.groupBy("text_md5", *names).agg(F.min("doc_id").alias("doc_id")), "texts"
+    runs = with_run_sets(docs, shingle, "doc_id", text_key)
+    key = F.concat(F.hex(F.xxhash64("runs")), F.lit("-"), F.hex(F.xxhash64(F.lit(1), "runs")))
+    rows = _written(
+        runs.select(
+            "doc_id", "text_md5", key.alias("key"), F.xxhash64("runs").alias("set"),
+            F.size("runs").alias("n"), first_members(F.col("runs"), similarity).alias("firsts"),
+        ),
+        "run-sets",
+    )
+    # the smallest doc_id of a set, and its text; a NULL doc_id comes last
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_md5")).alias("best")
+    texts = _written(rows.groupBy("key").agg(F.first("set").alias("set"), best), "texts")
+    asked = _written(with_shared_members(rows.select("set", "n", "firsts"), similarity), "asked")
+    firsts = texts.join(asked, "set", "left_semi").select(
+        "key", F.col("best.doc_id").alias("_doc_id"), F.col("best.text_md5").alias("_md5")
     )
-    prints = _written(texts.groupBy(*names).agg(F.min("text_md5").alias("first_text")), "prints")
-    found = links(prints, radius, width).distinct()
-    one = prints.select(*(F.col(n).alias(f"u{n[1:]}") for n in names), F.col("first_text").alias("u"))
-    other = prints.select(*(F.col(n).alias(f"v{n[1:]}") for n in names), F.col("first_text").alias("v"))
-    between = found.join(one, [f"u{w}" for w in range(width)]).join(other, [f"v{w}" for w in range(width)]).select("u", "v")
-    within = texts.join(prints, names).where("text_md5 <> first_text").select(F.col("text_md5").alias("u"), F.col("first_text").alias("v"))
-    candidates = _written(between.unionAll(within).distinct(), "candidates")
-
-    asked = candidates.select(F.col("u").alias("text_md5")).unionAll(candidates.select(F.col("v").alias("text_md5"))).distinct()
-    firsts = _written(texts.select("text_md5", "doc_id").join(asked, "text_md5", "left_semi"), "candidate-texts")
     chosen = docs.select("doc_id", "text", text_key).join(
-        firsts.select(F.col("doc_id").alias("_doc_id"), F.col("text_md5").alias("_md5")),
+        _written(firsts, "candidate-texts"),
         F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_md5") == F.col("_md5")),
-        "left_semi",
     )
-    sets = _written(
-        chosen.select("text_md5", words(lower_ascii(whole(F.col("text")))).alias("words"))
-        .select("text_md5", _shingle_set(shingle).alias("runs"))
-        .dropDuplicates(["text_md5"]),
-        "runs",
+    sets = with_run_sets(chosen, shingle, "key").dropDuplicates(["key"])
+    sets = _written(sets.select(F.monotonically_increasing_id().alias("set"), "key", F.col("runs").alias("members")), "sets")
+    roots = components(_written(alike_links(sets.select("set", "members"), similarity), "near-duplicates"))
+    named = _written(
+        sets.select("set", "key").join(roots, F.col("set") == F.col("node")).select("key", "root"), "linked"
     )
-    sides = candidates.join(sets.select(F.col("text_md5").alias("u"), F.col("runs").alias("u_runs")), "u").join(
-        sets.select(F.col("text_md5").alias("v"), F.col("runs").alias("v_runs")), "v"
-    )
-    shared = F.size(F.array_intersect("u_runs", "v_runs"))
-    alike = shared / (F.size("u_runs") + F.size("v_runs") - shared) >= similarity
-    edges = _written(sides.where(alike).select("u", "v"), "near-duplicates")
-
-    roots = components(edges)
+    ends = sets.select(F.col("set").alias("root"), F.col("key").alias("root_key")).join(named, "root").select("key", "root_key")
     rooted = _written(
-        texts.join(roots, F.col("text_md5") == F.col("node"), "left").select(
-            "text_md5", "doc_id", F.coalesce("root", "text_md5").alias("root")
-        ),
-        "rooted",
+        texts.join(ends, "key", "left").select("best", F.coalesce("root_key", "key").alias("root")), "rooted"
     )
-    # the smallest doc_id of a group, and its text; a NULL doc_id comes last
-    order = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_md5"))
-    stays = rooted.groupBy("root").agg(order.alias("best")).select(
+    stays = rooted.groupBy("root").agg(F.min("best").alias("best")).select(
         F.col("best.doc_id").alias("_doc_id"), F.col("best.text_md5").alias("_md5")
     )
     stays = _written(stays, "stays")
