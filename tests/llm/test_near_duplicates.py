@@ -66,3 +66,20 @@ def test_variants_that_only_their_base_connects(spark, monkeypatch, part_sets):
     expected = staying(docs)
     assert len(expected) < 40
     assert kept(spark, docs) == expected
+
+
+def block_and_line_texts(rng):
+    docs = []
+    for i in range(20):  # a block appended to a text: similarity 0.80 to 0.82
+        body = prose(rng, 400)
+        docs += [(10 * i, " ".join(body)), (10 * i + 1, " ".join(body + prose(rng, 88 + i % 13)))]
+        docs.append((10 * i + 2, " ".join(body + prose(rng, 104))))  # and just below 0.8
+    for i in range(20, 40):  # a line repeated more often in one copy
+        body, line = prose(rng, 300), prose(rng, 10)
+        docs += [(10 * i, " ".join(body + 2 * line)), (10 * i + 1, " ".join(body + (30 + 70 * (i % 2)) * line))]
+    return docs
+
+
+def test_appended_blocks_and_repeated_lines(spark):
+    docs = block_and_line_texts(np.random.default_rng(4))
+    assert kept(spark, docs) == staying(docs)
