@@ -83,3 +83,16 @@ def block_and_line_texts(rng):
 def test_appended_blocks_and_repeated_lines(spark):
     docs = block_and_line_texts(np.random.default_rng(4))
     assert kept(spark, docs) == staying(docs)
+
+
+def texts_of_one_fingerprint(rng):
+    docs = []
+    for i in range(12):  # a hot pair of words outweighs what tells the texts apart
+        body = prose(rng, 120)
+        docs += [(10 * i + j, " ".join(edited(rng, body, j) + ["la"] * 5000)) for j in range(3)]
+    return docs
+
+
+def test_unlike_texts_of_one_fingerprint(spark):
+    docs = texts_of_one_fingerprint(np.random.default_rng(5))
+    assert kept(spark, docs) == staying(docs)
