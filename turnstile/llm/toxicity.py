@@ -13,8 +13,8 @@ what its value says. A word counts once for each pair of neighbours it is seen w
 so copies of a text, and passages that many texts share, count once.
 
 At most ``FIT_ROWS`` labelled texts, drawn by hash, are used to fit the scorer
-(a documented bound of the classifier); the language model has no bound on its
-input, and ``TRIGRAMS`` bounds what of it travels to the tasks.
+(a documented bound of the classifier); the language model has no bound: all
+trigrams of all words travel to the tasks, in two sorted arrays of 16 bytes each.
 
 Defined results: a NULL or empty text gets the score of a text without evidence;
 repeated rows get the same score; rows without a label, or with a NULL one, are not
@@ -27,9 +27,10 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,12 +39,12 @@ from turnstile.llm.texts import whole
 from turnstile.session import scratch_path
 
 FIT_ROWS = 10_000
-TRIGRAMS = 200_000
 BEGINNINGS = range(4, 8)  # letters of a word's beginning that make a feature
 HIT = 0.98  # share of toxic texts among those with a toxic word
 SPREADS = (2.0, 4.0, 8.0, 16.0, 32.0, 64.0, 1e4)
 EVIDENCE = 0.6  # a feature below this is more likely a chance find, and is left out
 CACHED = 50_000
+LETTER_BITS = 21
 
 # What a symbol or digit may stand for.
 LOOKS_LIKE = {
@@ -62,38 +63,60 @@ DISGUISED = re.compile(
 )
 
 
-@dataclass(frozen=True)
+class Costs:
+    """Costs by code, found by bisection in sorted arrays."""
+
+    def __init__(self, codes: np.ndarray, costs: np.ndarray):
+        self.codes, self.costs = codes, costs
+
+    def get(self, code: int) -> float | None:
+        at = bisect_left(self.codes, code)
+        return float(self.costs[at]) if at < len(self.codes) and self.codes[at] == code else None
+
+
+def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct codes, the sum of the counts of each, and where each given code is."""
+    found, place = np.unique(codes, return_inverse=True)
+    return found, np.bincount(place, counts, len(found)), place
+
+
 class CharacterModel:
-    """Costs of a letter after two others, backed off to fewer; ' ' ends and begins words."""
-
-    three: dict[str, float]
-    two: dict[str, float]
-    one: dict[str, float]
-
-    @classmethod
-    def of(cls, counts: dict[str, float]) -> CharacterModel:
-        """From trigram counts, by absolute discounting."""
-        pairs: dict[str, float] = {}
-        heads: dict[str, float] = {}
-        tails: dict[str, float] = {}
-        singles: dict[str, float] = {}
-        for tri, n in counts.items():
-            heads[tri[:2]] = heads.get(tri[:2], 0) + n
-            pairs[tri[1:]] = pairs.get(tri[1:], 0) + n
-        for two, n in pairs.items():
-            tails[two[0]] = tails.get(two[0], 0) + n
-            singles[two[1]] = singles.get(two[1], 0) + n
-        total = sum(singles.values()) or 1
-        one = {c: -math.log(n / total) for c, n in singles.items()}
-        two = {p: -math.log(max(n - 0.5, 0.5) / tails[p[0]]) for p, n in pairs.items()}
-        three = {t: -math.log(max(n - 0.5, 0.5) / heads[t[:2]]) for t, n in counts.items()}
-        return cls(three, two, one)
+    """Costs of a letter after two others, backed off to fewer; ' ' ends and begins words.
+
+    Letters are codes of ``LETTER_BITS``, the first of a gram highest. Costs once
+    asked for are kept in a dictionary.
+    """
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        """From all trigrams and how often each occurs, by absolute discounting."""
+        order = np.argsort(codes)
+        codes, counts = np.asarray(codes, np.int64)[order], np.asarray(counts, np.float64)[order]
+        letter = (1 << LETTER_BITS) - 1
+        _, heads, head = _summed(codes >> LETTER_BITS, counts)
+        pairs, pair_counts, _ = _summed(codes & ((1 << 2 * LETTER_BITS) - 1), counts)
+        _, tails, tail = _summed(pairs >> LETTER_BITS, pair_counts)
+        singles, single_counts, _ = _summed(pairs & letter, pair_counts)
+        self.three = Costs(codes, -np.log(np.maximum(counts - 0.5, 0.5) / heads[head]))
+        self.two = Costs(pairs, -np.log(np.maximum(pair_counts - 0.5, 0.5) / tails[tail]))
+        self.one = Costs(singles, -np.log(single_counts / (single_counts.sum() or 1)))
+        self.known: dict[str, float] = {}
 
     def cost(self, before: str, letter: str) -> float:
-        found = self.three.get(before + letter)
+        gram = before + letter
+        found = self.known.get(gram)
         if found is None:
-            found = self.two.get(before[1] + letter)
-            found = 2.0 + (found if found is not None else 2.0 + self.one.get(letter, UNKNOWN))
+            first, second, third = map(ord, gram)
+            pair = second << LETTER_BITS | third
+            found = self.three.get(first << 2 * LETTER_BITS | pair)
+            if found is None:
+                found = self.two.get(pair)
+                if found is None:
+                    found = self.one.get(third)
+                    found = 2.0 + (found if found is not None else UNKNOWN)
+                found += 2.0
+            if len(self.known) >= CACHED:
+                self.known.clear()
+            self.known[gram] = found
         return found
 
 
@@ -212,10 +235,12 @@ def character_model(docs: DataFrame) -> CharacterModel:
         .select(padded.alias("padded"), "n", places)
         .groupBy(F.substr("padded", F.col("place"), F.lit(3)).alias("gram"))
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "gram")
-        .limit(TRIGRAMS)  # the bound of the model's size; rarer ones are read by pairs
     )
-    return CharacterModel.of({r["gram"]: float(r["n"]) for r in counted.collect()})
+    code = F.lit(0).cast("long")
+    for place in (1, 2, 3):
+        code = F.shiftleft(code, LETTER_BITS).bitwiseOR(F.ascii(F.substring("gram", place, 1)).cast("long"))
+    grams = counted.select(code.alias("code"), "n").toArrow()
+    return CharacterModel(grams["code"].to_numpy(), grams["n"].to_numpy())
 
 
 def _features(words: set[str]) -> set[str]:
