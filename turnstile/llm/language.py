@@ -6,12 +6,17 @@ exact: from the longest context of the language that fits, with the chance of
 escape (method C) to shorter ones, bytes already refused excluded, down to equal
 chances for all bytes. The language with the shortest code is predicted.
 
-The statistics are frozen, so all code lengths are computed once, for the union of
-the languages' contexts, into one table; reading a text is then a walk through the
-tree and a sum of table rows, on arrays of whole batches. The tree keeps the most
-frequent contexts that fit ``CELLS`` table cells. Training uses at most about
-``FIT_BYTES`` of text a language, drawn by hash (a documented bound); counting it
-is a grouped sum. Every text is read whole, in pieces that overlap by a context.
+The statistics are frozen and kept sparsely: for each language the contexts and the
+bytes seen after them, sorted by code. Every context of the training texts is kept,
+however many languages there are. A follower of a context follows its shorter
+contexts too, so what is excluded after an escape depends on the context escaped
+from alone, and costs add up along the shortening contexts. A batch of texts is read
+as its distinct runs of bytes; every text is read whole, in pieces that overlap by a
+context.
+
+Training uses at most ``FIT_BYTES`` of text a language and one piece (a documented
+bound), in pieces of ``FIT_PIECE`` letters drawn by hash from all its texts, and at
+least one; counting it is a grouped sum.
 
 Defined results: a NULL text, or one without a letter, is ``und`` with score 0, as
 is every text if no training text has a language. Equal texts get equal results,
@@ -28,95 +33,133 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.llm.texts import whole
 from turnstile.session import scratch_path
 
 ORDER = 4
-CELLS = 1 << 22
 FIT_BYTES = 2_000_000
+FIT_PIECE = 4096  # letters
 PIECE = 1 << 20  # bytes of one text that are read at once
 BATCH_BYTES = 1 << 21
 LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
-class ContextTree:
-    """Union of the contexts of all languages; node 0 is the empty context.
+class Contexts:
+    """A language's contexts of one length and the grams of a context and a byte, by code.
 
-    ``child[node, byte]`` is the context one byte longer to the left, 0 if there is
-    none; ``bits[node * 256 + byte]`` has the code length under each language.
+    Costs in bits. A gram costs its context's ``start``, or the ``entry`` of the longer
+    context escaped from, less its ``seen``. ``leave`` is the escape of a context no
+    longer one precedes, ``entry`` and ``on`` are what its shorter context gives and
+    costs to escape once this one's followers are excluded.
     """
 
+    grams: np.ndarray
+    seen: np.ndarray
+    codes: np.ndarray
+    start: np.ndarray
+    leave: np.ndarray
+    entry: np.ndarray
+    on: np.ndarray
+
+
+@dataclass(frozen=True)
+class ContextTree:
+    """For each language its contexts by length, and the bits of a byte that no text had."""
+
     languages: list[str]
-    child: np.ndarray
-    bits: np.ndarray
+    levels: list[list[Contexts]]
+    unseen: list[float]
+
+    @property
+    def bits(self) -> np.ndarray:
+        """All code lengths after all full contexts, a row for each context and byte: for small trees."""
+        codes = np.unique(np.concatenate([levels[ORDER].codes for levels in self.levels]))
+        grams = (codes[:, None] << np.uint64(8) | np.arange(256, dtype=np.uint64)).ravel()
+        return np.stack([_bits(grams, *model) for model in zip(self.levels, self.unseen)], axis=1)
+
+
+def _runs(padded: bytes) -> np.ndarray:
+    """The code of the ORDER + 1 bytes that end at each byte after the first ORDER."""
+    data = np.frombuffer(padded, np.uint8)
+    size = len(data) - ORDER
+    codes = np.zeros(size, np.uint64)
+    for i in range(ORDER + 1):
+        codes = (codes << np.uint64(8)) | data[i : i + size]
+    return codes
 
 
-def gram_counts(texts: list[bytes]) -> dict[bytes, int]:
-    """How often each run of ORDER + 1 bytes occurs; each text follows ORDER spaces."""
+def gram_counts(texts: list[bytes], before: list[bytes] | None = None) -> dict[bytes, int]:
+    """How often each run of ORDER + 1 bytes occurs; each text follows what is before it, after ORDER spaces."""
     found: dict[bytes, int] = defaultdict(int)
-    for text in texts:
-        padded = b" " * ORDER + text
-        codes = np.zeros(len(text), np.uint64)
-        data = np.frombuffer(padded, np.uint8).astype(np.uint64)
-        for i in range(ORDER + 1):
-            codes = (codes << np.uint64(8)) | data[i : i + len(text)]
-        for code, n in zip(*np.unique(codes, return_counts=True)):
+    for text, context in zip(texts, before or [b""] * len(texts)):
+        for code, n in zip(*np.unique(_runs(context.rjust(ORDER, b" ")[-ORDER:] + text), return_counts=True)):
             found[int(code).to_bytes(ORDER + 1, "big")] += int(n)
     return found
 
 
-def build_tree(grams: dict[str, dict[bytes, int]], cells: int = CELLS) -> ContextTree:
-    """The tree and its code lengths from each language's gram counts."""
+def build_tree(grams: dict[str, dict[bytes, int]]) -> ContextTree:
+    """The tree from each language's gram counts."""
     languages = sorted(grams)
-    room = max(256, cells // (256 * len(languages)))
-    followers: dict[str, dict[bytes, dict[int, int]]] = {}
-    weight: dict[bytes, int] = defaultdict(int)
-    for name in languages:
-        mine: dict[bytes, dict[int, int]] = defaultdict(lambda: defaultdict(int))
-        for gram, n in grams[name].items():
-            for length in range(ORDER + 1):
-                context = gram[ORDER - length : ORDER]
-                mine[context][gram[ORDER]] += n
-                weight[context] += n
-        followers[name] = mine
-    # a context is never rarer than a longer one, so the most frequent ones are closed under shortening
-    contexts = sorted(weight, key=lambda c: (-weight[c], len(c), c))[:room]
-    contexts.sort(key=lambda c: (len(c), c))
-    number = {c: i for i, c in enumerate(contexts)}
-    child = np.zeros((len(contexts), 256), np.int32)
-    for context, node in number.items():
-        if context:
-            child[number[context[1:]], context[0]] = node
-    bits = np.zeros((len(contexts), 256, len(languages)), np.float32)
-    for column, name in enumerate(languages):
-        for context, node in number.items():
-            bits[node, :, column] = _code_lengths(context, followers[name])
-    return ContextTree(languages, child, bits.reshape(-1, len(languages)))
-
-
-def _code_lengths(context: bytes, followers: dict[bytes, dict[int, int]]) -> np.ndarray:
-    """Bits for each next byte after a context, from its longest known suffix down."""
-    lengths = np.zeros(256)
-    open_bytes = np.ones(256, bool)
-    spent = 0.0
-    for start in range(len(context) + 1):
-        seen = followers.get(context[start:])
-        if not seen:
-            continue
-        new = [(byte, n) for byte, n in seen.items() if open_bytes[byte]]
-        if not new:
-            continue
-        total = sum(n for _, n in new) + len(new)
-        for byte, n in new:
-            lengths[byte] = spent - math.log2(n / total)
-            open_bytes[byte] = False
-        spent -= math.log2(len(new) / total)
-    lengths[open_bytes] = spent + math.log2(max(1, open_bytes.sum()))
-    return lengths
+    built = [_levels(grams[name]) for name in languages]
+    return ContextTree(languages, [levels for levels, _ in built], [unseen for _, unseen in built])
+
+
+def _levels(counts: dict[bytes, int]) -> tuple[list[Contexts], float]:
+    full = np.array([int.from_bytes(gram, "big") for gram in counts], np.uint64)
+    many = np.array(list(counts.values()), float)
+    levels: list[Contexts] = []
+    shorter, shorter_n = np.zeros(0, np.uint64), np.zeros(0)
+    totals, kinds, parent = np.zeros(0), np.zeros(0), np.zeros(0, np.uint64)
+    for length in range(ORDER + 1):
+        grams, place = np.unique(full & np.uint64((1 << 8 * (length + 1)) - 1), return_inverse=True)
+        n = np.bincount(place, many, len(grams))
+        codes, of = np.unique(grams >> np.uint64(8), return_inverse=True)
+        total, kind = np.bincount(of, n, len(codes)), np.bincount(of, minlength=len(codes)).astype(float)
+        start = np.log2(total + kind)
+        entry, on = np.zeros(len(codes)), np.zeros(len(codes))
+        if length:
+            below = np.searchsorted(shorter, grams & np.uint64((1 << 8 * length) - 1))
+            up = np.searchsorted(parent, codes & np.uint64((1 << 8 * (length - 1)) - 1))
+            new = kinds[up] - kind
+            left = totals[up] - np.bincount(of, shorter_n[below], len(codes)) + new
+            some = new > 0  # a shorter context without another follower is passed over
+            entry[some] = np.log2(left[some])
+            on[some] = entry[some] - np.log2(new[some])
+        levels.append(Contexts(grams, np.log2(n), codes, start, start - np.log2(kind), entry, on))
+        shorter, shorter_n, totals, kinds, parent = grams, n, total, kind, codes
+    return levels, math.log2(max(1, 256 - len(levels[0].grams)))
+
+
+def _find(codes: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the asked codes are in sorted codes, and whether they are."""
+    at = np.minimum(np.searchsorted(codes, asked), len(codes) - 1)
+    return at, codes[at] == asked
+
+
+def _bits(runs: np.ndarray, levels: list[Contexts], unseen: float) -> np.ndarray:
+    """Bits of the last byte of each run of ORDER + 1 bytes, sorted or not, under one language."""
+    cost, spent = np.zeros(len(runs)), np.zeros(len(runs))
+    entry = np.full(len(runs), -1.0)  # of the longer context escaped from; -1 without one
+    on = np.zeros(len(runs))
+    rows = np.arange(len(runs))
+    for length in range(ORDER, -1, -1):
+        level = levels[length]
+        grams = runs[rows] & np.uint64((1 << 8 * (length + 1)) - 1)
+        context, known = _find(level.codes, grams >> np.uint64(8))
+        gram, seen = _find(level.grams, grams)
+        first = entry[rows] < 0
+        cost[rows[seen]] = (spent[rows] + np.where(first, level.start[context], entry[rows]) - level.seen[gram])[seen]
+        rest = ~seen
+        rows, context, known, first = rows[rest], context[rest], known[rest], first[rest]
+        spent[rows] += np.where(known, np.where(first, level.leave[context], on[rows]), 0)
+        went = rows[known]
+        entry[went], on[went] = level.entry[context[known]], level.on[context[known]]
+    cost[rows] = spent[rows] + unseen
+    return cost
 
 
 def code_lengths(texts: list[bytes], tree: ContextTree) -> np.ndarray:
@@ -127,21 +170,16 @@ def code_lengths(texts: list[bytes], tree: ContextTree) -> np.ndarray:
     def read() -> None:
         if not pieces:
             return
-        data = np.frombuffer(b"".join(pieces), np.uint8)
+        codes = _runs(b" " * ORDER + b"".join(pieces))
         sizes = np.array([len(p) for p in pieces])
-        node = np.zeros(len(data), np.int32)
-        longer = np.ones(len(data), bool)
-        for back in range(1, ORDER + 1):
-            before = np.zeros(len(data), np.uint8)
-            before[back:] = data[:-back]
-            deeper = tree.child[node, before]
-            longer &= deeper > 0
-            node = np.where(longer, deeper, node)
         starts = np.cumsum(sizes) - sizes
-        costs = tree.bits[node.astype(np.int64) * 256 + data]
+        counted = np.ones(len(codes), bool)
         for i in range(ORDER):  # the bytes before a piece are context only
-            costs[starts + i] = 0
-        np.add.at(total, owners, np.add.reduceat(costs, starts, axis=0, dtype=np.float64))
+            counted[starts + i] = False
+        runs, place = np.unique(codes, return_inverse=True)
+        for column, model in enumerate(zip(tree.levels, tree.unseen)):
+            costs = np.where(counted, _bits(runs, *model)[place], 0)
+            np.add.at(total[:, column], owners, np.add.reduceat(costs, starts))
         pieces.clear()
         owners.clear()
 
@@ -161,20 +199,36 @@ def code_lengths(texts: list[bytes], tree: ContextTree) -> np.ndarray:
 def train(docs: DataFrame, fit_bytes: int = FIT_BYTES) -> ContextTree | None:
     """The tree of a sample of (doc_id, text, lang); None without any."""
     spark = docs.sparkSession
-    known = docs.where("lang is not null and text is not null")
-    sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
-    drawn = F.pmod(F.xxhash64(F.lit("fit"), "doc_id", F.octet_length("text")), F.lit(1 << 20))
+    known = docs.where("lang is not null and text <> ''").select(
+        "lang", "text", F.xxhash64(F.lit("fit"), "doc_id", "text").alias("drawn"), F.length("text").alias("letters")
+    )
+    sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"), F.min("drawn").alias("_least"))
     # one row a language, written so that the planner knows how small it is and leaves the texts where they are
     path = scratch_path(spark, "shares")
-    upto = F.ceil(F.least(fit_bytes / F.col("bytes"), F.lit(1.0)) * (1 << 20)).alias("upto")
-    sizes.select(F.col("lang").alias("_lang"), upto).write.parquet(path)
+    # twice what is asked, of which the first by hash are taken
+    upto = F.ceil(F.least(2 * fit_bytes / F.col("bytes"), F.lit(1.0)) * (1 << 30)).alias("upto")
+    sizes.select(F.col("lang").alias("_lang"), upto, "_least").write.parquet(path)
     shares = spark.read.parquet(path)
-    learnt = known.join(shares, F.col("lang") == F.col("_lang")).where(drawn < F.col("upto")).select("lang", "text")
+    numbers = F.sequence(F.lit(0), F.floor((F.col("letters") - 1) / FIT_PIECE).cast("int"))
+    place = lambda b: F.xxhash64("drawn", b)
+    taken = F.filter(
+        numbers,
+        lambda b: (F.pmod(place(b), F.lit(1 << 30)) < F.col("upto")) | ((b == 0) & (F.col("drawn") == F.col("_least"))),
+    )
+    piece = lambda b: F.struct(
+        place(b).alias("place"),
+        F.substring("text", b * FIT_PIECE + 1, F.lit(FIT_PIECE)).alias("text"),
+        F.when(b > 0, F.substring("text", b * FIT_PIECE + 1 - ORDER, F.lit(ORDER))).otherwise("").alias("before"),
+    )
+    pieces = known.join(shares, F.col("lang") == F.col("_lang")).select("lang", F.explode(F.transform(taken, piece)).alias("piece"))
+    order = Window.partitionBy("lang").orderBy("piece.place", "piece.text").rowsBetween(Window.unboundedPreceding, -1)
+    sofar = F.coalesce(F.sum(F.octet_length("piece.text")).over(order), F.lit(0))
+    learnt = pieces.withColumn("sofar", sofar).where(F.col("sofar") < fit_bytes).select("lang", "piece.text", "piece.before")
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for lang, texts in frame.groupby("lang")["text"]:
-                counts = gram_counts([t.encode() for t in texts])
+            for lang, rows in frame.groupby("lang"):
+                counts = gram_counts([t.encode() for t in rows["text"]], [t.encode() for t in rows["before"]])
                 yield pd.DataFrame({"lang": lang, "gram": list(counts), "n": list(counts.values())})
 
     path = scratch_path(spark, "grams")
@@ -182,7 +236,7 @@ def train(docs: DataFrame, fit_bytes: int = FIT_BYTES) -> ContextTree | None:
         F.sum("n").alias("n")
     ).write.parquet(path)
     grams: dict[str, dict[bytes, int]] = defaultdict(dict)
-    for row in spark.read.parquet(path).collect():  # at most fit_bytes rows a language
+    for row in spark.read.parquet(path).collect():  # at most fit_bytes and a piece's bytes a language
         grams[row["lang"]][bytes(row["gram"])] = row["n"]
     return build_tree(grams) if grams else None
 
@@ -193,7 +247,7 @@ def predicted(docs: DataFrame, tree: ContextTree | None, keep: list[Column]) ->
     schema = docs.select(*keep, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     if tree is None:
         return docs.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast((tree.languages, tree.child, tree.bits))  # CELLS numbers, whatever the corpus
+    shared = docs.sparkSession.sparkContext.broadcast((tree.languages, tree.levels, tree.unseen))  # at most ORDER + 1 grams a byte learnt from
 
     def told(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = ContextTree(*shared.value)
