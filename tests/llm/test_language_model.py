@@ -2,9 +2,53 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+
 from turnstile.llm import language
 
 
+def slow_bits(run, grams):
+    """Partial matching for one byte, method C with exclusion, by the definition."""
+    excluded, spent = set(), 0.0
+    for length in range(language.ORDER, -1, -1):
+        context = run[language.ORDER - length : language.ORDER]
+        seen = {}
+        for gram, n in grams.items():
+            if gram[language.ORDER - length : language.ORDER] == context and gram[-1] not in excluded:
+                seen[gram[-1]] = seen.get(gram[-1], 0) + n
+        if not seen:
+            continue
+        total = sum(seen.values()) + len(seen)
+        if run[-1] in seen:
+            return spent - math.log2(seen[run[-1]] / total)
+        spent -= math.log2(len(seen) / total)
+        excluded |= set(seen)
+    return spent + math.log2(max(1, 256 - len(excluded)))
+
+
+def test_code_lengths_by_the_definition():
+    rng = np.random.default_rng(1)
+    write = lambda n: bytes(rng.choice(list(b"abcde "), n, p=[0.4, 0.25, 0.15, 0.1, 0.05, 0.05]))
+    grams = {name: language.gram_counts([write(80), write(30)]) for name in "xyz"}
+    tree = language.build_tree(grams)
+    text = write(60) + b"q" + write(10)
+    padded = b" " * language.ORDER + text
+    runs = [padded[i : i + language.ORDER + 1] for i in range(len(text))]
+    expected = [sum(slow_bits(run, grams[name]) for run in runs) for name in "xyz"]
+    assert np.allclose(language.code_lengths([text], tree)[0], expected)
+
+
+def test_contexts_do_not_get_fewer_with_more_languages():
+    rng = np.random.default_rng(2)
+    one = language.gram_counts([rng.integers(97, 123, 5000).astype(np.uint8).tobytes()])
+    many = {f"l{i}": language.gram_counts([rng.integers(97, 123, 5000).astype(np.uint8).tobytes()]) for i in range(70)}
+    text = [b"abcdefgh" * 20]
+    alone, among = language.build_tree({"a": one}), language.build_tree({"a": one, **many})
+    assert language.code_lengths(text, alone)[0, 0] == language.code_lengths(text, among)[0, 0]
+
+
 def test_few_long_documents_are_learnt_from(spark):
     said = {"en": "the cat and the dog went over the hill with ", "fr": "le chat et la souris sont dans la maison avec "}
     docs = [(i, said["en"] * 3, "en") for i in range(20)] + [(100 + i, said["fr"] * 5000, "fr") for i in range(4)]
