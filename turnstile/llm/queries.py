@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from turnstile.llm.decontaminate import contamination
 from turnstile.llm.exact_dedup import exact_duplicates
+from turnstile.llm.filter_audit import filter_audit
 from turnstile.llm.html_text import page_texts
 from turnstile.llm.language import languages
 from turnstile.llm.mixing import mixed
@@ -216,3 +217,57 @@ def op5_site_shrinkage(spark: SparkSession, folder: str) -> DataFrame:
     source = F.col("source")
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return quality(docs, labels, host=source, path=F.concat_ws("/", source, F.col("lang")))
+
+
+@query(
+    r"""
+    WITH rows AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+    ), firsts AS (
+        SELECT text, min(doc_id) AS first FROM rows GROUP BY text
+    ), worded AS (
+        SELECT r.doc_id, r.part, r.text, f.first, regexp_extract_all(r.text, '[^\x20\x09-\x0D]+') AS words
+        FROM rows r JOIN firsts f ON f.text = r.text
+    ), fails AS (
+        SELECT doc_id, part, MAP {
+            'A': len(words) < 200,
+            'B': 100 * len(list_distinct(words)) < 50 * len(words),
+            'C': 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text),
+            'D': regexp_matches(text, '[#$%&*|]'),
+            'E': coalesce(first < doc_id, false)} AS failed
+        FROM worded
+    ), marked AS (
+        SELECT f.part, f.failed,
+            coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic
+        FROM fails f LEFT JOIN (
+            SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+        ) l ON l.doc_id = f.doc_id
+    ), masks AS (
+        SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM marked GROUP BY ALL
+    ), letters AS (
+        SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+    ), orders AS (
+        SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+    ), steps AS (
+        SELECT filter_order, step, filter_order[step] AS letter, string_split(left(filter_order, step - 1), '') AS before
+        FROM orders, (SELECT unnest(range(1, 6)) AS step)
+    ), told AS (
+        SELECT part, filter_order, step, letter,
+            sum(n * (NOT failed[letter] AND NOT coalesce(list_bool_or([failed[b] FOR b IN before]), false))::INT) AS kept,
+            sum(n * (failed[letter] AND NOT coalesce(list_bool_or([failed[b] FOR b IN before]), false))::INT) AS removed,
+            sum(n * (failed[letter] AND coalesce(list_bool_or([failed[b] FOR b IN before]), false))::INT) AS redundant,
+            sum(n * (failed[letter] AND len(list_filter(map_values(failed), lambda v: v)) = 1)::INT) AS unique_fails,
+            sum(good * (failed[letter] AND NOT coalesce(list_bool_or([failed[b] FOR b IN before]), false))::INT) AS good_lost,
+            sum(toxic * (failed[letter] AND NOT coalesce(list_bool_or([failed[b] FOR b IN before]), false))::INT) AS toxic_lost
+        FROM masks, steps GROUP BY ALL
+    )
+    SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+        unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+        sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
+    FROM told
+    """
+)
+def op11_failure_diagrams(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
