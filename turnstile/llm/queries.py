@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnstile.llm.conversation_repair import repair_report
 from turnstile.llm.decontaminate import contamination
 from turnstile.llm.exact_dedup import exact_duplicates
 from turnstile.llm.filter_audit import filter_audit
@@ -271,3 +272,8 @@ def op5_site_shrinkage(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op11_failure_diagrams(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op13_checkpointed_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_report(table(spark, folder, "conversations"))
