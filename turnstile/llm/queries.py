@@ -19,6 +19,7 @@ from turnstile.llm.sharding import sharded
 from turnstile.llm.simhash import linked_documents
 from turnstile.llm.toxicity import toxicity
 from turnstile.llm.url_filter import Rule, canonical, host_of, judged
+from turnstile.llm.vector_lists import nearest, usable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -277,3 +278,9 @@ def op11_failure_diagrams(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op13_checkpointed_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair_report(table(spark, folder, "conversations"))
+
+
+@query()
+def op12_balanced_lists(spark: SparkSession, folder: str) -> DataFrame:
+    rows = usable(table(spark, folder, "embeddings"))
+    return nearest(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
