@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import datetime as dt
 import random
 
@@ -168,6 +169,91 @@ def test_boxes(spark):
     assert rows(stats.box_outliers(df, "v", ["g"])) == [("a", -50.0), ("a", 100.0)]
 
 
+@pytest.fixture
+def skewed(spark):
+    """Groups of unlike size and scale, one with a third of all rows, with values over many magnitudes."""
+    rng = np.random.default_rng(17)
+    return pd.DataFrame(
+        {
+            "g": np.where(np.arange(9000) % 3 == 0, "hot", np.char.add("g", (np.arange(9000) % 7).astype(str))),
+            "v": np.concatenate([rng.normal(size=3000), rng.lognormal(0, 40, 3000), rng.integers(0, 9, 3000), ]) * np.where(rng.random(9000) < 0.1, -1e6, 1),
+        }
+    )
+
+
+def test_ranges_are_cut_until_they_are_small(spark, skewed, monkeypatch):
+    monkeypatch.setattr(stats, "RANGE_ROWS", 20)
+    monkeypatch.setattr(stats, "MOST_CUTS", 7)
+    cuts = []
+    monkeypatch.setattr(stats, "_cut_points", lambda rows, cut=stats._cut_points: cuts.append(rows.count()) or cut(rows))
+    df = spark.createDataFrame(skewed).repartition(8)
+    wanted = {"lo": 0.0, "a": 0.1, "q": 0.25, "m": 0.5, "x": 0.999, "hi": 1.0}
+    got = {r.g: r for r in stats.quantiles(df, "v", wanted, ["g"]).collect()}
+    for g, part in skewed.groupby("g").v:
+        assert [got[g][n] for n in wanted] == pytest.approx([part.quantile(p) for p in wanted.values()], rel=1e-12)
+    # Several rounds, each over fewer values than the one before.
+    assert len(cuts) > 2 and cuts == sorted(cuts, reverse=True) and cuts[-1] < cuts[0] / 2
+    everything = stats.quantiles(df, "v", wanted).first()
+    assert [everything[n] for n in wanted] == pytest.approx([skewed.v.quantile(p) for p in wanted.values()], rel=1e-12)
+
+
+def test_values_beyond_all_numbers_are_ranked(spark, monkeypatch):
+    monkeypatch.setattr(stats, "RANGE_ROWS", 2)
+    inf, nan = float("inf"), float("nan")
+    values = [-inf, -1e308, -0.0, 0.0, 5e-324, 1.0, 1.0, 1e308, inf, inf]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert stats.quantiles(df, "v", {f"r{i}": i / 9 for i in range(10)}).first()[3:7] == (0.0, 5e-324, 1.0, 1.0)
+    df = spark.createDataFrame([(v,) for v in [1.0, 2.0, nan]], "v double")
+    assert stats.quantiles(df, "v", {"m": 0.5}).first()[0] == 2.0
+
+
+@pytest.mark.parametrize("range_rows", [10, 1 << 16])
+def test_boxes_of_large_groups(spark, skewed, monkeypatch, range_rows):
+    monkeypatch.setattr(stats, "RANGE_ROWS", range_rows)
+    df = spark.createDataFrame(skewed).repartition(8)
+    got = {r.g: r for r in stats.box_summary(df, "v", ["g"]).collect()}
+    outliers = 0
+    for g, part in skewed.groupby("g").v:
+        q25, q75 = part.quantile(0.25), part.quantile(0.75)
+        inside = part[(part >= q25 - 1.5 * (q75 - q25)) & (part <= q75 + 1.5 * (q75 - q25))]
+        assert (got[g].whisker_low, got[g].whisker_high) == pytest.approx((inside.min(), inside.max()))
+        assert got[g].n_outliers == len(part) - len(inside)
+        outliers += len(part) - len(inside)
+    assert stats.box_outliers(df, "v", ["g"]).count() == outliers
+    summary = {r.g: r for r in stats.describe(df, "v", ["g"]).collect()}
+    for g, part in skewed.groupby("g").v:
+        assert list(summary[g])[1:] == pytest.approx(list(part.describe()))
+
+
+def _meets_only_in_its_group(plan: str) -> bool:
+    """Whether an exchange on the group key alone carries single values."""
+    nodes = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning\((.*?), \d+\)", plan)
+    assert nodes
+    return any("_v#" in columns and [k.split("#")[0] for k in keys.split(", ")] == ["g"] for columns, keys in nodes)
+
+
+def test_values_never_meet_by_their_group_alone(spark, skewed, monkeypatch):
+    plans = []
+
+    def kept(df, purpose, write=stats.written_copy):
+        plans.append(df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+        return write(df, purpose)
+
+    monkeypatch.setattr(stats, "written_copy", kept)
+    monkeypatch.setattr(stats, "RANGE_ROWS", 500)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = spark.createDataFrame(skewed)
+        for made in (stats.describe(df, "v", ["g"]), stats.box_summary(df, "v", ["g"]), stats.box_outliers(df, "v", ["g"])):
+            plans.append(made._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    with_exchange = [p for p in plans if "hashpartitioning" in p]
+    assert len(with_exchange) > 8
+    assert not any(_meets_only_in_its_group(p) for p in with_exchange)
+
+
 # --- regression ------------------------------------------------------------------------------
 
 
