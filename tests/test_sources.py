@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 import raw_files
@@ -126,6 +129,93 @@ def test_a_file_counts_as_a_whole(spark, tmp_path):
     assert states == {"mixed.json": "corrupt", "sound.json": "ok"}
 
 
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_staged_drops_are_not_parsed_again(spark, raw):
+    drops = json_files.stage_order_drops(spark, f"{raw}/{job.ORDERS}")
+    assert drops.totals == {"n_rows": 3, "n_bad": 1, "n_tickets": 11}
+    lists = json_files.staged_reference_lists(drops)
+    made = [json_files.staged_tickets(drops), report.staged_order_report(drops), drops.bad_files(), *lists.values()]
+    assert not any("FileScan json" in _plan(df) for df in made)
+    assert rows(made[0]) == rows(json_files.read_tickets(spark, f"{raw}/{job.ORDERS}"))
+    for name, expected in json_files.read_reference_lists(spark, f"{raw}/{job.ORDERS}").items():
+        assert rows(lists[name]) == rows(expected)
+    # The report reads marks and counts, not the documents.
+    assert "customer" not in _plan(made[1]) and "orders#" not in _plan(made[2])
+
+
+def test_staged_scans_are_not_parsed_again(spark, raw):
+    scans = csv_files.stage_scans(spark, f"{raw}/{job.SCANS}")
+    assert scans.totals["n_bad"] == 1 and scans.totals["n_headers"] == 2
+    made = [csv_files.staged_scans(scans), report.staged_scan_report(scans)]
+    assert not any("FileScan csv" in _plan(df) for df in made)
+    assert "barcode" not in _plan(made[1])
+
+
+def test_only_empty_files(spark, tmp_path):
+    (tmp_path / "ORDERS_1.json").write_text("")
+    (tmp_path / "scan_1.csv").write_text("")
+    drops = json_files.stage_order_drops(spark, f"{tmp_path}/*.json", one_document_per_file=False)
+    assert drops.totals == {"n_rows": 0, "n_bad": 0, "n_tickets": 0}
+    assert json_files.staged_tickets(drops).count() == 0 and json_files.staged_reference_lists(drops)["sessions"].count() == 0
+    assert [r.state for r in report.staged_order_report(drops).collect()] == ["empty"]
+    scans = csv_files.stage_scans(spark, f"{tmp_path}/*.csv")
+    assert csv_files.staged_scans(scans).count() == 0
+    assert [r.state for r in report.staged_scan_report(scans).collect()] == ["empty"]
+
+
+def test_unread_values_are_counted_as_rows_are_written(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("date,lieu,more,rang_pbb_avant\n2025-10-17,X,1,3\nsoon,Y,2,n/a\n,Z,3,\n")
+    typed, seen, declared = csv_files.watched_csv(spark, str(tmp_path / "r.csv"), schemas.RESULTS)
+    typed.write.parquet(str(tmp_path / "out"))
+    assert csv_files.unread_counts(seen, declared) == {"date": 1, "lieu": 0, "rang_pbb_avant": 1}
+    assert typed.dtypes == [("date", "date"), ("lieu", "string"), ("more", "int"), ("rang_pbb_avant", "int")]
+
+
+ONE_RUN = """
+import json, sys, tempfile
+from turnstile.plans import job
+from turnstile.session import build_session
+raw, home = sys.argv[1:]
+spark = build_session("run", "local[4]", **{
+    "spark.ui.enabled": "false", "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{home}/log",
+    "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
+    "spark.sql.warehouse.dir": f"{home}/warehouse", "spark.checkpoint.dir": f"{home}/shared", "spark.sql.shuffle.partitions": "2"})
+log = job.run(spark, raw)
+print(json.dumps({"rows": log.rows, "loads": log.loads, "unread": log.unread}))
+spark.stop()
+"""
+
+
+def test_the_run_parses_each_drop_once(raw, tmp_path):
+    (tmp_path / "log").mkdir()
+    done = subprocess.run(
+        [sys.executable, "-c", ONE_RUN, raw, str(tmp_path)], cwd=Path(__file__).parents[1], capture_output=True, text=True, timeout=600
+    )
+    assert done.returncode == 0, done.stderr[-3000:]
+    told = json.loads(done.stdout.strip().splitlines()[-1])
+    assert told["loads"]["orders"] == {"n_rows": 3, "n_bad": 1, "n_tickets": 11}
+    assert told["rows"]["bronze.raw_billets"] == 11 and told["rows"]["bronze.raw_scans"] == 5
+    assert set(told["unread"]) == {"resultats_matchs", "satisfaction", "calendrier_matchs", "web_sessions", "web_evenements", "campagnes_evenements"}
+    scans = {"ORDERS_": 0, "scan_": 0}
+    for line in next((tmp_path / "log").iterdir()).read_text().splitlines():
+        event = json.loads(line)
+        if not event["Event"].endswith("SparkListenerSQLExecutionStart"):
+            continue
+        for node in _nodes(event["sparkPlanInfo"]):
+            for part in scans:
+                scans[part] += node["nodeName"].startswith(("Scan json", "Scan csv")) and part in str(node["metadata"].get("Location"))
+    assert scans == {"ORDERS_": 1, "scan_": 1}
+
+
+def _nodes(plan):
+    yield plan
+    for child in plan["children"]:
+        yield from _nodes(child)
+
+
 def test_files_are_left_out_by_one_lazy_join(spark):
     data = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "_path string, v int")
     listed = spark.createDataFrame([("a",), ("b",)], "_path string")

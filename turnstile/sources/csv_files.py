@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
@@ -17,7 +19,8 @@ from turnstile.functions.parsing import (
     utc_timestamp,
     whole_number,
 )
-from turnstile.sources.files import absent_as_none, without_files
+from turnstile.sources.files import absent_as_none, list_files
+from turnstile.sources.staging import Staged, observed, seen_totals, stage
 
 # Fixed value: the date token in a scan file's name.
 SCAN_NAME = r"scan_(.*)\.csv"
@@ -46,9 +49,19 @@ def read_named_csv(spark: SparkSession, path: str, schema: str | None = None) ->
 
     Columns are matched by their name in the header. Columns in ``schema`` are read
     as text and converted tolerantly, so that a rank written ``3.0`` or a date
-    written ``17/10/2025`` survives; ``unread_values`` counts what does not. Only if
+    written ``17/10/2025`` survives; ``watched_csv`` counts what does not. Only if
     the file has other columns is it read once more to infer those from all rows.
     """
+    watched = watched_csv(spark, path, schema)
+    return None if watched is None else watched[0]
+
+
+def watched_csv(spark: SparkSession, path: str, schema: str | None = None) -> tuple[DataFrame, Observation, list[str]] | None:
+    """``read_named_csv`` with an observation of it and the declared columns that it holds.
+
+    Once the rows have been written, the observation has under each such column's
+    place how many of its texts, other than blank ones, could not be converted.
+    """
     as_text = absent_as_none(lambda: _reader(spark).csv(path))
     if as_text is None:
         return None
@@ -58,29 +71,29 @@ def read_named_csv(spark: SparkSession, path: str, schema: str | None = None) ->
         inferred = _reader(spark).option("inferSchema", True).option("samplingRatio", 1.0).csv(path).schema.fields
         mixed = [T.StructField(i.name, T.StringType()) if g else i for g, i in zip(given, inferred)]
         as_text = _reader(spark).schema(StructType(mixed)).csv(path)
-    return as_text.select(
-        *(
-            _tolerant(F.col(f"`{name}`"), field.dataType).alias(field.name) if field else F.col(f"`{name}`")
-            for name, field in zip(as_text.columns, given)
-        )
-    )
+    # Each declared column as its text and its value side by side, so that both are at hand when rows are counted.
+    paired = as_text.toDF(*(f"t{i}" for i in range(len(given))))
+    paired = paired.select("*", *(_tolerant(F.col(f"t{i}"), field.dataType).alias(f"v{i}") for i, field in enumerate(given) if field))
+    unread = {f"v{i}": F.count_if((strip(F.col(f"t{i}")) != "") & F.col(f"v{i}").isNull()) for i, field in enumerate(given) if field}
+    rows, seen = observed(paired, f"unread {uuid.uuid4().hex}", n_rows=F.count("*"), **unread)
+    names = [field.name if field else name for name, field in zip(as_text.columns, given)]
+    typed = rows.select(*(F.col(f"v{i}" if field else f"t{i}").alias(name) for i, (name, field) in enumerate(zip(names, given))))
+    return typed, seen, [field.name if field else "" for field in given]
+
+
+def unread_counts(seen: Observation, declared: list[str]) -> dict[str, int]:
+    """By declared column, how many texts could not be converted, after the rows have been written."""
+    return {name: seen_totals(seen, f"v{i}")[f"v{i}"] for i, name in enumerate(declared) if name}
 
 
 def unread_values(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """Per declared column of a CSV file: how many non-empty texts could not be converted."""
-    text = absent_as_none(lambda: _reader(spark).csv(path))
-    if text is None:
+    watched = watched_csv(spark, path, schema)
+    if watched is None:
         return None
-    known = {f.name.lower(): f for f in StructType.fromDDL(schema).fields}
-    pairs = [(name, known[name.lower()]) for name in text.columns if name.lower() in known]
-    counts = text.agg(
-        *(
-            F.count_if((strip(F.col(f"`{name}`")) != "") & _tolerant(F.col(f"`{name}`"), field.dataType).isNull()).alias(field.name)
-            for name, field in pairs
-        )
-    )
-    listed = F.array(*(F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("n_unread")) for _, f in pairs))
-    return counts.select(F.explode(listed).alias("c")).select("c.*")
+    rows, seen, declared = watched
+    rows.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list(unread_counts(seen, declared).items()), "column string, n_unread long")
 
 
 def read_text_csv(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
@@ -122,40 +135,40 @@ def _raw_scans(spark: SparkSession, path: str) -> DataFrame | None:
     )
 
 
-def read_scans(spark: SparkSession, path: str, token_pattern: str = SCAN_NAME) -> DataFrame | None:
-    """Scan files with and without a header row, with file name and date token.
+def stage_scans(spark: SparkSession, path: str, token_pattern: str = SCAN_NAME) -> Staged | None:
+    """Scan files with and without a header row, parsed once, or None when there is no file.
 
-    No file is read on its own: all are read without header, and header lines
-    are dropped wherever a file has one. A file with a malformed line is left
-    out as a whole; ``scan_files`` lists it.
+    No file is read on its own: all are read without header, and header lines are
+    marked wherever a file has one. Times are converted here, once.
     """
-    rows = _raw_scans(spark, path)
-    if rows is None:
+    listing = list_files(spark, path)
+    if listing is None:
         return None
-    data = rows.filter(~F.col("_is_header"))
-    malformed = data.filter(F.col(_CORRUPT).isNotNull()).select("_path").distinct()
-    return without_files(data, malformed, "_path").select(
+    data = ~F.col("_is_header")
+    time = utc_timestamp(F.col("scan_ts_utc"))
+    rows = _raw_scans(spark, path).select(
         "barcode",
-        utc_timestamp(F.col("scan_ts_utc")).alias("scan_ts_utc"),
+        time.alias("scan_ts_utc"),
         "portique",
         "ext_id",
         "type_billet",
         "resultat",
         "filename",
         token_in_name(F.col("_path"), token_pattern).alias("date_fichier"),
+        "_path",
+        "_is_header",
+        (data & F.col(_CORRUPT).isNotNull()).alias("_bad"),
+        (data & F.coalesce(strip(F.col("scan_ts_utc")) != "", F.lit(False)) & time.isNull()).alias("_unread_time"),
     )
+    return stage(rows, listing, "scans", n_headers=F.count_if("_is_header"), n_unread_times=F.count_if("_unread_time"))
 
 
-def scan_files(spark: SparkSession, path: str) -> DataFrame | None:
-    """Per scan file: data rows, malformed rows and whether a header was found."""
-    rows = _raw_scans(spark, path)
-    if rows is None:
-        return None
-    return rows.groupBy("filename", "_path").agg(
-        F.count_if(~F.col("_is_header")).alias("n_rows"),
-        F.count_if(F.col(_CORRUPT).isNotNull() & ~F.col("_is_header")).alias("n_malformed"),
-        F.count_if(
-            ~F.col("_is_header") & (strip(F.col("scan_ts_utc")) != "") & utc_timestamp(F.col("scan_ts_utc")).isNull()
-        ).alias("n_unread_times"),
-        F.max("_is_header").alias("has_header"),
-    )
+def staged_scans(scans: Staged) -> DataFrame:
+    """Scans of the files without a malformed line, with file name and date token."""
+    return scans.sound().filter(~F.col("_is_header")).drop("_path", "_is_header", "_bad", "_unread_time")
+
+
+def read_scans(spark: SparkSession, path: str, token_pattern: str = SCAN_NAME) -> DataFrame | None:
+    """Scans with file name and date token. A file with a malformed line is left out as a whole."""
+    scans = stage_scans(spark, path, token_pattern)
+    return None if scans is None else staged_scans(scans)

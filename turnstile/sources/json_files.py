@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from turnstile import schemas
 from turnstile.functions.parsing import number_in_name
-from turnstile.sources.files import absent_as_none, first_file, without_files
+from turnstile.sources.files import absent_as_none, first_file, list_files, same_path
+from turnstile.sources.staging import Staged, stage
 
 # The round number in a file name.
 STREAKS_NAME = r"streaks_r(\d+)\.json"
@@ -16,15 +17,18 @@ STANDINGS_NAME = r"standings_r(\d+)\."
 _CORRUPT = "_corrupt"
 
 
-def read_order_drops(spark: SparkSession, path: str, one_document_per_file: bool = True) -> DataFrame | None:
-    """Order drops as they are: ``orders``, ``_corrupt``, ``filename``, ``_path``.
+def read_order_drops(
+    spark: SparkSession, path: str, one_document_per_file: bool = True, lists: bool = False
+) -> DataFrame | None:
+    """Order drops as they are: ``orders``, with ``lists`` also ``included``, ``_corrupt``, ``filename``, ``_path``.
 
     A drop is one JSON document. Usually a file holds one document over many
     lines. Files with one document per line are read with
     ``one_document_per_file=False``, and can then be split between tasks.
     """
+    parts = [schemas.ORDERS_DROP, *([schemas.REFERENCE_LISTS] if lists else []), f"{_CORRUPT} string"]
     reader = (
-        spark.read.schema(f"{schemas.ORDERS_DROP}, {_CORRUPT} string")
+        spark.read.schema(", ".join(parts))
         .option("multiLine", one_document_per_file)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
@@ -44,12 +48,33 @@ def is_unreadable() -> Column:
     return F.col(_CORRUPT).isNotNull()
 
 
-def sound_drops(drops: DataFrame, one_document_per_file: bool = True) -> DataFrame:
-    """Drops of files without any unreadable document: a file counts as a whole or not at all."""
-    readable = drops.filter(~is_unreadable())
-    if one_document_per_file:
-        return readable
-    return without_files(readable, unreadable_files(drops), "_path")
+def tickets_in_document() -> Column:
+    """Number of tickets in a drop document, from the sizes of its lists."""
+
+    def joined(lists: Column) -> Column:
+        return F.flatten(F.filter(lists, lambda x: x.isNotNull()))
+
+    products = joined(F.col("orders.products"))
+    return F.coalesce(F.size(joined(products["tickets"])), F.lit(0))
+
+
+def stage_order_drops(spark: SparkSession, path: str, one_document_per_file: bool = True) -> Staged | None:
+    """Order drops parsed once, with the reference lists of the first drop, or None when there is no file."""
+    listing = list_files(spark, path)
+    if listing is None:
+        return None
+    first = first_file(spark, path)
+    drops = read_order_drops(spark, path, one_document_per_file, lists=True)
+    is_first = same_path(F.col("_path")) == same_path(F.lit(first))
+    kept = drops.select(
+        "orders",
+        F.when(is_first, F.col("included")).alias("included"),
+        "filename",
+        "_path",
+        is_unreadable().alias("_bad"),
+        tickets_in_document().cast("long").alias("_tickets"),
+    )
+    return stage(kept, listing, "order-drops", n_tickets=F.sum(F.when(~F.col("_bad"), F.col("_tickets"))))
 
 
 def unreadable_files(drops: DataFrame) -> DataFrame:
@@ -103,9 +128,29 @@ def flatten_tickets(drops: DataFrame) -> DataFrame:
 
 
 def read_tickets(spark: SparkSession, path: str, one_document_per_file: bool = True) -> DataFrame | None:
-    """Tickets of all readable drop files, 23 columns, or None when there is no file."""
-    drops = read_order_drops(spark, path, one_document_per_file)
-    return None if drops is None else flatten_tickets(sound_drops(drops, one_document_per_file)).drop("_path")
+    """Tickets of all readable drop files, 23 columns, or None when there is no file.
+
+    Where a file is one document it is judged as it is parsed; files of many documents are staged, so that they
+    are parsed once and not a second time to find the unreadable ones.
+    """
+    if one_document_per_file:
+        drops = read_order_drops(spark, path)
+        return None if drops is None else flatten_tickets(drops.filter(~is_unreadable())).drop("_path")
+    drops = stage_order_drops(spark, path, one_document_per_file)
+    return None if drops is None else staged_tickets(drops)
+
+
+def staged_tickets(drops: Staged) -> DataFrame:
+    """Tickets of the readable files of staged drops, 23 columns."""
+    return flatten_tickets(drops.sound()).drop("_path")
+
+
+REFERENCE_LISTS = ("sessions", "product_types", "order_status")
+
+
+def staged_reference_lists(drops: Staged) -> dict[str, DataFrame]:
+    """Sessions, product types and order states, as the first drop file by name lists them."""
+    return {name: drops.rows.select(F.inline(f"included.{name}")) for name in REFERENCE_LISTS}
 
 
 def read_reference_lists(
@@ -116,10 +161,7 @@ def read_reference_lists(
     if first is None:
         return None
     document = spark.read.schema(schemas.REFERENCE_LISTS).option("multiLine", one_document_per_file).json(first)
-    return {
-        name: document.select(F.inline(f"included.{name}"))
-        for name in ("sessions", "product_types", "order_status")
-    }
+    return {name: document.select(F.inline(f"included.{name}")) for name in REFERENCE_LISTS}
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame | None:

@@ -2,75 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstile.sources.csv_files import scan_files
-from turnstile.sources.files import list_files, same_path
-from turnstile.sources.json_files import is_unreadable, read_order_drops
+from turnstile.sources.csv_files import stage_scans
+from turnstile.sources.json_files import stage_order_drops
+from turnstile.sources.staging import Staged
 
 
-def _tickets_in_document() -> Column:
-    """Number of tickets in a drop document, from the sizes of its lists."""
-
-    def joined(lists: Column) -> Column:
-        return F.flatten(F.filter(lists, lambda x: x.isNotNull()))
-
-    products = joined(F.col("orders.products"))
-    return F.coalesce(F.size(joined(products["tickets"])), F.lit(0))
+def staged_order_report(drops: Staged) -> DataFrame:
+    """Per file of staged drops: size, tickets read, and ``ok``, ``corrupt`` or ``empty``; the documents are not parsed again."""
+    files = drops.per_file(_n=F.sum("_tickets"), _bad=F.max("_bad"))
+    state = F.when(F.col("length") == 0, "empty").when(F.coalesce("_bad", F.lit(False)), "corrupt").otherwise("ok")
+    tickets = F.when(F.col("state") == "ok", F.coalesce("_n", F.lit(0))).otherwise(0)
+    return files.withColumn("state", state).select("filename", "length", "state", tickets.alias("n_rows"))
 
 
 def order_file_report(spark: SparkSession, path: str, one_document_per_file: bool = True) -> DataFrame | None:
     """Per order file: size, tickets read, and ``ok``, ``corrupt`` or ``empty``.
 
-    The drops are parsed once. The listing comes from the file index, so files
-    that give no row at all are reported too.
+    The listing comes from the file index, so files that give no row at all are reported too.
     """
-    listing = list_files(spark, path)
-    if listing is None:
-        return None
-    read = (
-        read_order_drops(spark, path, one_document_per_file)
-        .select(same_path(F.col("_path")).alias("path"), _tickets_in_document().alias("_n"), is_unreadable().alias("_bad"))
-        .groupBy("path")
-        .agg(F.sum("_n").alias("_n"), F.max("_bad").alias("_bad"))
+    drops = stage_order_drops(spark, path, one_document_per_file)
+    return None if drops is None else staged_order_report(drops)
+
+
+def staged_scan_report(scans: Staged) -> DataFrame:
+    """Per file of staged scans: size, rows, ``ok``, ``corrupt`` or ``empty``, and whether it had a header row."""
+    files = scans.per_file(
+        _n=F.count_if(~F.col("_is_header")), _bad=F.max("_bad"), _unread=F.count_if("_unread_time"), has_header=F.max("_is_header")
     )
-    state = F.when(F.col("length") == 0, "empty").when(F.coalesce("_bad", F.lit(False)), "corrupt").otherwise("ok")
-    return (
-        listing.join(read, "path", "left")
-        .withColumn("state", state)
-        .select(
-            "filename",
-            "length",
-            "state",
-            F.when(F.col("state") == "ok", F.coalesce("_n", F.lit(0))).otherwise(0).alias("n_rows"),
-        )
+    state = F.when(F.coalesce("_n", F.lit(0)) == 0, "empty").when(F.col("_bad"), "corrupt").otherwise("ok")
+    return files.withColumn("state", state).select(
+        "filename",
+        "length",
+        "state",
+        F.when(F.col("state") == "ok", F.col("_n")).otherwise(0).alias("n_rows"),
+        F.coalesce("_unread", F.lit(0)).alias("n_unread_times"),
+        "has_header",
     )
 
 
 def scan_file_report(spark: SparkSession, path: str) -> DataFrame | None:
     """Per scan file: size, rows, ``ok``, ``corrupt`` or ``empty``, and whether it had a header row."""
-    listing = list_files(spark, path)
-    if listing is None:
-        return None
-    read = scan_files(spark, path).select(
-        same_path(F.col("_path")).alias("path"), F.col("n_rows").alias("_n"), "n_malformed", "n_unread_times", "has_header"
-    )
-    state = (
-        F.when(F.coalesce("_n", F.lit(0)) == 0, "empty").when(F.col("n_malformed") > 0, "corrupt").otherwise("ok")
-    )
-    return (
-        listing.join(read, "path", "left")
-        .withColumn("state", state)
-        .select(
-            "filename",
-            "length",
-            "state",
-            F.when(F.col("state") == "ok", F.col("_n")).otherwise(0).alias("n_rows"),
-            F.coalesce("n_unread_times", F.lit(0)).alias("n_unread_times"),
-            "has_header",
-        )
-    )
+    scans = stage_scans(spark, path)
+    return None if scans is None else staged_scan_report(scans)
 
 
 def load_summary(file_report: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstile import schemas
@@ -23,16 +23,34 @@ def _order_drops(inputs: Inputs) -> str:
     return path
 
 
+def _stopping_short(year: Column) -> Column:
+    """Documents as text; those of one year stop in mid-value."""
+    text = F.to_json(F.struct("orders"))
+    return F.when(year == CUT_YEAR, F.substring(text, F.lit(1), F.length(text) - 25)).otherwise(text)
+
+
 def _cut_order_drops(inputs: Inputs) -> str:
     """The same in one folder per year, where the documents of one year stop in mid-value."""
     path = scratch_path(inputs.spark, "cut-orders")
-    text = F.to_json(F.struct("orders"))
-    cut = F.when(F.col("year") == CUT_YEAR, F.substring(text, F.lit(1), F.length(text) - 25)).otherwise(text)
-    documents = inputs.order_documents().select("year", cut.alias("value"))
+    documents = inputs.order_documents().select("year", _stopping_short(F.col("year")).alias("value"))
     documents.hint("rebalance", "year").write.partitionBy("year").text(path)
     return f"{path}/year=*"
 
 
+def _monthly_order_drops(inputs: Inputs) -> str:
+    """One file per month, those of one year stopping in mid-value, and an empty file."""
+    path = scratch_path(inputs.spark, "monthly-orders")
+    documents = inputs.order_documents("yyyyMM", "month")
+    text = documents.select("month", _stopping_short(F.floor(F.col("month") / 100)).alias("value"))
+    text.repartition("month").write.partitionBy("month").text(path)
+    _write_empty_file(inputs, f"{path}/month=0")
+    return f"{path}/month=*"
+
+
+def _write_empty_file(inputs: Inputs, path: str) -> None:
+    inputs.spark.createDataFrame([], "value string").coalesce(1).write.text(path)
+
+
 _TICKET_COLUMNS = (
     "order_id", "order_status_id", "ext_id", "product_type_id", "product_is_cancelled", "ticket_id",
     "bar_code", "session_id", "amount", "seat_number",
@@ -64,11 +82,14 @@ def tickets_without_cut_files(inputs: Inputs) -> DataFrame:
 
 
 @query(f"""
-    SELECT count(*) FILTER (WHERE year(l_shipdate) <> {CUT_YEAR}) AS n_rows,
-           count(*) FILTER (WHERE year(l_shipdate) = {CUT_YEAR}) > 0 AS has_failed_files FROM lineitem""")
+    SELECT count(*) FILTER (WHERE sound) AS n_rows, count(DISTINCT month) + 1 AS n_files,
+           count(DISTINCT month) FILTER (WHERE sound) AS n_files_ok,
+           count(DISTINCT month) FILTER (WHERE NOT sound) + 1 AS n_files_failed
+    FROM (SELECT year(l_shipdate) <> {CUT_YEAR} AS sound, date_trunc('month', l_shipdate) AS month FROM lineitem)""")
 def order_load_summary(inputs: Inputs) -> DataFrame:
-    files = report.order_file_report(inputs.spark, _cut_order_drops(inputs), one_document_per_file=False)
-    return report.load_summary(files).select("n_rows", (F.col("n_files_failed") > 0).alias("has_failed_files"))
+    """Totals over the files of staged drops: whole ones, malformed ones and an empty one."""
+    files = report.order_file_report(inputs.spark, _monthly_order_drops(inputs), one_document_per_file=False)
+    return report.load_summary(files)
 
 
 @query("""
@@ -193,16 +214,24 @@ def scan_files(inputs: Inputs) -> DataFrame:
 
 
 @query("""
-    SELECT count(*) AS n_rows, count(*) FILTER (WHERE l_linestatus <> 'F') > 0 AS some_without_header,
-           CAST(0 AS BIGINT) AS n_files_failed FROM lineitem""")
+    SELECT count(*) AS n_rows, count(DISTINCT month) + count(DISTINCT other_month) + 2 AS n_files,
+           count(DISTINCT month) + count(DISTINCT other_month) AS n_files_ok, CAST(2 AS BIGINT) AS n_files_failed,
+           count(DISTINCT other_month) AS n_files_without_header
+    FROM (SELECT CASE WHEN l_linestatus = 'F' THEN date_trunc('month', l_shipdate) END AS month,
+                 CASE WHEN l_linestatus <> 'F' THEN date_trunc('month', l_shipdate) END AS other_month FROM lineitem)""")
 def scan_load_summary(inputs: Inputs) -> DataFrame:
-    summary = report.load_summary(report.scan_file_report(inputs.spark, _scan_drops(inputs)))
-    return summary.select(
-        "n_rows", (F.col("n_files_without_header") > 0).alias("some_without_header"), "n_files_failed"
-    )
-
-
-def _scan_drops(inputs: Inputs) -> str:
+    """Totals over scan files with and without a header row, a malformed one and an empty one."""
+    path = _scan_drops(inputs, one_file_a_month=True)
+    folder = path.removesuffix("/header=*/scan=*")
+    line = F.concat_ws(",", "n_nationkey", F.lit("2020-01-01"), "n_name", "n_regionkey", F.lit("T"), F.lit("OK"))
+    short = F.when(F.col("n_nationkey") == 7, F.col("n_name"))
+    malformed = inputs.table("nation").select(F.coalesce(short, line).alias("value"))
+    malformed.coalesce(1).write.text(f"{folder}/header=none/scan=malformed")
+    _write_empty_file(inputs, f"{folder}/header=none/scan=empty")
+    return report.load_summary(report.scan_file_report(inputs.spark, path))
+
+
+def _scan_drops(inputs: Inputs, one_file_a_month: bool = False) -> str:
     """Scan CSV per month: accepted scans with a header row, the others without."""
     path = scratch_path(inputs.spark, "scans")
     line = F.col("l_linestatus")
@@ -217,7 +246,8 @@ def _scan_drops(inputs: Inputs) -> str:
     )
     for header in (True, False):
         chosen = scans.filter((F.coalesce("resultat", F.lit("")) == "OK") == F.lit(header))
-        writer = chosen.hint("rebalance", "scan").write.option("header", header).partitionBy("scan")
+        dealt = chosen.repartition("scan") if one_file_a_month else chosen.hint("rebalance", "scan")
+        writer = dealt.write.option("header", header).partitionBy("scan")
         writer.csv(f"{path}/header={str(header).lower()}")
     return f"{path}/header=*/scan=*"
 

@@ -295,8 +295,8 @@ class Inputs:
 
     # --- drops ------------------------------------------------------------------
 
-    def order_documents(self) -> DataFrame:
-        """Order drops of at most ``DROP_SIZE`` tickets: ``year``, ``orders``.
+    def order_documents(self, layout: str = "yyyy", period: str = "year") -> DataFrame:
+        """Order drops of at most ``DROP_SIZE`` tickets of one shipping period: ``drop``, the period's number, ``orders``.
 
         The drop number is given in the scan stage, whose row order is the order
         of the file, so a repeated task gives the same numbers. No list is longer
@@ -307,11 +307,11 @@ class Inputs:
         lines = (
             self.table("lineitem")
             .withColumn("drop", F.expr(f"monotonically_increasing_id() div {DROP_SIZE}"))
-            .withColumn("year", F.year("l_shipdate"))
+            .withColumn(period, F.date_format("l_shipdate", layout).cast("int"))
         )
         tickets = lines.select(
             "drop",
-            "year",
+            period,
             F.col("l_orderkey").alias("order_id"),
             F.when(flag == "N", 1).when(flag == "A", 8).when(line == "F", 9).otherwise(4).alias("order_status_id"),
             F.col("l_linenumber").alias("product_type_id"),
@@ -323,14 +323,14 @@ class Inputs:
                 F.col("l_extendedprice").alias("amount"),
                 F.struct(F.col("l_suppkey").cast("string").alias("number")).alias("seats"),
             ).alias("ticket"),
-        ).repartition("drop", "year")
-        products = tickets.groupBy("drop", "year", "order_id", "order_status_id", "product_type_id", "is_cancelled").agg(
+        ).repartition("drop", period)
+        products = tickets.groupBy("drop", period, "order_id", "order_status_id", "product_type_id", "is_cancelled").agg(
             F.collect_list("ticket").alias("tickets")
         )
-        orders = products.groupBy("drop", "year", "order_id", "order_status_id").agg(
+        orders = products.groupBy("drop", period, "order_id", "order_status_id").agg(
             F.collect_list(F.struct("product_type_id", "is_cancelled", "tickets")).alias("products")
         )
-        return orders.groupBy("drop", "year").agg(
+        return orders.groupBy("drop", period).agg(
             F.collect_list(
                 F.struct(
                     "order_id",
