@@ -216,6 +216,36 @@ def _nodes(plan):
         yield from _nodes(child)
 
 
+def test_fields_of_all_files_are_merged_in_one_read(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.json").write_text(json.dumps({"results": [{"a": 1, "b": "x"}, {"a": 2.5, "c d": "2020-01-01", "n": None, "o": {"g": [1, 2]}}]}, indent=1))
+    (tmp_path / "b.json").write_text(json.dumps({"results": [{"a": 3, "z": True, "b": 7, "it's": "y"}], "more": 1}, indent=1))
+    (tmp_path / "c.json").write_text(json.dumps({"other": 1}))
+    (tmp_path / "d.json").write_text('{"results": [{"a": ')
+    reads = []
+    reader = type(spark.read)
+    monkeypatch.setattr(reader, "json", lambda self, path, read=reader.json: reads.append(path) or read(self, path))
+    got = json_files.read_holidays(spark, f"{tmp_path}/*.json")
+    assert got.dtypes == [
+        ("a", "double"), ("b", "string"), ("c d", "string"), ("it's", "string"), ("n", "string"), ("o", "struct<g:array<bigint>>"), ("z", "boolean"),
+    ]
+    assert rows(got.drop("o")) == rows_of([(1.0, "x", None, None, None, None), (2.5, None, "2020-01-01", None, None, None), (3.0, "7", None, "y", None, True)])
+    assert [r.o.g for r in got.filter("o IS NOT NULL").collect()] == [[1, 2]]
+    assert len(reads) == 1 and "FileScan json" not in _plan(got)
+    # As Spark's own inference has it, which reads the files twice.
+    inferred = spark.read.option("multiLine", True).json(f"{tmp_path}/[ab].json").select(F.inline("results"))
+    assert dict(got.dtypes) == dict(inferred.dtypes) and rows(got) == rows(inferred.select(got.columns))
+
+
+def test_lists_without_rows(spark, tmp_path):
+    (tmp_path / "streaks_r4.json").write_text(json.dumps({"teams": []}))
+    got = json_files.read_streaks(spark, f"{tmp_path}/streaks_r*.json")
+    assert got.columns == ["round"] and got.count() == 0
+
+
+def rows_of(values):
+    return sorted(values, key=str)
+
+
 def test_files_are_left_out_by_one_lazy_join(spark):
     data = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "_path string, v int")
     listed = spark.createDataFrame([("a",), ("b",)], "_path string")

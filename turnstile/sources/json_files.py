@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnstile import schemas
 from turnstile.functions.parsing import number_in_name
+from turnstile.session import scratch_path
 from turnstile.sources.files import absent_as_none, first_file, list_files, same_path
-from turnstile.sources.staging import Staged, stage
+from turnstile.sources.staging import Staged, observed, stage
 
 # The round number in a file name.
 STREAKS_NAME = r"streaks_r(\d+)\.json"
@@ -203,16 +207,12 @@ def unzip_weather(documents: DataFrame) -> DataFrame:
     )
 
 
-def _documents(spark: SparkSession, path: str, schema: str | None, one_document_per_file: bool) -> DataFrame | None:
-    """JSON documents, or None when no file matches. Without a schema, fields of all files are merged by name."""
-    reader = spark.read.option("multiLine", one_document_per_file)
-    return absent_as_none(lambda: (reader.schema(schema) if schema else reader).json(path))
-
-
 def read_holidays(
     spark: SparkSession, path: str, schema: str | None = None, one_document_per_file: bool = True
 ) -> DataFrame | None:
     """Rows of the ``results`` lists of all files, one column per field."""
+    if schema is None:
+        return read_listed_rows(spark, path, "results", one_document_per_file)
     documents = _documents(spark, path, schema, one_document_per_file)
     return None if documents is None else documents.select(F.inline("results"))
 
@@ -232,13 +232,69 @@ def read_streaks(
     one_document_per_file: bool = True,
 ) -> DataFrame | None:
     """Team rows of every round file, with the round number taken from the file name."""
+    round_number = number_in_name(F.col("_metadata.file_path"), name_pattern).alias("round")
+    if schema is None:
+        return read_listed_rows(spark, path, "teams", one_document_per_file, round_number)
     documents = _documents(spark, path, schema, one_document_per_file)
     if documents is None:
         return None
-    teams = documents.select(
-        number_in_name(F.col("_metadata.file_path"), name_pattern).alias("round"), F.explode("teams").alias("team")
-    )
-    return teams.select("round", "team.*")
+    return documents.select(round_number, F.explode("teams").alias("team")).select("round", "team.*")
+
+
+def _documents(spark: SparkSession, path: str, schema: str | None, one_document_per_file: bool) -> DataFrame | None:
+    """JSON documents, or None when no file matches. Without a schema, fields of all files are merged by name."""
+    reader = spark.read.option("multiLine", one_document_per_file)
+    return absent_as_none(lambda: (reader.schema(schema) if schema else reader).json(path))
+
+
+def read_listed_rows(
+    spark: SparkSession, path: str, listed: str, one_document_per_file: bool = True, *stamps: Column
+) -> DataFrame | None:
+    """Objects in the list field ``listed`` of all files as rows, merged by field name, after ``stamps``; None when there is no file.
+
+    The files are read once, as VARIANT, whatever fields they have: the pass that writes the rows down also merges
+    their fields and types, and columns are then taken from the copy. Fields come in order of their names. Whole
+    numbers are BIGINT, others DOUBLE; a field of unlike types, or always null, is text.
+    """
+    reader = spark.read.option("multiLine", one_document_per_file).option("singleVariantColumn", "document")
+    documents = absent_as_none(lambda: reader.json(path))
+    if documents is None:
+        return None
+    objects = F.try_variant_get("document", f"$.{listed}", "array<variant>")
+    listed_rows = documents.select(*stamps, F.explode(objects).alias("_row"))
+    watched, seen = observed(listed_rows, f"fields of {listed}", fields=F.schema_of_variant_agg("_row"))
+    folder = scratch_path(spark, listed)
+    watched.write.parquet(folder)
+    copy = spark.read.schema(listed_rows.schema).parquet(folder)
+    fields = _struct_of(seen.get.get("fields") or "VOID").fields
+    columns = [F.try_variant_get("_row", _in_object(f.name), f.dataType.simpleString()).alias(f.name) for f in fields]
+    return copy.select(*(c for c in copy.columns if c != "_row"), *columns)
+
+
+def _struct_of(description: str) -> T.StructType:
+    """A merged description of VARIANT objects as the types of their columns."""
+    ddl = re.sub("`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], description)
+    merged = T.DataType.fromDDL(ddl)
+    if isinstance(merged, T.NullType):
+        return T.StructType()
+    if not isinstance(merged, T.StructType):
+        raise ValueError(f"listed rows are not objects but {description}")
+    return _plain_type(merged)
+
+
+def _plain_type(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _plain_type(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_plain_type(kind.elementType))
+    if isinstance(kind, T.DecimalType):
+        return T.DoubleType()
+    return T.StringType() if isinstance(kind, (T.NullType, T.VariantType)) else kind
+
+
+def _in_object(name: str) -> str:
+    """Path to a field of an object, whatever characters its name has."""
+    return f'$["{name}"]' if "'" in name else f"$['{name}']"
 
 
 def read_standings(spark: SparkSession, path: str, name_pattern: str = STANDINGS_NAME) -> DataFrame:

@@ -172,14 +172,23 @@ def population_records(inputs: Inputs) -> DataFrame:
     return records.select("nom", F.array_join("codesPostaux", " ").alias("codes"), "population")
 
 
-@query("SELECT CAST(round AS INTEGER) AS round, CAST(team AS BIGINT) AS team, wins, losses FROM teams")
+@query("""
+    SELECT CAST(round AS INTEGER) AS round, CAST(team AS BIGINT) AS team, CASE WHEN round > 3 THEN losses END AS losses,
+           CASE WHEN round % 2 = 0 THEN CAST(wins AS DOUBLE) + 0.5 ELSE wins END AS wins FROM teams""")
 def round_streaks(inputs: Inputs) -> DataFrame:
-    """One folder per round; a document holds the teams, at most one per nation."""
+    """One folder per round; a document holds the teams, whose fields and number types depend on the round."""
     path = scratch_path(inputs.spark, "streaks")
-    teams = inputs.monthly_teams().groupBy("round").agg(F.collect_list(F.struct("team", "wins", "losses")).alias("teams"))
-    teams.write.partitionBy("round").json(path)
+    teams = inputs.monthly_teams()
+    whole, half = F.col("wins"), (F.col("wins") + 0.5).alias("wins")
+    for part, rows, fields in (
+        ("first", teams.filter("round <= 3 AND round % 2 = 1"), ["team", whole]),
+        ("early", teams.filter("round <= 3 AND round % 2 = 0"), ["team", half]),
+        ("even", teams.filter("round > 3 AND round % 2 = 0"), ["losses", "team", half]),
+        ("odd", teams.filter("round > 3 AND round % 2 = 1"), [whole, "team", "losses"]),
+    ):
+        rows.groupBy("round").agg(F.collect_list(F.struct(*fields)).alias("teams")).write.partitionBy("round").json(f"{path}/{part}")
     return json_files.read_streaks(
-        inputs.spark, f"{path}/round=*", name_pattern=r"round=(\d+)/", one_document_per_file=False
+        inputs.spark, f"{path}/*/round=*", name_pattern=r"round=(\d+)/", one_document_per_file=False
     )
 
 
