@@ -373,3 +373,30 @@ def test_nesting_and_flattening_gives_the_tickets_back(spark, tmp_path_factory,
     tickets = json_files.read_tickets(spark, f"{folder}/ORDERS_*.json")
     got = sorted(((r.order_id, r.product_type_id, r.ticket_id, r.product_is_cancelled) for r in tickets.collect()), key=str)
     assert got == sorted(data, key=str)
+
+
+def test_a_batch_is_added_once(spark, tmp_path):
+    path = str(tmp_path / "table")
+    one, two = spark.range(3).toDF("v"), spark.range(5, 7).select(F.col("id").alias("v"), F.lit("x").alias("more"))
+    assert tables.read_batches(spark, path) is None
+    assert tables.append_batch(one, path, "2025-01") and not tables.append_batch(one, path, "2025-01")
+    # A run that was cut off leaves rows without a line in the manifest.
+    spark.range(100).toDF("v").write.parquet(f"{path}/data/_batch=2025-02")
+    assert rows(tables.read_batches(spark, path)) == [(0,), (1,), (2,)]
+    assert tables.append_batch(two, path, "2025-02") and tables.append_batch(one.limit(0), path, "2025-03")
+    assert tables.committed_batches(spark, path) == {"2025-01": 3, "2025-02": 2, "2025-03": 0}
+    assert rows(tables.read_batches(spark, path).select("v", "more")) == [(0, None), (1, None), (2, None), (5, "x"), (6, "x")]
+    with pytest.raises(ValueError, match="named by"):
+        tables.append_batch(one, path, "a/b")
+
+
+def test_batches_of_a_table(spark):
+    tables.ensure_schema(spark, "batches")
+    one = spark.createDataFrame([(1, "a"), (2, "b")], "v int, w string")
+    for _ in range(2):
+        tables.append_table(one, "batches.t", batch="x")
+        tables.append_table(one.select("w"), "batches.t", batch="y")
+    assert rows(spark.table("batches.t").select("v", "w", "_batch")) == rows_of([(1, "a", "x"), (2, "b", "x"), (None, "a", "y"), (None, "b", "y")])
+    tables.append_table(one.limit(1), "batches.plain")
+    with pytest.raises(ValueError, match="without batches"):
+        tables.append_table(one, "batches.plain", batch="x")

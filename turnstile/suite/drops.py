@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstile import schemas
 from turnstile.operators.lookups import hourly_readings
-from turnstile.session import scratch_path
+from turnstile.session import scratch_path, written_copy
 from turnstile.sources import csv_files, json_files, report, tables
 from turnstile.suite.catalogue import query, rounded
 from turnstile.suite.standins import Inputs
@@ -328,3 +331,52 @@ def exported_records(inputs: Inputs) -> DataFrame:
         "rang_adversaire_avant int, vacances_scolaires boolean"
     )
     return inputs.spark.read.schema(schema).json(path)
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS priority FROM orders")
+def appended_batches(inputs: Inputs) -> DataFrame:
+    """One batch per order state: one run twice, one with a column more, and one cut off before it was committed."""
+    path = scratch_path(inputs.spark, "batches")
+    orders = inputs.table("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    with_priority = inputs.table("orders").select(*orders.columns, F.col("o_orderpriority").alias("priority"))
+    tables.append_batch(with_priority.filter("o_orderstatus = 'F'"), path, "F")
+    for _ in range(2):
+        tables.append_batch(orders.filter("o_orderstatus = 'O'"), path, "O")
+    orders.filter("o_orderkey % 2 = 0").write.parquet(f"{path}/data/{tables.BATCH}=P")
+    tables.append_batch(orders.filter("o_orderstatus NOT IN ('F', 'O')"), path, "P")
+    orders.write.parquet(f"{path}/data/{tables.BATCH}=cut-off")
+    return tables.read_batches(inputs.spark, path)
+
+
+@query("""
+    SELECT 'orders' AS name, o_orderkey AS id, o_totalprice AS amount FROM orders
+    UNION ALL SELECT 'customer', c_custkey, c_acctbal FROM customer
+    UNION ALL SELECT 'supplier', s_suppkey, NULL FROM supplier
+    UNION ALL SELECT 'absent: part', NULL, NULL
+    UNION ALL SELECT 'absent: file', NULL, NULL""")
+def catalogue_tables(inputs: Inputs) -> DataFrame:
+    """Tables by name: replaced, appended to in batches that are repeated, filled up by name, copied; an absent table and file are named."""
+    spark, home = inputs.spark, uuid.uuid4().hex
+    bronze, silver = f"bronze_{home}", f"silver_{home}"
+    tables.ensure_schema(spark, bronze)
+    tables.ensure_schema(spark, silver)
+    orders = inputs.table("orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"))
+    customers = inputs.table("customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("amount"))
+    tables.replace_table(customers, f"{bronze}.raw_orders")
+    tables.replace_table(orders.filter("id % 4 < 2"), f"{bronze}.raw_orders")
+    tables.append_table(orders.filter("id % 4 >= 2"), f"{bronze}.raw_orders")
+    for batch in (0, 1, 1, 0):
+        tables.append_table(customers.filter(F.col("id") % 2 == batch), f"{bronze}.raw_customer", batch=str(batch))
+    suppliers = inputs.table("supplier").select(F.col("s_suppkey").alias("id"))
+    tables.replace_table(customers.limit(0), f"{bronze}.raw_supplier")
+    tables.append_table(suppliers, f"{bronze}.raw_supplier")
+    names = ("orders", "customer", "supplier", "part")
+    absent = tables.copy_tables(spark, names, bronze, silver)
+    if csv_files.read_named_csv(spark, f"{scratch_path(spark, 'nowhere')}/absent.csv") is None:
+        absent.append("file")
+    copies = [spark.table(f"{silver}.{n}").select(F.lit(n).alias("name"), "id", "amount") for n in names if n not in absent]
+    missing = spark.createDataFrame([(f"absent: {n}", None, None) for n in absent], "name string, id long, amount double")
+    found = written_copy(reduce(DataFrame.unionAll, [*copies, missing]), "catalogue")
+    for schema in (bronze, silver):
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
+    return found
