@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from turnstile.operators import dedupe, lookups, stats
+from turnstile.operators.label_ridge import fit_label_ridge
 from turnstile.operators.ridge import fit_ridge
 
 
@@ -328,3 +329,41 @@ def test_no_label_is_left_out(spark):
     df = spark.createDataFrame([(x, float(i % 7)) for i, x in enumerate(labels)], "label string, y double")
     model = fit_ridge(df.coalesce(2), "y", [], ["label"])
     assert model.features == tuple(f"label_{x}" for x in labels[1:])
+
+
+def test_eliminated_labels_give_the_whole_model(spark):
+    rng = np.random.default_rng(23)
+    n = 3000
+    frame = pd.DataFrame(
+        {
+            "rank": rng.integers(1, 19, n),
+            "day": rng.choice(["Mon", "Fri", None, "Sun"], n),
+            # A third of all rows have one label; a label has NULL for its name.
+            "place": np.where(rng.random(n) < 0.34, "hot", np.char.add("p", rng.integers(0, 300, n).astype(str))),
+        }
+    )
+    frame.loc[::50, "place"] = None
+    frame["y"] = 40 - 0.3 * frame["rank"] + (frame.day == "Sun") + frame.place.map(lambda p: len(str(p))) + rng.normal(0, 2, n)
+    df = spark.createDataFrame(frame).repartition(6)
+    whole = fit_ridge(df, "y", ["rank"], ["day", "place"])
+    parts = fit_label_ridge(df, "y", "place", ["rank"], ["day"])
+    assert len(parts.features) == 3 and parts.inverse.shape == (4, 4)
+    wanted = dict(zip(whole.features, whole.coefficients))
+    got = {r.feature: r.coefficient for r in parts.ranking().collect()}
+    assert set(got) == set(wanted)
+    assert [got[f] for f in wanted] == pytest.approx(list(wanted.values()), abs=1e-9)
+    columns = ["rank", "day", "place", "y", "prediction", "loo_error"]
+    ours, theirs = (fit.score(df).select(columns).toPandas().sort_values(columns[:4]) for fit in (parts, whole))
+    assert ours.prediction.to_numpy() == pytest.approx(theirs.prediction.to_numpy(), abs=1e-8)
+    assert ours.loo_error.to_numpy() == pytest.approx(theirs.loo_error.to_numpy(), abs=1e-8)
+    assert parts.evaluation(df).first().mae == pytest.approx(whole.evaluation(df).first().mae)
+
+
+def test_eliminated_labels_without_other_features(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 5.0), ("c", 9.0), (None, 4.0)], "g string, y double")
+    whole, parts = fit_ridge(df, "y", [], ["g"]), fit_label_ridge(df, "y", "g")
+    assert {r.feature: pytest.approx(r.coefficient) for r in parts.ranking().collect()} == dict(zip(whole.features, whole.coefficients))
+    one = fit_label_ridge(df.filter("g = 'a'"), "y", "g")
+    assert [r.prediction for r in one.score(df.filter("g = 'a'")).collect()] == [1.5, 1.5]
+    with pytest.raises(ValueError, match="1 of 2 rows"):
+        fit_label_ridge(spark.createDataFrame([("a", None), ("b", 3.0)], "g string, y double"), "y", "g")

@@ -9,6 +9,7 @@ from turnstile.functions.calendar import kickoff_hour
 from turnstile.functions.labels import competition_group
 from turnstile.functions.parsing import date_as_written, local_timestamp
 from turnstile.operators import lookups, stats
+from turnstile.operators.label_ridge import fit_label_ridge
 from turnstile.operators.ridge import fit_ridge
 from turnstile.plans import analysis, gold
 from turnstile.session import written_copy
@@ -469,3 +470,48 @@ def fill_model_error(inputs: Inputs) -> DataFrame:
     rows = _model_input(inputs)
     fit = fit_ridge(rows, analysis.FILL, analysis.MODEL_NUMERIC, analysis.MODEL_CATEGORICAL)
     return rounded(fit.evaluation(rows))
+
+
+# One coefficient per part number: thousands of labels, more with more data. Eliminating a label leaves a system of two.
+_MANY_LABELS = """
+    WITH d AS (SELECT CAST(l_partkey AS VARCHAR) AS label, CAST(l_linenumber AS DOUBLE) AS x, l_quantity AS y FROM lineitem),
+    m AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) AS vx, min(label) AS base FROM d),
+    c AS (SELECT label, x - mx AS x, y - my AS y, n, vx, base FROM d, m),
+    g AS (SELECT label, count(*) AS k, sum(x) AS sx, sum(y) AS sy, count(*) / any_value(n) AS p FROM c
+          WHERE label <> base GROUP BY label),
+    e AS (SELECT *, k + p * (1 - p) AS held FROM g),
+    w AS (SELECT sum(1.0) AS a, sum(x) AS b, sum(x * x) + any_value(vx) AS c, sum(y) AS r, sum(x * y) AS q FROM c),
+    t AS (SELECT any_value(a) - sum(k * k / held) AS a, any_value(b) - sum(k * sx / held) AS b,
+                 any_value(c) - sum(sx * sx / held) AS c, any_value(r) - sum(k * sy / held) AS r,
+                 any_value(q) - sum(sx * sy / held) AS q FROM e, w),
+    s AS (SELECT c / (a * c - b * b) AS ia, -b / (a * c - b * b) AS ib, a / (a * c - b * b) AS ic,
+                 (c * r - b * q) / (a * c - b * b) AS f, (a * q - b * r) / (a * c - b * b) AS h FROM t),
+    o AS (SELECT label, (sy - f * k - h * sx) / held AS weight, held, k / held AS pk, sx / held AS px, sqrt(p * (1 - p)) AS scale FROM e, s)
+"""
+
+
+def _part_rows(inputs: Inputs) -> DataFrame:
+    return inputs.table("lineitem").select(
+        F.col("l_partkey").alias("part"), F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("quantity")
+    )
+
+
+@query(f"""
+    SELECT * FROM ({_MANY_LABELS}
+    SELECT 'part_' || label AS feature, round(weight * scale, 7) AS coefficient FROM o
+    UNION ALL SELECT 'line', round(h * sqrt(vx), 7) FROM s, m)""")
+def model_of_many_labels(inputs: Inputs) -> DataFrame:
+    fit = fit_label_ridge(_part_rows(inputs), "quantity", "part", ["line"])
+    return rounded(fit.ranking(), 7)
+
+
+@query(f"""
+    SELECT * FROM ({_MANY_LABELS}
+    SELECT round(avg(err), 7) AS mae, round(avg(y0), 7) AS mean_target, round(avg(err) / avg(y0) * 100, 7) AS relative_error_pct
+    FROM (SELECT y + my AS y0, abs(y - f - h * x - coalesce(weight, 0)) / (1 - coalesce(1 / held, 0)
+            - (1 - coalesce(pk, 0)) * (1 - coalesce(pk, 0)) * ia - 2 * (1 - coalesce(pk, 0)) * (x - coalesce(px, 0)) * ib
+            - (x - coalesce(px, 0)) * (x - coalesce(px, 0)) * ic) AS err
+          FROM c LEFT JOIN o USING (label), s, (SELECT my FROM m)))""")
+def model_of_many_labels_error(inputs: Inputs) -> DataFrame:
+    rows = _part_rows(inputs)
+    return rounded(fit_label_ridge(rows, "quantity", "part", ["line"]).evaluation(rows), 7)
