@@ -13,10 +13,11 @@ import raw_files
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnstile import schemas
 from turnstile.plans import job
-from turnstile.sources import csv_files, files, json_files, report, tables
+from turnstile.sources import csv_files, files, json_files, landed, report, tables
 
 
 @pytest.fixture(scope="module")
@@ -400,3 +401,34 @@ def test_batches_of_a_table(spark):
     tables.append_table(one.limit(1), "batches.plain")
     with pytest.raises(ValueError, match="without batches"):
         tables.append_table(one, "batches.plain", batch="x")
+
+
+def test_landed_files_of_unlike_types(spark, tmp_path):
+    for i, (sql, n) in enumerate(
+        [("id AS v, 1 AS a", 2), ("CAST(id AS INT) AS v, 'x' AS a, DATE'2025-01-01' AS d", 2), ("id + 0.5D AS v, TIMESTAMP_NTZ'2025-01-01 10:00:00' AS d", 1)] * 2
+    ):
+        spark.range(n).selectExpr(*sql.split(", ")).coalesce(1).write.parquet(f"{tmp_path}/standings_r{i}.parquet")
+    got = json_files.read_standings(spark, f"{tmp_path}/standings_r*.parquet", r"standings_r(\d+)\.")
+    assert got.dtypes == [("v", "double"), ("a", "string"), ("d", "timestamp_ntz"), ("round", "int")]
+    day = dt.datetime(2025, 1, 1)
+    assert rows(got) == rows_of(
+        [(float(v), "1", None, r) for v in (0, 1) for r in (0, 3)]
+        + [(float(v), "x", day, r) for v in (0, 1) for r in (1, 4)]
+        + [(0.5, None, day.replace(hour=10), r) for r in (2, 5)]
+    )
+    files = [f for f in spark.read.parquet(f"{tmp_path}/standings_r0.parquet", f"{tmp_path}/standings_r3.parquet").inputFiles()]
+    assert len(landed.schema_groups(spark, files)) == 1
+    with pytest.raises(FileNotFoundError):
+        json_files.read_standings(spark, f"{tmp_path}/nothing_r*")
+
+
+def test_wider_types():
+    wider = landed.wider_type
+    whole, real = T.LongType(), T.DoubleType()
+    assert wider(T.IntegerType(), whole) == whole and wider(T.IntegerType(), T.FloatType()) == real and wider(T.ShortType(), T.FloatType()) == T.FloatType()
+    assert wider(T.DecimalType(10, 2), T.DecimalType(8, 4)) == T.DecimalType(12, 4) and wider(T.DecimalType(20, 2), whole) == T.DecimalType(22, 2)
+    assert wider(T.DecimalType(38, 2), whole) == T.DecimalType(38, 2) and wider(T.DecimalType(38, 30), whole) == real
+    assert wider(T.NullType(), whole) == whole and wider(T.BooleanType(), whole) == T.StringType()
+    one, two = T.StructType().add("a", "int").add("b", "int"), T.StructType().add("b", "bigint").add("c", "string")
+    assert wider(one, two) == T.StructType().add("a", "int").add("b", "bigint").add("c", "string")
+    assert wider(T.ArrayType(T.IntegerType()), T.ArrayType(whole)) == T.ArrayType(whole)

@@ -12,6 +12,7 @@ from turnstile import schemas
 from turnstile.functions.parsing import number_in_name
 from turnstile.session import scratch_path
 from turnstile.sources.files import absent_as_none, first_file, list_files, same_path
+from turnstile.sources.landed import read_landed
 from turnstile.sources.staging import Staged, observed, stage
 
 # The round number in a file name.
@@ -300,10 +301,10 @@ def _in_object(name: str) -> str:
 def read_standings(spark: SparkSession, path: str, name_pattern: str = STANDINGS_NAME) -> DataFrame:
     """Landed Parquet standings of all rounds, merged by column name, stamped with the round.
 
-    Absent rounds are simply not there; no file at all is an error.
+    Absent rounds are simply not there; no file at all is an error. Columns whose type differs between rounds get the
+    type that holds all of them.
     """
-    rounds = absent_as_none(lambda: spark.read.option("mergeSchema", True).parquet(path))
+    rounds = read_landed(spark, path, number_in_name(F.col("_metadata.file_path"), name_pattern).alias("round"))
     if rounds is None:
         raise FileNotFoundError(f"no standings under {path}")
-    return rounds.withColumn("round", number_in_name(F.col("_metadata.file_path"), name_pattern))
-
+    return rounds

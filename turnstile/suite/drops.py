@@ -196,14 +196,21 @@ def round_streaks(inputs: Inputs) -> DataFrame:
 
 
 @query("""
-    SELECT CAST(round AS INTEGER) AS round, team, wins, CASE WHEN round > 6 THEN losses END AS losses FROM teams""")
+    SELECT CAST(round AS INTEGER) AS round, team, CASE WHEN round = 9 THEN wins + 0.25 ELSE CAST(wins AS DOUBLE) END AS wins,
+           CASE WHEN round > 6 THEN losses END AS losses FROM teams""")
 def round_standings(inputs: Inputs) -> DataFrame:
-    """Landed Parquet; the first rounds lack a column that later ones have."""
+    """Landed Parquet; the first rounds lack a column that later ones have, and number types change from round to round."""
     path = scratch_path(inputs.spark, "standings")
     teams = inputs.monthly_teams()
-    early, late = teams.filter("round <= 6"), teams.filter("round > 6")
-    early.drop("losses").write.partitionBy("round").parquet(f"{path}/early")
-    late.write.partitionBy("round").parquet(f"{path}/late")
+    wins, losses = F.col("wins"), F.col("losses")
+    for part, rows, columns in (
+        ("early", "round <= 6", {"wins": wins.cast("int")}),
+        ("late", "round IN (7, 8)", {"wins": wins, "losses": losses.cast("int")}),
+        ("later", "round = 9", {"wins": wins + 0.25, "losses": losses}),
+        ("latest", "round > 9", {"losses": losses, "wins": wins}),
+    ):
+        landed = teams.filter(rows).select("round", "team", *(c.alias(name) for name, c in columns.items()))
+        landed.write.partitionBy("round").parquet(f"{path}/{part}")
     landed = json_files.read_standings(inputs.spark, f"{path}/*/round=*", name_pattern=r"round=(\d+)/")
     return landed.select("round", "team", "wins", "losses")
 
