@@ -429,6 +429,7 @@ def test_wider_types():
     assert wider(T.DecimalType(10, 2), T.DecimalType(8, 4)) == T.DecimalType(12, 4) and wider(T.DecimalType(20, 2), whole) == T.DecimalType(22, 2)
     assert wider(T.DecimalType(38, 2), whole) == T.DecimalType(38, 2) and wider(T.DecimalType(38, 30), whole) == real
     assert wider(T.NullType(), whole) == whole and wider(T.BooleanType(), whole) == T.StringType()
-    one, two = T.StructType().add("a", "int").add("b", "int"), T.StructType().add("b", "bigint").add("c", "string")
-    assert wider(one, two) == T.StructType().add("a", "int").add("b", "bigint").add("c", "string")
+    one = T.StructType().add("a", T.IntegerType()).add("b", T.IntegerType())
+    two = T.StructType().add("b", whole).add("c", T.StringType())
+    assert wider(one, two) == T.StructType().add("a", T.IntegerType()).add("b", whole).add("c", T.StringType())
     assert wider(T.ArrayType(T.IntegerType()), T.ArrayType(whole)) == T.ArrayType(whole)

@@ -128,11 +128,11 @@ TABLES = {
                l_quantity / 5.0 AS note_globale
         FROM lineitem""",
     "match_scores": """
-        SELECT match_id, victoire_pbb, note_globale_moy, n_reponses FROM (
-            SELECT match_id, sum(note_globale) / count(note_globale) AS note_globale_moy, count(*) AS n_reponses
-            FROM (FROM survey WHERE type_enquete IN ('POST_MATCH')) GROUP BY match_id)
-        SEMI JOIN fact USING (match_id)
-        JOIN (SELECT match_id, victoire_pbb FROM fact) USING (match_id)""",
+        SELECT match_id, victoire_pbb,
+               list_sum([g.key * g.value FOR g IN map_entries(grades)]) / list_sum(map_values(grades)) AS note_globale_moy,
+               CAST(list_sum(map_values(grades)) AS BIGINT) AS n_reponses
+        FROM (SELECT match_id, histogram(note_globale) AS grades FROM survey WHERE type_enquete = 'POST_MATCH' GROUP BY match_id)
+        JOIN fact USING (match_id)""",
     "kickoff": """
         SELECT *, CAST(split_part(heure, ':', 1) AS INTEGER) * 60 + CAST(split_part(heure, ':', 2) AS INTEGER)
                   AS heure_minutes,
@@ -149,10 +149,10 @@ TABLES = {
                CASE WHEN event_type = 'purchase' THEN value WHEN event_type <> 'view' THEN value - 50.0 END AS revenue
         FROM events""",
     "conversion": """
-        SELECT source, medium, n AS sessions, round(CAST(100 * buyers AS DOUBLE) / n, 2) AS taux_conversion_pct
-        FROM (SELECT source, medium, len(list(medium)) AS n, len(list_filter(list(revenue), lambda r: r > 0)) AS buyers
-              FROM web_sessions GROUP BY ALL)
-        WHERE n > 1000""",
+        SELECT source, medium, seen.n AS sessions, round(100.0 * coalesce(bought.n, 0) / seen.n, 2) AS taux_conversion_pct
+        FROM (SELECT source, medium, count(*) AS n FROM web_sessions GROUP BY source, medium) AS seen
+        LEFT JOIN (SELECT source, medium, count(*) AS n FROM web_sessions WHERE revenue > 0 GROUP BY source, medium) AS bought
+        USING (source, medium) WHERE seen.n > 1000""",
     "campaign_events": """
         SELECT CASE WHEN event_type = 'error' THEN 'WEB' WHEN value > 20 THEN 'SMS' ELSE 'EMAIL' END AS canal,
                CASE event_type WHEN 'view' THEN 'DELIVRE' WHEN 'click' THEN 'OUVERTURE'
@@ -197,11 +197,11 @@ TABLES = {
                CAST(sum(n) * 2000 AS BIGINT) AS population
         FROM region JOIN nation_suppliers ON n_regionkey = r_regionkey GROUP BY r_name, r_regionkey""",
     "population": """
+        WITH places AS (SELECT codes, population FROM towns WHERE nom <> 'Paris'
+                        UNION ALL SELECT codes, population FROM districts),
+        known AS (SELECT DISTINCT unnest(codes) AS code_postal FROM places)
         SELECT code_postal, CAST(sum(population) AS BIGINT) AS population
-        FROM (SELECT codes, population FROM districts
-              UNION ALL SELECT codes, population FROM towns WHERE NOT (nom = 'Paris')) AS places,
-             unnest(places.codes) AS code(code_postal)
-        GROUP BY ALL""",
+        FROM known JOIN places ON list_contains(codes, code_postal) GROUP BY code_postal""",
     "contacts_by_postcode": """
         SELECT code_postal, count(*) AS nb_contacts FROM contacts WHERE code_postal IS NOT NULL GROUP BY 1""",
     "penetration": """

@@ -259,8 +259,11 @@ class Inputs:
         day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("l_orderkey") % 1500).cast("int"))
         number, line, flag = F.col("l_linenumber"), F.col("l_linestatus"), F.col("l_returnflag")
 
-        def comma(value) :
-            return F.replace(F.format_string("%.2f", value), F.lit("."), F.lit(","))
+        def with_digits(value, digits):
+            return value.cast(f"decimal(18,{digits})").cast("string")
+
+        def comma(value):
+            return F.replace(with_digits(value, 2), F.lit("."), F.lit(","))
 
         return self.table("lineitem").select(
             F.col("l_orderkey").cast("string").alias("LIGNE_ligne"),
@@ -273,8 +276,8 @@ class Inputs:
             F.lit(None).cast("string").alias("LIGNE_Couleur"),
             F.lit(None).cast("string").alias("LIGNE_Taille"),
             comma(F.col("l_extendedprice")).alias("LIGNE_PrixVente"),
-            F.when(flag == "A", F.format_string("%.1f", F.col("l_quantity") + 0.5))
-            .when(flag == "N", F.format_string("%.0f", F.col("l_quantity")))
+            F.when(flag == "A", with_digits(F.col("l_quantity") + 0.5, 1))
+            .when(flag == "N", with_digits(F.col("l_quantity"), 0))
             .otherwise("")
             .alias("LIGNE_Quantite"),
             comma(F.col("l_extendedprice") * F.col("l_quantity")).alias("LIGNE_Total"),
@@ -286,7 +289,7 @@ class Inputs:
             .otherwise("")
             .alias("VENTE_date"),
             F.lit(None).cast("string").alias("VENTE_codemag"),
-            F.format_string("%.2f", F.col("l_tax") * 100).alias("VENTE_total"),
+            with_digits(F.col("l_tax") * 100, 2).alias("VENTE_total"),
             flag.alias("VENTE_nature"),
             F.col("l_suppkey").cast("string").alias("VENTe_client"),
             F.lit(None).cast("string").alias("CLIENT_Regroupement"),
