@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from turnstile import schemas
 from turnstile.functions.numbers import ratio
@@ -70,13 +71,15 @@ TICKET_COLUMNS = (
 
 
 def contacts(raw: DataFrame) -> DataFrame:
-    """Contacts with typed dates and consent flag."""
+    """Contacts with typed dates and consent flag: the thirteen columns of a contact, NULL where the source lacks one."""
     typed = {
-        "date_naissance": flexible_date(F.col("date_naissance"), DAY_FIRST_SLASH),
-        "date_creation": year_first_date(F.col("date_creation")),
-        "optin_email": truth_value(F.col("optin_email")),
+        "date_naissance": lambda text: flexible_date(text, DAY_FIRST_SLASH),
+        "date_creation": year_first_date,
+        "optin_email": truth_value,
     }
-    return raw.withColumns(typed)
+    columns = StructType.fromDDL(schemas.CONTACTS).names
+    given = {c: F.col(c) if c in raw.columns else F.lit(None).cast("string") for c in columns}
+    return raw.select(*(typed.get(c, lambda text: text)(text).alias(c) for c, text in given.items()))
 
 
 def unparsed_birth_dates(raw: DataFrame) -> DataFrame:

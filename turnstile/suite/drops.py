@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from turnstile import schemas
 from turnstile.operators.lookups import hourly_readings
+from turnstile.plans import dashboard, silver
 from turnstile.session import scratch_path, written_copy
 from turnstile.sources import csv_files, json_files, report, tables
 from turnstile.suite.catalogue import query, rounded
@@ -54,24 +55,25 @@ def _write_empty_file(inputs: Inputs, path: str) -> None:
     inputs.spark.createDataFrame([], "value string").coalesce(1).write.text(path)
 
 
-_TICKET_COLUMNS = (
-    "order_id", "order_status_id", "ext_id", "product_type_id", "product_is_cancelled", "ticket_id",
-    "bar_code", "session_id", "amount", "seat_number",
-)
-
-
 @query("""
-    SELECT l_orderkey AS order_id,
+    SELECT l_orderkey AS order_id, l_orderkey % 97 AS event_id,
            CASE WHEN l_returnflag = 'N' THEN 1 WHEN l_returnflag = 'A' THEN 8
                 WHEN l_linestatus = 'F' THEN 9 ELSE 4 END AS order_status_id,
-           'C' || l_orderkey AS ext_id, l_linenumber AS product_type_id,
-           CASE WHEN l_discount > 0 THEN l_discount > 0.08 END AS product_is_cancelled, l_partkey AS ticket_id,
-           l_orderkey || '-' || l_linenumber AS bar_code, l_orderkey AS session_id, l_extendedprice AS amount,
-           CAST(l_suppkey AS VARCHAR) AS seat_number
-    FROM lineitem""")
+           CAST(l_orderkey % 5 AS INTEGER) AS channel_id, 'C' || l_orderkey AS ext_id, CAST(made AS VARCHAR) AS order_creation_date,
+           CASE WHEN l_orderkey % 3 > 0 THEN made || 'T10:00:00' END AS order_validation_date,
+           CASE WHEN l_orderkey % 7 > 0 THEN l_orderkey % 2 = 0 END AS is_secondary_market,
+           l_orderkey * 10 + l_linenumber AS order_product_id, l_linenumber AS product_type_id,
+           CASE WHEN l_discount > 0 THEN l_discount > 0.08 END AS product_is_cancelled,
+           CAST(l_linenumber AS DOUBLE) * 1.5 AS product_amount_inc_tax, l_partkey AS ticket_id,
+           l_orderkey || '-' || l_linenumber AS bar_code, CAST(l_linenumber % 3 AS INTEGER) AS category_id, l_orderkey AS session_id,
+           l_extendedprice AS amount, CAST(l_linenumber % 2 AS INTEGER) AS ticket_status_id, 'G' || l_linenumber AS seat_gate,
+           l_returnflag AS seat_stand, CASE WHEN l_linestatus = 'F' THEN 'F' END AS seat_row,
+           CAST(l_suppkey AS VARCHAR) AS seat_number, '.json' AS filename
+    FROM (SELECT *, CAST(DATE '2020-01-01' + CAST(l_orderkey % 1000 AS INTEGER) AS DATE) AS made FROM lineitem)""")
 def nested_tickets(inputs: Inputs) -> DataFrame:
+    """All 23 columns; of the file name, which Spark chooses, the ending."""
     tickets = json_files.read_tickets(inputs.spark, _order_drops(inputs), one_document_per_file=False)
-    return tickets.select(*_TICKET_COLUMNS)
+    return tickets.withColumn("filename", F.substring("filename", -5, 5))
 
 
 @query(f"""
@@ -290,28 +292,22 @@ def inferred_csv(inputs: Inputs) -> DataFrame:
     return csv_files.read_named_csv(inputs.spark, path).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
-@query("""
-    SELECT ligne_id AS "LIGNE_ligne", prix_vente AS "LIGNE_PrixVente", nullif(quantite, '') AS "LIGNE_Quantite",
-           designation AS "LIGNE_Designation", nullif(date_vente, '') AS "VENTE_date" FROM raw_till""")
+@query(f"""
+    SELECT {", ".join(f"nullif({name}, '') AS {source}" for source, name in silver.TILL_NAMES.items())} FROM raw_till""")
 def till_csv(inputs: Inputs) -> DataFrame:
-    """Semicolons, all text, decimal commas untouched."""
+    """Semicolons, all text, decimal commas untouched; all 21 columns."""
     path = scratch_path(inputs.spark, "till")
     inputs.raw_till().write.option("header", True).option("sep", ";").option("emptyValue", "").csv(path)
-    return csv_files.read_till(inputs.spark, path).select(
-        "LIGNE_ligne", "LIGNE_PrixVente", "LIGNE_Quantite", "LIGNE_Designation", "VENTE_date"
-    )
+    return csv_files.read_till(inputs.spark, path)
 
 
-@query("""
-    SELECT ext_id, nom, nullif(date_naissance, '') AS date_naissance, code_postal, date_creation, optin_email
-    FROM raw_contacts""")
+@query("SELECT * REPLACE (nullif(date_naissance, '') AS date_naissance) FROM raw_contacts")
 def contacts_csv(inputs: Inputs) -> DataFrame:
+    """All 13 columns, with separators and quotes in some."""
     path = scratch_path(inputs.spark, "contacts")
-    writer = inputs.raw_contacts().write.option("header", True).option("emptyValue", "")
+    writer = inputs.raw_contacts().write.option("header", True).option("emptyValue", "").option("escape", '"')
     writer.option("ignoreTrailingWhiteSpace", False).csv(path)
-    return csv_files.read_contacts(inputs.spark, path).select(
-        "ext_id", "nom", "date_naissance", "code_postal", "date_creation", "optin_email"
-    )
+    return csv_files.read_contacts(inputs.spark, path)
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
@@ -325,19 +321,74 @@ def replaced_and_appended_files(inputs: Inputs) -> DataFrame:
     return inputs.spark.read.parquet(path)
 
 
-@query("""
-    SELECT match_id, strftime(date, '%Y-%m-%d') AS date, competition, billets_vendus, taux_remplissage,
-           rang_adversaire_avant, vacances_scolaires FROM fact""")
+_EXPORTED = """
+    SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date, round(revenu_billetterie, 2) AS revenu_billetterie,
+                      round(precipitation, 9) AS precipitation) FROM fact"""
+
+
+@query(_EXPORTED)
 def exported_records(inputs: Inputs) -> DataFrame:
-    """JSON records with ISO dates and nullable counts, read back by name."""
+    """All 31 columns as JSON records with ISO dates and nullable counts, in date order, read back by name."""
     path = scratch_path(inputs.spark, "records")
     fact = tables.by_date(inputs.fact())
     tables.write_records(fact, path)
-    schema = (
-        "match_id string, date string, competition string, billets_vendus bigint, taux_remplissage double, "
-        "rang_adversaire_avant int, vacances_scolaires boolean"
+    exported = inputs.spark.read.schema(tables.as_records(fact).schema).json(path)
+    return rounded(exported, revenu_billetterie=2)
+
+
+@query(_EXPORTED)
+def records_as_text(inputs: Inputs) -> DataFrame:
+    """One JSON text per match, NULL fields written out, parsed again."""
+    fact = inputs.fact()
+    schema = tables.as_records(fact).schema
+    records = tables.json_records(fact)
+    whole = F.size(F.json_object_keys("record")) == len(schema)
+    parsed = records.filter(whole).select(F.from_json("record", schema).alias("r")).select("r.*")
+    return rounded(parsed, revenu_billetterie=2)
+
+
+@query("""
+    SELECT 'conversion' AS feed, source || '/' || medium AS name, sessions AS n, taux_conversion_pct AS first, CAST(NULL AS DOUBLE) AS second
+    FROM conversion
+    UNION ALL SELECT 'campaigns', canal, CAST(delivered AS BIGINT), round(100.0 * opened / nullif(delivered, 0), 1), round(100.0 * clicked / nullif(opened, 0), 1)
+    FROM (SELECT canal, count_if(evenement = 'DELIVRE') AS delivered, count_if(evenement = 'OUVERTURE') AS opened,
+                 count_if(evenement = 'CLIC') AS clicked FROM campaign_events GROUP BY canal)
+    UNION ALL SELECT 'matches', match_id || ' ' || strftime(date, '%Y-%m-%d'), billets_vendus, taux_remplissage, entrees_ok FROM fact""")
+def dashboard_feed(inputs: Inputs) -> DataFrame:
+    """The feed's three record sets as they were written, side by side."""
+    path = scratch_path(inputs.spark, "feed")
+    feed = dashboard.write_feed(inputs.fact(), inputs.web_sessions(), inputs.campaign_events(), path)
+    read = {name: inputs.spark.read.schema(schema).json(f"{path}/{name}") for name, schema in feed.items()}
+
+    def part(name: str, label: Column, n: str, first: str, second: Column) -> DataFrame:
+        return read[name].select(
+            F.lit(name).alias("feed"), label.alias("name"), F.col(n).alias("n"), F.col(first).alias("first"), second.cast("double").alias("second")
+        )
+
+    parts = [
+        part("conversion", F.concat_ws("/", "source", "medium"), "sessions", "taux_conversion_pct", F.lit(None)),
+        part("campaigns", F.col("canal"), "delivres", "taux_ouverture_pct", F.col("taux_clic_pct")),
+        part("matches", F.concat_ws(" ", "match_id", "date"), "billets_vendus", "taux_remplissage", F.col("entrees_ok")),
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query("""
+    SELECT strftime(hour_ts, '%Y-%m-%dT%H:00') AS heure, temperature, precipitation FROM weather_hour
+    WHERE year(hour_ts) = (SELECT min(year(hour_ts)) FROM weather_hour)""")
+def weather_of_the_first_file(inputs: Inputs) -> DataFrame:
+    """One file per year; the first by name counts, an empty one before it does not."""
+    path = scratch_path(inputs.spark, "weather-files")
+    hours = hourly_readings(inputs.weather().withColumnRenamed("heure", "hour_ts")).withColumnRenamed("hour_ts", "heure")
+    years = hours.groupBy(F.substring("heure", 1, 4).alias("year")).agg(
+        F.array_sort(F.collect_list(F.struct("heure", "temperature", "precipitation"))).alias("h")  # hours of a year
+    )
+    lists = F.struct(
+        F.col("h.heure").alias("time"), F.col("h.temperature").alias("temperature_2m"), F.col("h.precipitation").alias("precipitation")
     )
-    return inputs.spark.read.schema(schema).json(path)
+    years.select("year", lists.alias("hourly")).repartition("year").write.partitionBy("year").json(path)
+    _write_empty_file(inputs, f"{path}/year=0000")
+    return json_files.read_weather(inputs.spark, f"{path}/year=*/*").select("heure", "temperature", "precipitation")
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS priority FROM orders")

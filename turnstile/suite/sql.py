@@ -170,10 +170,14 @@ TABLES = {
                c_mktsegment AS segment,
                year(born) || '/' || month(born) || '/' || day(born) AS date_creation,
                CASE c_mktsegment WHEN 'BUILDING' THEN 'true' WHEN 'MACHINERY' THEN 'No' WHEN 'HOUSEHOLD' THEN '1'
-                    WHEN 'FURNITURE' THEN 'oui' ELSE 'F' END AS optin_email
+                    WHEN 'FURNITURE' THEN 'oui' ELSE 'F' END AS optin_email,
+               'N° ' || (c_custkey % 100) AS prenom, CASE WHEN c_custkey % 2 = 0 THEN 'F' WHEN c_custkey % 3 = 0 THEN 'M' END AS genre,
+               '+33 ' || c_custkey AS telephone, CASE WHEN c_acctbal >= 0 THEN 'France' ELSE 'Belgique, BE' END AS pays,
+               lower(c_mktsegment) AS canal_acquisition,
+               CASE WHEN c_nationkey > 12 THEN 'Joueur "' || c_nationkey || '"' END AS joueur_prefere
         FROM (SELECT *, CAST(DATE '1950-01-01' + CAST(c_custkey % 18000 AS INTEGER) AS DATE) AS born FROM customer)""",
     "contacts": """
-        SELECT ext_id, nom,
+        SELECT ext_id, nom, prenom, genre, telephone, pays, canal_acquisition, joueur_prefere,
                CASE WHEN len(born) = 3 THEN CASE WHEN length(born[1]) = 4
                     THEN make_date(CAST(born[1] AS BIGINT), CAST(born[2] AS BIGINT), CAST(born[3] AS BIGINT))
                     ELSE make_date(CAST(born[3] AS BIGINT), CAST(born[2] AS BIGINT), CAST(born[1] AS BIGINT)) END

@@ -228,6 +228,12 @@ class Inputs:
             .when(segment == "FURNITURE", "oui")
             .otherwise("F")
             .alias("optin_email"),
+            F.concat(F.lit("N° "), F.col("c_custkey") % 100).alias("prenom"),
+            F.when(F.col("c_custkey") % 2 == 0, "F").when(F.col("c_custkey") % 3 == 0, "M").alias("genre"),
+            F.concat(F.lit("+33 "), "c_custkey").alias("telephone"),
+            F.when(known, "France").otherwise("Belgique, BE").alias("pays"),
+            F.lower("c_mktsegment").alias("canal_acquisition"),
+            F.when(F.col("c_nationkey") > 12, F.concat(F.lit('Joueur "'), "c_nationkey", F.lit('"'))).alias("joueur_prefere"),
         )
 
     def _suppliers_by_nation(self) -> DataFrame:
@@ -324,21 +330,42 @@ class Inputs:
                 F.concat_ws("-", "l_orderkey", "l_linenumber").alias("bar_code"),
                 F.col("l_orderkey").alias("session_id"),
                 F.col("l_extendedprice").alias("amount"),
-                F.struct(F.col("l_suppkey").cast("string").alias("number")).alias("seats"),
+                (F.col("l_linenumber") % 3).cast("int").alias("category_id"),
+                (F.col("l_linenumber") % 2).cast("int").alias("ticket_status_id"),
+                F.struct(
+                    F.concat(F.lit("G"), "l_linenumber").alias("gate"),
+                    flag.alias("stand"),
+                    F.when(line == "F", line).alias("row"),
+                    F.col("l_suppkey").cast("string").alias("number"),
+                ).alias("seats"),
             ).alias("ticket"),
         ).repartition("drop", period)
         products = tickets.groupBy("drop", period, "order_id", "order_status_id", "product_type_id", "is_cancelled").agg(
             F.collect_list("ticket").alias("tickets")
         )
         orders = products.groupBy("drop", period, "order_id", "order_status_id").agg(
-            F.collect_list(F.struct("product_type_id", "is_cancelled", "tickets")).alias("products")
+            F.collect_list(
+                F.struct(
+                    (F.col("order_id") * 10 + F.col("product_type_id")).alias("order_product_id"),
+                    "product_type_id",
+                    "is_cancelled",
+                    (F.col("product_type_id") * 1.5).alias("amount_inc_tax"),
+                    "tickets",
+                )
+            ).alias("products")
         )
+        created = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("order_id") % 1000).cast("int")).cast("string")
         return orders.groupBy("drop", period).agg(
             F.collect_list(
                 F.struct(
                     "order_id",
+                    (F.col("order_id") % 97).alias("event_id"),
                     "order_status_id",
+                    (F.col("order_id") % 5).cast("int").alias("channel_id"),
                     F.struct(F.concat(F.lit("C"), "order_id").alias("external_id")).alias("customer"),
+                    created.alias("creation_date"),
+                    F.when(F.col("order_id") % 3 > 0, F.concat(created, F.lit("T10:00:00"))).alias("validation_date"),
+                    F.when(F.col("order_id") % 7 > 0, F.col("order_id") % 2 == 0).alias("is_secondary_market"),
                     "products",
                 )
             ).alias("orders")
