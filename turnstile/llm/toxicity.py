@@ -1,11 +1,15 @@
 """Toxicity of texts whose words may be disguised: a noisy channel in front of a word model.
 
-A disguised span (symbols for letters, letters spaced out, letters repeated) is a
+A disguised span (symbols for letters, letters or pieces set apart, letters repeated) is a
 lattice: each character may stand for itself or for letters it resembles, a run may
 stand for one or two letters, a separator may be nothing or a space. Viterbi search
 under a character trigram model picks the likeliest reading. The model comes from
 the words of all documents, counted by Spark. The restored words are then scored.
 
+Spark finds the spans that may be disguised, and each distinct one is decoded once. The
+trigrams stay a table: spans are dealt to buckets of some ``BUCKET_SPANS``, the trigrams that a
+bucket's lattices can ask for are joined with their costs, and a task holds one bucket of both.
+
 The score is learnt from labelled texts: words, and beginnings of words, are either
 toxic or not, and how many of their texts are toxic tells which; the share of toxic
 ones is itself fitted, so that chance finds among many words count little. A text's score is the chance that at least one of its distinct words means
@@ -13,13 +17,12 @@ what its value says. A word counts once for each pair of neighbours it is seen w
 so copies of a text, and passages that many texts share, count once.
 
 At most ``FIT_ROWS`` labelled texts, drawn by hash, are used to fit the scorer
-(a documented bound of the classifier); the language model has no bound: all
-trigrams of all words travel to the tasks, in two sorted arrays of 16 bytes each.
+(a documented bound of the classifier), so the features that travel to the tasks are of so many texts at most.
 
 Defined results: a NULL or empty text gets the score of a text without evidence;
-repeated rows get the same score; rows without a label, or with a NULL one, are not
+repeated rows get the same score and are kept or dropped together; rows without a label, or with a NULL one, are not
 learnt from; without any labels all texts get the score 0. Spans of any length are
-decoded whole. Other columns are not read.
+decoded whole. Other columns are carried as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.llm.texts import whole
-from turnstile.session import scratch_path
+from turnstile.session import scratch_path, written_copy
 
 FIT_ROWS = 10_000
 BEGINNINGS = range(4, 8)  # letters of a word's beginning that make a feature
@@ -53,13 +56,17 @@ LOOKS_LIKE = {
 }
 SWAP, DROP, SHRINK, UNKNOWN = 1.0, 0.3, 0.5, 12.0  # costs in nats
 SEPARATOR = " .-_*"
+BUCKET_SPANS = 4096
 
 WORD = re.compile(r"[^\W\d_]+")
-SPACED = re.compile(r"(?<!\S)(?:\S {1,2}){3,}\S(?!\S)")  # characters one by one
-# Marks of a disguise within a token: letters between separators, a symbol beside a letter, one letter three times.
+# Java patterns. Single characters set apart by white space, and marks of a disguise within a token: characters or pieces
+# between separators, a symbol beside a letter, one letter three times. What such a span says is left to the decoder.
+_LETTER, _BREAK = r"[^\W\d_]", r"[.\-_*]+"
 _SYMBOLS = re.escape("".join(LOOKS_LIKE))
-DISGUISED = re.compile(
-    rf"^(?:[^\W_][.\-_*]){{2,}}[^\W_]\W*$|[{_SYMBOLS}][^\W\d_]|[^\W\d_][@$!|+(€£0-9]|([^\W\d_])\1\1"
+SPACED = r"(?U)(?<!\S)(?:\S\s{1,2}){2,}\S(?!\S)"
+DISGUISED = (
+    rf"(?U)^\W*(?:[^\W_]{_BREAK}){{2,}}[^\W_]\W*$|{_LETTER}{_BREAK}{_LETTER}|[{_SYMBOLS}]{_LETTER}"
+    rf"|{_LETTER}[@$!|+(€£0-9]|({_LETTER})\1\1"
 )
 
 
@@ -165,81 +172,144 @@ def restore(span: str, model: CharacterModel) -> str:
     return "".join(reversed(letters))
 
 
-class Reader:
-    """The words of texts, those of disguised spans restored beside them as they stand."""
+class AskedCosts:
+    """The costs of some grams."""
 
-    def __init__(self, model: CharacterModel, weights: dict[str, float] | None = None):
-        self.model, self.weights = model, weights or {}
-        self.known: dict[str, list[str]] = {}
-        self.scored: dict[str, dict[str, float]] = {}
+    def __init__(self, costs: dict[str, float]):
+        self.costs = costs
 
-    def words_of(self, span: str) -> list[str]:
-        found = self.known.get(span)
-        if found is None:
-            found = WORD.findall(span)
-            if " " in span or DISGUISED.search(span):
-                found = found + WORD.findall(restore(span, self.model))
-            if len(self.known) >= CACHED:
-                self.known.clear()
-            self.known[span] = found
-        return found
+    def cost(self, before: str, letter: str) -> float:
+        return self.costs[before + letter]
 
-    @staticmethod
-    def spans(text: str | None) -> set[str]:
-        """The distinct tokens, and each row of single characters as a whole."""
-        low = (text or "").lower()
-        return {*low.split(), *(m.group() for m in SPACED.finditer(low))}
-
-    def contexts(self, text: str | None) -> dict[str, int]:
-        """Each distinct word of a text and a hash of the tokens around its first occurrence."""
-        low = (text or "").lower()
-        tokens = ["", *low.split(), ""]
-        around = [(token, f"{tokens[i]} {tokens[i + 2]}") for i, token in enumerate(tokens[1:-1])]
-        around += [(m.group(), low[max(0, m.start() - 20) : m.start()] + low[m.end() : m.end() + 20]) for m in SPACED.finditer(low)]
-        found: dict[str, int] = {}
-        for span, near in around:
-            for word in self.words_of(span):
-                if word not in found:
-                    found[word] = zlib.crc32(near.encode())
-        return found
 
-    def telling(self, span: str) -> dict[str, float]:
-        """The words of a span that speak for toxicity, each with its best feature's weight."""
-        found = self.scored.get(span)
-        if found is None:
-            best = {w: max(self.weights.get(f, 0.0) for f in _features({w})) for w in self.words_of(span)}
-            found = {w: weight for w, weight in best.items() if weight > 0}
-            if len(self.scored) >= CACHED:
-                self.scored.clear()
-            self.scored[span] = found
-        return found
+class Asking:
+    """In place of a model: notes the grams that decoding a span asks for, which do not depend on their costs."""
+
+    def __init__(self):
+        self.grams: set[str] = set()
 
-    def score(self, text: str | None) -> float:
-        """The chance that at least one of the text's distinct words is meant as its weight says; 0 without any."""
-        words: dict[str, float] = {}
-        for span in self.spans(text):
-            if found := self.telling(span):
-                words.update(found)
-        return 1.0 - math.prod(1.0 - weight for weight in sorted(words.values()))
+    def cost(self, before: str, letter: str) -> float:
+        self.grams.add(before + letter)
+        return 0.0
+
+
+def evened(span: str) -> str:
+    """A span with a blank for each white space character."""
+    return re.sub(r"\s", " ", span)
+
+
+def contexts(text: str | None, restored: dict[str, list[str]]) -> dict[str, int]:
+    """Each distinct word of a text, restored ones too, and a hash of what stands around its first occurrence."""
+    low = (text or "").lower()
+    tokens = ["", *low.split(), ""]
+    around = [(WORD.findall(token), f"{tokens[i]} {tokens[i + 2]}") for i, token in enumerate(tokens[1:-1])]
+    for span, words in restored.items():
+        at = low.find(span)
+        around.append((words, low[max(0, at - 20) : at] + low[at + len(span) : at + len(span) + 20] if at >= 0 else span))
+    found: dict[str, int] = {}
+    for words, near in around:
+        for word in words:
+            if word not in found:
+                found[word] = zlib.crc32(near.encode())
+    return found
 
 
-def character_model(docs: DataFrame) -> CharacterModel:
-    """The trigrams of all words of all documents, weighted by how often the words occur."""
+class Telling:
+    """Finds the words that speak for toxicity."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.weights = weights
+        # Words of no feature differ from all features in their first letters.
+        self.starts = {feature.rstrip("*")[: BEGINNINGS[0]] for feature in weights}
+
+    def of(self, words: set[str]) -> list[tuple[str, float]]:
+        """Words with the weight of their best feature."""
+        first, get = BEGINNINGS[0], self.weights.get
+        near = [w for w in words if w[:first] in self.starts]
+        return [(w, weight) for w in near if (weight := max(get(f, 0.0) for f in _features({w}))) > 0]
+
+
+# --- spans -------------------------------------------------------------------------------------------------
+
+
+def text_key(text: Column) -> Column:
+    """What tells texts apart, 16 bytes."""
+    return F.unhex(F.md5(whole(text).cast("binary")))
+
+
+def disguised_spans(text: Column) -> Column:
+    """The distinct spans of a text that may be disguised, in lower case."""
+    low = F.lower(whole(text))
+    tokens = F.filter(F.split(low, r"(?U)\s+"), lambda token: token.rlike(DISGUISED))
+    return F.array_distinct(F.concat(tokens, F.regexp_extract_all(low, F.lit(SPACED), F.lit(0))))
+
+
+def trigram_counts(docs: DataFrame) -> DataFrame:
+    """The trigrams of all words of all documents, weighted by how often the words occur: gram, n."""
     words = F.explode(F.split(F.lower(whole(F.col("text"))), r"[^\p{L}]+")).alias("word")
     path = scratch_path(docs.sparkSession, "words")
     docs.select(words).where("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n")).write.parquet(path)
     padded = F.concat(F.lit("  "), "word", F.lit(" "))
     places = F.explode(F.sequence(F.lit(1), F.length("word") + 1)).alias("place")
-    counted = (
+    return (
         docs.sparkSession.read.parquet(path)
         .select(padded.alias("padded"), "n", places)
         .groupBy(F.substr("padded", F.col("place"), F.lit(3)).alias("gram"))
         .agg(F.sum("n").alias("n"))
     )
+
+
+def gram_costs(grams: DataFrame, counts: DataFrame) -> DataFrame:
+    """The cost of each gram's last letter after the first two, by absolute discounting, backed off to fewer letters."""
+    last_two, last = F.substring("gram", 2, 2), F.substring("gram", 3, 1)
+    heads = counts.groupBy(F.substring("gram", 1, 2).alias("head")).agg(F.sum("n").alias("head_n"))
+    pairs = counts.groupBy(last_two.alias("pair")).agg(F.sum("n").alias("pair_n"))
+    tails = pairs.groupBy(F.substring("pair", 1, 1).alias("tail")).agg(F.sum("pair_n").alias("tail_n"))
+    singles = pairs.groupBy(F.substring("pair", 2, 1).alias("single")).agg(F.sum("pair_n").alias("single_n"))
+    total = counts.agg(F.sum("n").alias("total"))
+
+    def cost(n: str, of: str) -> Column:
+        return -F.log(F.greatest(F.col(n) - 0.5, F.lit(0.5)) / F.col(of))
+
+    keyed = grams.select(
+        "gram", F.substring("gram", 1, 2).alias("head"), last_two.alias("pair"), F.substring("gram", 2, 1).alias("tail"), last.alias("single")
+    )
+    joined = keyed.join(counts, "gram", "left").join(heads, "head", "left").join(pairs, "pair", "left").join(tails, "tail", "left")
+    joined = joined.join(singles, "single", "left").withColumn("total", total.scalar())
+    alone = F.coalesce(-F.log(F.col("single_n") / F.col("total")), F.lit(UNKNOWN)) + 4.0
+    return joined.select("gram", F.coalesce(cost("n", "head_n"), cost("pair_n", "tail_n") + 2.0, alone).alias("cost"))
+
+
+def restored_spans(spans: DataFrame, counts: DataFrame) -> DataFrame:
+    """Distinct spans with the words of their likeliest reading: span, words."""
+    buckets = max(1, math.ceil(spans.count() / BUCKET_SPANS))
+    placed = spans.select("span", F.pmod(F.xxhash64("span"), F.lit(buckets)).alias("bucket"))
+
+    def asked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for bucket, held in frame.groupby("bucket")["span"]:
+                asking = Asking()
+                for span in held:
+                    restore(evened(span), asking)
+                yield pd.DataFrame({"bucket": bucket, "gram": sorted(asking.grams)})
+
+    wanted = written_copy(placed.repartition("bucket").mapInPandas(asked, "bucket long, gram string").distinct(), "asked")
+    known = wanted.join(gram_costs(wanted.select("gram").distinct(), counts), "gram")
+
+    def decoded(held: pd.DataFrame, costs: pd.DataFrame) -> pd.DataFrame:
+        model = AskedCosts(dict(zip(costs["gram"], costs["cost"], strict=True)))
+        return pd.DataFrame({"span": held["span"], "words": [WORD.findall(restore(evened(span), model)) for span in held["span"]]})
+
+    both = placed.groupBy("bucket").cogroup(known.groupBy("bucket"))
+    return both.applyInPandas(decoded, "span string, words array<string>")
+
+
+def character_model(docs: DataFrame) -> CharacterModel:
+    """All trigrams of a corpus as one model on the driver, 16 bytes each: for corpora known to be small, and for comparison."""
     code = F.lit(0).cast("long")
     for place in (1, 2, 3):
         code = F.shiftleft(code, LETTER_BITS).bitwiseOR(F.ascii(F.substring("gram", place, 1)).cast("long"))
-    grams = counted.select(code.alias("code"), "n").toArrow()
+    grams = trigram_counts(docs).select(code.alias("code"), "n").toArrow()
     return CharacterModel(grams["code"].to_numpy(), grams["n"].to_numpy())
 
 
@@ -282,30 +352,33 @@ def toxic_chances(seen: list[tuple[int, int, int]]) -> dict[tuple[int, int], flo
     return best[1]
 
 
-def fit(labelled: DataFrame, model: CharacterModel, rows: int = FIT_ROWS) -> dict[str, float]:
-    """Features and the toxic share they speak for, from (doc_id, text, toxic); '' is that of no evidence."""
+def fit(labelled: DataFrame, restored: DataFrame, rows: int = FIT_ROWS) -> dict[str, float]:
+    """Features and the toxic share they speak for, from (doc_id, text, toxic) and the restored spans (span, words)."""
     spark = labelled.sparkSession
     total = labelled.count()
     drawn = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 20)) < math.ceil(min(1.0, rows / max(total, 1)) * (1 << 20))
+    words = F.split(whole(F.col("text")), r"[^\p{L}]+")
+    copies = F.array_min(F.transform(words, lambda w: F.xxhash64(F.lower(w)))).alias("copies")
+    learnt = written_copy(labelled.where(drawn).select(copies, "text", F.col("toxic").cast("int").alias("toxic"), text_key(F.col("text")).alias("key")), "learnt")
+    spans = learnt.select("key", F.explode(disguised_spans(F.col("text"))).alias("span")).distinct()
+    said = spans.join(restored, "span").groupBy("key").agg(F.collect_list(F.struct("span", "words")).alias("said"))
 
     def spelled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(model)
         for frame in frames:
-            features, contexts = [], []
-            for text in frame["text"]:
+            features, around = [], []
+            for text, said in zip(frame["text"], frame["said"], strict=True):
                 first: dict[str, int] = {}
-                for word, context in reader.contexts(text).items():
+                spans = {} if said is None else {s["span"]: list(s["words"]) for s in said}
+                for word, context in contexts(text, dict(sorted(spans.items()))).items():
                     for feature in _features({word}):
                         first.setdefault(feature, context)
                 features.append(list(first))
-                contexts.append(list(first.values()))
-            yield pd.DataFrame({"copies": frame["copies"], "toxic": frame["toxic"], "feature": features, "context": contexts})
+                around.append(list(first.values()))
+            yield pd.DataFrame({"copies": frame["copies"], "toxic": frame["toxic"], "feature": features, "context": around})
 
     path = scratch_path(spark, "toxic-features")
-    words = F.split(whole(F.col("text")), r"[^\p{L}]+")
-    copies = F.array_min(F.transform(words, lambda w: F.xxhash64(F.lower(w)))).alias("copies")
-    learnt = labelled.where(drawn).select(copies, "text", F.col("toxic").cast("int").alias("toxic"))
-    met = learnt.mapInPandas(spelled, "copies long, toxic int, feature array<string>, context array<long>").select(
+    read = learnt.join(said, "key", "left").select("copies", "text", "toxic", "said")
+    met = read.mapInPandas(spelled, "copies long, toxic int, feature array<string>, context array<long>").select(
         "copies", "toxic", F.explode(F.arrays_zip("feature", "context")).alias("seen")
     )
     # copies with the same smallest word count once, and so do those that escape this but share the neighbours;
@@ -326,42 +399,66 @@ def fit(labelled: DataFrame, model: CharacterModel, rows: int = FIT_ROWS) -> dic
     return {r["feature"]: r["weight"] for r in kept.collect()}  # of at most FIT_ROWS texts
 
 
-def score_column(text: Column, weights: dict[str, float], model: CharacterModel) -> Column:
-    """The score of a text; other columns of the row stay outside Python."""
+_EVIDENCE = "array<struct<word: string, weight: double>>"
+
+
+def telling_words(text: Column, weights: dict[str, float]) -> Column:
+    """The plain words of a text that speak for toxicity, with their weights; other columns of the row stay outside Python."""
 
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        reader = Reader(model, weights)
+    @F.pandas_udf(_EVIDENCE)
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        telling = Telling(weights)
         for texts in batches:
-            yield pd.Series([reader.score(text) for text in texts], dtype="float64")
+            yield pd.Series([[{"word": w, "weight": x} for w, x in telling.of(set(WORD.findall((text or "").lower())))] for text in texts])
 
-    return scored(text)
+    return found(text)
+
+
+def telling_readings(restored: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """Spans whose reading has words that speak for toxicity: span, telling."""
+
+    @F.pandas_udf(_EVIDENCE)
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        telling = Telling(weights)
+        for lists in batches:
+            yield pd.Series([[{"word": w, "weight": x} for w, x in telling.of(set(words))] for words in lists])
+
+    return restored.select("span", found("words").alias("telling")).where(F.size("telling") > 0)
 
 
 def _held_out(every: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % every == 0, F.lit(False))
 
 
-def scored(docs: DataFrame, labels: DataFrame, held_out: int = 5, name: str = "score") -> DataFrame:
-    """All columns of the documents and their score.
+def scored(docs: DataFrame, labels: DataFrame, held_out: int = 5) -> DataFrame:
+    """All columns of the documents in ``row``, and ``score``.
 
-    Labels of documents whose crc32(doc_id as text) is divisible by ``held_out`` are not learnt from.
+    Labels of documents whose crc32(doc_id as text) is divisible by ``held_out`` are not learnt from. Texts meet what
+    their disguised spans say by a join on their digest; only texts with telling spans are in it.
     """
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     labelled = docs.select("doc_id", "text").where(~_held_out(held_out)).join(known, "doc_id")
-    model = character_model(docs)
-    return docs.withColumn(name, score_column(F.col("text"), fit(labelled, model), model))
+    spans = docs.select(text_key(F.col("text")).alias("key"), F.explode(disguised_spans(F.col("text"))).alias("span"))
+    spans = written_copy(spans.distinct(), "spans")
+    counts = written_copy(trigram_counts(docs), "trigrams")
+    restored = written_copy(restored_spans(spans.select("span").distinct(), counts), "restored")
+    weights = fit(labelled, restored)
+
+    told = spans.join(telling_readings(restored, weights), "span").select("key", F.explode("telling").alias("t"))
+    told = told.distinct().groupBy("key").agg(F.collect_list("t").alias("restored"))
+    rows = docs.select(F.struct("*").alias("row"), telling_words(F.col("text"), weights).alias("plain"), text_key(F.col("text")).alias("key"))
+    found = rows.join(told, "key", "left")
+    words = F.array_distinct(F.concat("plain", F.coalesce("restored", F.array().cast(_EVIDENCE))))
+    chances = F.array_sort(F.transform(words, lambda w: w["weight"]))  # in one order, whatever order they came in
+    return found.select("row", (1 - F.aggregate(chances, F.lit(1.0), lambda p, w: p * (1 - w))).alias("score"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: int = 5) -> DataFrame:
     """Score and prediction for every document: doc_id, held_out, score, predicted."""
-    out = _held_out(held_out).alias("held_out")
-    return scored(docs.select("doc_id", "text"), labels, held_out).select(
-        "doc_id", out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
-    )
+    found = scored(docs.select("doc_id", "text"), labels, held_out).select("row.doc_id", "score")
+    return found.select("doc_id", _held_out(held_out).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score below one half, all columns as they are."""
-    found = scored(docs, labels, name="_toxicity")
-    return found.where(F.col("_toxicity") < 0.5).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return scored(docs, labels).where(F.col("score") < 0.5).select("row.*")
