@@ -59,15 +59,16 @@ SEPARATOR = " .-_*"
 BUCKET_SPANS = 4096
 
 WORD = re.compile(r"[^\W\d_]+")
-# Java patterns. Single characters set apart by white space, and marks of a disguise within a token: characters or pieces
-# between separators, a symbol beside a letter, one letter three times. What such a span says is left to the decoder.
+# Single characters set apart by white space, and marks of a disguise within a token: characters or pieces between
+# separators, a symbol beside a letter, one letter three times. What such a span says is left to the decoder.
 _LETTER, _BREAK = r"[^\W\d_]", r"[.\-_*]+"
 _SYMBOLS = re.escape("".join(LOOKS_LIKE))
-SPACED = r"(?U)(?<!\S)(?:\S\s{1,2}){2,}\S(?!\S)"
-DISGUISED = (
-    rf"(?U)^\W*(?:[^\W_]{_BREAK}){{2,}}[^\W_]\W*$|{_LETTER}{_BREAK}{_LETTER}|[{_SYMBOLS}]{_LETTER}"
-    rf"|{_LETTER}[@$!|+(€£0-9]|({_LETTER})\1\1"
+SPACED = re.compile(r"(?<!\S)(?:\S\s{1,2}){2,}\S(?!\S)")
+DISGUISED = re.compile(
+    rf"^\W*(?:[^\W_]{_BREAK}){{2,}}[^\W_]\W*$|{_LETTER}{_BREAK}{_LETTER}|[{_SYMBOLS}]{_LETTER}|{_LETTER}[@$!|+(€£0-9]"
 )
+TRIPLED = re.compile(rf"({_LETTER})\1\1")
+PLAIN_ENDS = ".,;:?\"'"  # what may stand beside a word without disguising it
 
 
 class Costs:
@@ -134,8 +135,8 @@ def _readings(span: str) -> Iterator[list[tuple[str, float]]]:
         char, end = span[at], at + 1
         while end < len(span) and span[end] == char:
             end += 1
-        run, at = end - at, end
-        options = []
+        first, run, at = at == 0, end - at, end
+        options = [("", DROP)] if first and char == "(" else []  # a bracket before a word
         if char in SEPARATOR:
             options += [("", DROP), (" ", 2 * DROP)]
         else:
@@ -237,11 +238,27 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(whole(text).cast("binary")))
 
 
-def disguised_spans(text: Column) -> Column:
+def spans_of(text: str | None) -> set[str]:
     """The distinct spans of a text that may be disguised, in lower case."""
-    low = F.lower(whole(text))
-    tokens = F.filter(F.split(low, r"(?U)\s+"), lambda token: token.rlike(DISGUISED))
-    return F.array_distinct(F.concat(tokens, F.regexp_extract_all(low, F.lit(SPACED), F.lit(0))))
+    low = (text or "").lower()
+    tokens = low.split()
+    different = set(tokens)
+    found = {t for t in different if not t.strip(PLAIN_ENDS).isalpha() and DISGUISED.search(t)}
+    if TRIPLED.search(low):
+        found.update(t for t in different if TRIPLED.search(t))
+    if list(map(len, tokens)).count(1) > 2:
+        found.update(m.group() for m in SPACED.finditer(low))
+    return found
+
+
+def disguised_spans(text: Column) -> Column:
+    """The distinct spans of a text that may be disguised; other columns of the row stay outside Python."""
+
+    @F.pandas_udf("array<string>")
+    def found(texts: pd.Series) -> pd.Series:
+        return pd.Series([sorted(spans_of(t)) for t in texts])
+
+    return found(text)
 
 
 def trigram_counts(docs: DataFrame) -> DataFrame:
@@ -269,7 +286,7 @@ def gram_costs(grams: DataFrame, counts: DataFrame) -> DataFrame:
     total = counts.agg(F.sum("n").alias("total"))
 
     def cost(n: str, of: str) -> Column:
-        return -F.log(F.greatest(F.col(n) - 0.5, F.lit(0.5)) / F.col(of))
+        return F.when(F.col(n).isNotNull(), -F.log(F.greatest(F.col(n) - 0.5, F.lit(0.5)) / F.col(of)))
 
     keyed = grams.select(
         "gram", F.substring("gram", 1, 2).alias("head"), last_two.alias("pair"), F.substring("gram", 2, 1).alias("tail"), last.alias("single")
@@ -359,7 +376,10 @@ def fit(labelled: DataFrame, restored: DataFrame, rows: int = FIT_ROWS) -> dict[
     drawn = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 20)) < math.ceil(min(1.0, rows / max(total, 1)) * (1 << 20))
     words = F.split(whole(F.col("text")), r"[^\p{L}]+")
     copies = F.array_min(F.transform(words, lambda w: F.xxhash64(F.lower(w)))).alias("copies")
-    learnt = written_copy(labelled.where(drawn).select(copies, "text", F.col("toxic").cast("int").alias("toxic"), text_key(F.col("text")).alias("key")), "learnt")
+    learnt = labelled.where(drawn).select(copies, "text", F.col("toxic").cast("int").alias("toxic"), text_key(F.col("text")).alias("key"))
+    # Copies of a text are one row from here on, folded in each input task.
+    learnt = learnt.groupBy("copies", "key").agg(F.first("text").alias("text"), F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("texts"))
+    learnt = written_copy(learnt, "learnt")
     spans = learnt.select("key", F.explode(disguised_spans(F.col("text"))).alias("span")).distinct()
     said = spans.join(restored, "span").groupBy("key").agg(F.collect_list(F.struct("span", "words")).alias("said"))
 
@@ -374,17 +394,17 @@ def fit(labelled: DataFrame, restored: DataFrame, rows: int = FIT_ROWS) -> dict[
                         first.setdefault(feature, context)
                 features.append(list(first))
                 around.append(list(first.values()))
-            yield pd.DataFrame({"copies": frame["copies"], "toxic": frame["toxic"], "feature": features, "context": around})
+            yield frame[["copies", "toxic", "texts"]].assign(feature=features, context=around)
 
     path = scratch_path(spark, "toxic-features")
-    read = learnt.join(said, "key", "left").select("copies", "text", "toxic", "said")
-    met = read.mapInPandas(spelled, "copies long, toxic int, feature array<string>, context array<long>").select(
-        "copies", "toxic", F.explode(F.arrays_zip("feature", "context")).alias("seen")
+    read = learnt.join(said, "key", "left").select("copies", "text", "toxic", "texts", "said")
+    met = read.mapInPandas(spelled, "copies long, toxic long, texts long, feature array<string>, context array<long>").select(
+        "copies", "toxic", "texts", F.explode(F.arrays_zip("feature", "context")).alias("seen")
     )
     # copies with the same smallest word count once, and so do those that escape this but share the neighbours;
     # such a group is toxic if most of its texts are, so a passage of many clean texts and a few toxic ones is not
     once = met.groupBy("seen.feature", "copies").agg(
-        F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("texts"), F.min("seen.context").alias("context")
+        F.sum("toxic").alias("toxic"), F.sum("texts").alias("texts"), F.min("seen.context").alias("context")
     )
     once = once.groupBy("feature", "context").agg((2 * F.sum("toxic") > F.sum("texts")).cast("int").alias("toxic"))
     once.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k")).where("n > 1").write.parquet(path)
