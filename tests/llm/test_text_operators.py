@@ -264,6 +264,24 @@ def test_simhash_against_brute_force(spark, odd, monkeypatch):
     assert told == brute_simhash(docs)
 
 
+@pytest.mark.parametrize("chosen", [1, 2, 3, 4])
+def test_links_by_any_choice_of_blocks(spark, chosen):
+    rng = np.random.default_rng(chosen)
+    prints = [int(p) for p in rng.integers(0, 2**63, 30, dtype=np.uint64)]
+    prints += [p ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(1, 5), replace=False)) for p in prints for _ in range(4)]
+    prints = sorted(set(prints))
+    nodes = spark.createDataFrame([(simhash.signed(p),) for p in prints], "f0 long")
+    root = {r.f0 % 2**64: r.root for r in simhash.components_of(nodes, 3, chosen).collect()}
+    n = len(prints)
+    brute = connected(n, [(a, b) for a in range(n) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 3])
+    same = {}
+    assert all(same.setdefault(root[p], label) == label for p, label in zip(prints, brute)) and len(same) == len(set(brute))
+
+
+def test_more_fingerprints_choose_more_blocks():
+    assert [simhash.chosen_blocks(10**e, 3) for e in (0, 6, 8, 9, 11, 12, 13, 15)] == [1, 1, 1, 2, 3, 3, 4, 4]
+
+
 def test_simhash_of_an_empty_table(odd):
     assert simhash.linked_documents(odd.limit(0)).collect() == []
 
@@ -275,19 +293,20 @@ def test_one_of_each_group_of_near_duplicates_stays(spark, odd):
     for i in range(12):
         text = list(rng.choice(words, 200))
         docs.append((100 * i, " ".join(text)))
-        for j in range(1, 6):
+        for j in range(1, 6):  # nearer than three bits or not, as brute force tells
             copy = list(text)
             copy[int(rng.integers(0, 200))] = "new"
             docs.append((100 * i + j, " ".join(copy)))
         half = " ".join(text[:100] + list(rng.choice(words, 100)))  # half alike: stays
         docs.append((100 * i + 50, half))
         alone.append(100 * i + 50)
-    kept = simhash.without_near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
-    assert sorted(r.doc_id for r in kept.collect()) == sorted([100 * i for i in range(12)] + alone)
+    kept = sorted(r.doc_id for r in simhash.without_near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert kept == sorted({least for _, _, least in brute_simhash(docs)})
+    assert set(alone) < set(kept) and len(kept) < len(docs)
     rest = simhash.without_near_duplicates(odd)
     assert rest.columns == odd.columns
-    # texts 1 and 2 differ in white space only; 3, 4 and 5 have no words; both rows of 6 are one document
-    assert sorted((r.doc_id or -1) for r in rest.collect()) == [-1, 1, 3, 6, 6, 7, 8, 9]
+    # texts 1 and 2 differ in white space only; 3, 4 and 5 have no words; of the repeated row 6 one stays
+    assert sorted((r.doc_id or -1) for r in rest.collect()) == [-1, 1, 3, 6, 7, 8, 9]
     assert simhash.without_near_duplicates(odd.limit(0)).collect() == []
 
 

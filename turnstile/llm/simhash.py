@@ -3,10 +3,13 @@
 Fingerprints are computed by DataFrame expressions: each shingle's hash adds to one
 counter per bit, two counters to a long, summed per document in the input task.
 
-Links are searched in BK-trees. A fingerprint is cut into bands of 16 bits, and the
-distinct fingerprints that agree in a band form a shard with a tree of its own;
-two that differ in fewer bits than there are bands agree in one, so with
-``radius < bands`` no link is lost. The trees go to their queries by a shuffle and
+Links are searched in BK-trees. A fingerprint is cut into ``radius + chosen`` blocks;
+two within the radius differ in at most ``radius`` of them, so they agree in some
+``chosen`` of them whole. The distinct fingerprints that agree in such a choice form
+a shard with a tree of its own, and no link is lost. ``chosen`` follows from the
+number of fingerprints: one block of 16 bits for few, two blocks (25 bits) from some
+10^8, three (32 bits) from 10^11 on, so that a shard of evenly spread fingerprints
+stays about one tree at any size. The trees go to their queries by a shuffle and
 not by a broadcast, for together they hold every fingerprint. A shard beyond
 ``TREE_ROWS`` is split into several trees, and each part of it is searched in each
 tree: no task gets more than two parts, and no candidate is left out.
@@ -15,26 +18,29 @@ Within a shard only links that connect something are returned, fewer than two pe
 fingerprint, so a group of copies never turns into all its pairs.
 
 Defined results: NULL and empty texts have fingerprint zero, which is linked as any
-other. Repeated rows get equal results, one row each. A NULL doc_id never names a
-component that has another document. Columns beside the named ones are not read.
+other. Repeated rows get equal results, one row each; of the documents that stay
+each group has one row, so of repeated rows one. A NULL doc_id never names a
+component that has another document. Columns beside the named ones are not read. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.alike import alike_links, first_members, with_shared_members
 from turnstile.llm.bk_trees import spanning_links
 from turnstile.llm.components import components
 from turnstile.llm.texts import lower_ascii, whole, words
 from turnstile.session import scratch_path
 
-BAND_BITS = 16
+BITS = 64
+MOST_CHOSEN = 4  # blocks that make a key; 35 keys of 36 bits at radius 3
 TREE_ROWS = 2048
 BATCH_ROWS = 40_000  # rows of whole shards that one call to the trees gets
 
@@ -47,54 +53,77 @@ def _written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shingle_hash(size: int, word: int) -> Column:
-    """Hash of the ``size`` words from i on; of all words where there are fewer. XXH64, seed 42, for word 0."""
+def unused(name: str, columns: list[str]) -> str:
+    """``name`` with as many underscores behind it as it takes to be no name of ``columns``, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def shingle_hash(size: int) -> Column:
+    """XXH64, seed 42, of the ``size`` words from i on; of all words where there are fewer."""
     text = F.concat_ws(" ", *(F.get("words", F.col("i") + j) for j in range(size)))
-    return F.when(F.col("i").isNotNull(), F.xxhash64(text) if word == 0 else F.xxhash64(F.lit(word), text))
+    return F.when(F.col("i").isNotNull(), F.xxhash64(text))
 
 
-def fingerprints(docs: DataFrame, keep: list[Column], shingle: int = 3, width: int = 1) -> DataFrame:
-    """``keep`` columns and ``f0`` ..: ``width`` words of 64 bits; a bit is 1 if set in over half the hashes."""
+def fingerprints(docs: DataFrame, keep: list[Column], shingle: int = 3) -> DataFrame:
+    """``keep`` columns and ``f0``: a bit is 1 if set in over half the hashes of the shingles."""
     row = F.monotonically_increasing_id().alias("_row")
     rows = docs.select(row, *keep, words(lower_ascii(whole(F.col("text")))).alias("words"))
     names = [c for c in rows.columns if c not in ("_row", "words")]
     last = F.greatest(F.size("words") - shingle, F.lit(0))
     steps = F.when(F.size("words") > 0, F.sequence(F.lit(0), last))
     hashes = rows.select("_row", *names, "words", F.explode_outer(steps).alias("i")).select(
-        "_row", *names, *(shingle_hash(shingle, w).alias(f"h{w}") for w in range(width))
+        "_row", *names, shingle_hash(shingle).alias("h")
     )
-    sums = [
-        F.sum(F.shiftrightunsigned(f"h{w}", bit).bitwiseAND(F.lit(PAIR))).alias(f"s{w}_{bit}")
-        for w in range(width)
-        for bit in range(32)
-    ]
-    counted = hashes.groupBy("_row", *names).agg(F.count("h0").alias("n"), *sums)
+    sums = [F.sum(F.shiftrightunsigned("h", bit).bitwiseAND(F.lit(PAIR))).alias(f"s{bit}") for bit in range(32)]
+    counted = hashes.groupBy("_row", *names).agg(F.count("h").alias("n"), *sums)
+    total = F.lit(0).cast("long")
+    for bit in range(BITS):
+        count = F.shiftrightunsigned(f"s{bit % 32}", 32 * (bit // 32)).bitwiseAND(F.lit(0xFFFFFFFF))
+        one = F.lit(signed(1 << bit)).cast("long")
+        total = total.bitwiseOR(F.when(count * 2 > F.col("n"), one).otherwise(F.lit(0).cast("long")))
+    return counted.select(*names, total.alias("f0"))
+
+
+def signed(bits: int) -> int:
+    """64 bits as a signed number."""
+    return bits - (1 << BITS) if bits >> (BITS - 1) else bits
 
-    def bits(w: int) -> Column:
-        total = F.lit(0).cast("long")
-        for bit in range(64):
-            count = F.shiftrightunsigned(f"s{w}_{bit % 32}", 32 * (bit // 32)).bitwiseAND(F.lit(0xFFFFFFFF))
-            one = F.lit(1 << bit if bit < 63 else -(1 << 63)).cast("long")
-            total = total.bitwiseOR(F.when(count * 2 > F.col("n"), one).otherwise(F.lit(0).cast("long")))
-        return total
 
-    return counted.select(*names, *(bits(w).alias(f"f{w}") for w in range(width)))
+def hexadecimal(column: str) -> Column:
+    """A fingerprint as 16 lower-case hex digits."""
+    return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def hexadecimal(width: int, prefix: str = "f") -> Column:
-    """The words of a fingerprint as 16 lower-case hex digits each."""
-    return F.concat(*(F.lower(F.lpad(F.hex(f"{prefix}{w}"), 16, "0")) for w in range(width)))
+def block_masks(radius: int, chosen: int) -> list[int]:
+    """The bits of every choice of ``chosen`` out of ``radius + chosen`` blocks: two prints within the radius agree on one."""
+    blocks = radius + chosen
+    edges = [BITS * i // blocks for i in range(blocks + 1)]
+    masks = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:])]
+    return [sum(choice) for choice in combinations(masks, chosen)]
 
 
-def _linker(width: int, radius: int):
+def chosen_blocks(prints: int, radius: int) -> int:
+    """The fewest blocks whose bits spread evenly spread prints over shards of one tree."""
+    for chosen in range(1, MOST_CHOSEN):
+        if prints >> (BITS * chosen // (radius + chosen)) <= TREE_ROWS:
+            return chosen
+    return MOST_CHOSEN
+
+
+def _linker(radius: int):
     """The function that links the rows of whole shards of a partition, sorted by shard."""
+    shard_of = ["band", "key", "a", "b"]
 
     def linked(frame: pd.DataFrame) -> pd.DataFrame:
-        prints = np.stack([frame[f"f{w}"].to_numpy().view(np.uint64) for w in range(width)], axis=1)
-        shard = frame.groupby(["band", "a", "b"], sort=False).ngroup().to_numpy()
+        prints = frame["f0"].to_numpy().view(np.uint64)[:, None]
+        shard = frame.groupby(shard_of, sort=False).ngroup().to_numpy()
         one, other, far = spanning_links(prints, shard, frame["in_tree"].to_numpy(), radius)
-        ends = {f"{side}{w}": prints[rows, w].view(np.int64) for side, rows in (("u", one), ("v", other)) for w in range(width)}
-        return pd.DataFrame({**ends, "distance": far.astype(np.int32)})
+        return pd.DataFrame(
+            {"u": prints[one, 0].view(np.int64), "v": prints[other, 0].view(np.int64), "distance": far.astype(np.int32)}
+        )
 
     def over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: list[pd.DataFrame] = []
@@ -103,7 +132,7 @@ def _linker(width: int, radius: int):
             if sum(map(len, waiting)) < BATCH_ROWS:
                 continue
             rows = pd.concat(waiting, ignore_index=True)
-            key = rows[["band", "a", "b"]].to_numpy()
+            key = rows[shard_of].to_numpy()
             ends = np.flatnonzero((key[1:] != key[:-1]).any(axis=1))
             cut = int(ends[-1]) + 1 if len(ends) else 0  # the last shard may go on
             if cut:
@@ -115,109 +144,64 @@ def _linker(width: int, radius: int):
     return over
 
 
-def links(prints: DataFrame, radius: int, width: int = 1) -> DataFrame:
-    """Links between distinct ``prints`` (f0 ..) that connect all that the radius connects: u0 .., v0 .., distance.
-
-    Exact for ``radius`` below the number of bands, ``4 * width``. A larger radius
-    also finds the links of those that agree in some band by chance.
-    """
-    names = [f"f{w}" for w in range(width)]
-    bands = 64 * width // BAND_BITS
-    values = [
-        F.shiftrightunsigned(f"f{b * BAND_BITS // 64}", b * BAND_BITS % 64).bitwiseAND(F.lit((1 << BAND_BITS) - 1)) + (b << BAND_BITS)
-        for b in range(bands)
+def links(prints: DataFrame, radius: int, chosen: int) -> DataFrame:
+    """Links between distinct ``prints`` (f0) that connect all that the radius connects: u, v, distance."""
+    keys = [
+        F.struct(F.lit(band).alias("band"), F.col("f0").bitwiseAND(F.lit(signed(mask)).cast("long")).alias("key"))
+        for band, mask in enumerate(block_masks(radius, chosen))
     ]
-    banded = prints.select(*names, F.explode(F.array(*values)).alias("band"))
-    shards = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shards = _written(shards.select("band", F.ceil(F.col("n") / TREE_ROWS).cast("int").alias("parts")), "shards")
-    part = F.pmod(F.xxhash64(F.lit("part"), *names), F.col("parts")).cast("int")
+    banded = prints.select("f0", F.explode(F.array(*keys)).alias("at")).select("f0", "at.band", "at.key")
+    shards = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shards = _written(shards.select("band", "key", F.ceil(F.col("n") / TREE_ROWS).cast("int").alias("parts")), "shards")
+    part = F.pmod(F.xxhash64(F.lit("part"), "f0"), F.col("parts")).cast("int")
     dealt = (
-        banded.join(shards, "band")
+        banded.join(shards, ["band", "key"])
         .withColumn("part", part)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
             "band",
+            "key",
             F.least("part", "other").alias("a"),
             F.greatest("part", "other").alias("b"),
             (F.col("part") <= F.col("other")).alias("in_tree"),
-            *names,
+            "f0",
         )
     )
-    kinds = ", ".join(f"{side}{w} long" for side in "uv" for w in range(width)) + ", distance int"
-    shuffled = dealt.repartition("band", "a", "b").sortWithinPartitions("band", "a", "b")
-    return shuffled.mapInPandas(_linker(width, radius), kinds)
+    shuffled = dealt.repartition("band", "key", "a", "b").sortWithinPartitions("band", "key", "a", "b")
+    return shuffled.mapInPandas(_linker(radius), "u long, v long, distance int")
+
+
+def components_of(nodes: DataFrame, radius: int, chosen: int | None = None) -> DataFrame:
+    """``nodes`` (distinct f0 and other columns, written) with ``root``, the same for all that links connect."""
+    edges = _written(links(nodes.select("f0"), radius, chosen or chosen_blocks(nodes.count(), radius)).select("u", "v"), "links")
+    rooted = nodes.join(components(edges), F.col("f0") == F.col("node"), "left")
+    return _written(rooted.select(*nodes.columns, F.coalesce("root", "f0").alias("root")), "rooted")
 
 
 def linked_documents(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """One row per document: doc_id, fingerprint and the smallest doc_id it is linked to through any chain."""
     rows = _written(fingerprints(docs, [F.col("doc_id")], shingle), "fingerprints")
     nodes = _written(rows.groupBy("f0").agg(F.min("doc_id").alias("doc_id")), "nodes")
-    edges = _written(links(nodes, radius).select(F.col("u0").alias("u"), F.col("v0").alias("v")), "links")
-    roots = components(edges)
-    rooted = _written(
-        nodes.join(roots, F.col("f0") == F.col("node"), "left").select("f0", "doc_id", F.coalesce("root", "f0").alias("root")),
-        "rooted",
-    )
+    rooted = components_of(nodes, radius)
     least = _written(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "components")
     named = _written(rooted.join(least, "root").select("f0", "component_id"), "named")
-    return rows.join(named, "f0").select("doc_id", hexadecimal(1).alias("fingerprint"), "component_id")
-
-
-def with_run_sets(docs: DataFrame, shingle: int, *keep: Column | str) -> DataFrame:
-    """``keep`` columns and ``runs``, the sorted distinct hashes of the runs of ``shingle`` words; of all words where there are fewer."""
-    hashed = F.transform(words(lower_ascii(whole(F.col("text")))), lambda w: F.xxhash64(w))
-    split = docs.select(*keep, hashed.alias("_words"))
-    steps = F.sequence(F.lit(0), F.greatest(F.size("_words") - shingle, F.lit(0)))
-    runs = F.transform(steps, lambda i: F.xxhash64(*(F.get("_words", i + j) for j in range(shingle))))
-    return split.select(*(c for c in split.columns if c != "_words"), F.sort_array(F.array_distinct(runs)).alias("runs"))
+    return rows.join(named, "f0").select("doc_id", hexadecimal("f0").alias("fingerprint"), "component_id")
 
 
-def without_near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
-    """The documents without near-duplicates: of each group the one with the smallest doc_id stays, all columns as they are.
+def without_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """The documents without near-duplicates: of each component one row stays, all columns as they are.
 
-    Two texts are linked if the sets of their ``shingle``-word runs have a Jaccard
-    similarity of at least ``similarity``, and a group is what links connect. No link is
-    lost (see ``turnstile.llm.alike``). Texts with equal sets, so exact copies and
-    texts that repeat a line more or less often, are one from the start. Texts without
-    words are equal.
+    The row with the smallest doc_id stays, a NULL doc_id last; of several with one
+    doc_id that of the smaller text hash, of rows that repeat both any one. The
+    documents are written once with a number for each row, which names the row that stays.
     """
-    text_key = F.md5(lower_ascii(whole(F.col("text"))).cast("binary")).alias("text_md5")
-    runs = with_run_sets(docs, shingle, "doc_id", text_key)
-    key = F.concat(F.hex(F.xxhash64("runs")), F.lit("-"), F.hex(F.xxhash64(F.lit(1), "runs")))
-    rows = _written(
-        runs.select(
-            "doc_id", "text_md5", key.alias("key"), F.xxhash64("runs").alias("set"),
-            F.size("runs").alias("n"), first_members(F.col("runs"), similarity).alias("firsts"),
-        ),
-        "run-sets",
-    )
-    # the smallest doc_id of a set, and its text; a NULL doc_id comes last
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_md5")).alias("best")
-    texts = _written(rows.groupBy("key").agg(F.first("set").alias("set"), best), "texts")
-    asked = _written(with_shared_members(rows.select("set", "n", "firsts"), similarity), "asked")
-    firsts = texts.join(asked, "set", "left_semi").select(
-        "key", F.col("best.doc_id").alias("_doc_id"), F.col("best.text_md5").alias("_md5")
-    )
-    chosen = docs.select("doc_id", "text", text_key).join(
-        _written(firsts, "candidate-texts"),
-        F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_md5") == F.col("_md5")),
-    )
-    sets = with_run_sets(chosen, shingle, "key").dropDuplicates(["key"])
-    sets = _written(sets.select(F.monotonically_increasing_id().alias("set"), "key", F.col("runs").alias("members")), "sets")
-    roots = components(_written(alike_links(sets.select("set", "members"), similarity), "near-duplicates"))
-    named = _written(
-        sets.select("set", "key").join(roots, F.col("set") == F.col("node")).select("key", "root"), "linked"
-    )
-    ends = sets.select(F.col("set").alias("root"), F.col("key").alias("root_key")).join(named, "root").select("key", "root_key")
-    rooted = _written(
-        texts.join(ends, "key", "left").select("best", F.coalesce("root_key", "key").alias("root")), "rooted"
-    )
-    stays = rooted.groupBy("root").agg(F.min("best").alias("best")).select(
-        F.col("best.doc_id").alias("_doc_id"), F.col("best.text_md5").alias("_md5")
-    )
-    stays = _written(stays, "stays")
-    return (
-        docs.withColumn("_text_md5", text_key)
-        .join(stays, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_text_md5") == F.col("_md5")), "left_semi")
-        .select(*(F.col(f"`{c}`") for c in docs.columns))
+    number = unused("_number", docs.columns)
+    copy = _written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    place = F.struct(
+        F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text"), F.col(number).alias("number")
     )
+    prints = fingerprints(copy, [place.alias("place")], shingle)
+    nodes = _written(prints.groupBy("f0").agg(F.min("place").alias("place")), "nodes")
+    stays = components_of(nodes, radius).groupBy("root").agg(F.min("place").alias("place"))
+    stays = _written(stays.select(F.col("place.number").alias(number)), "stays")
+    return copy.join(stays, number, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
