@@ -22,7 +22,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are alike in at least 0.8 of their runs of five words, the smallest doc_id stays."""
+    """Of documents that SimHash links, by three-word shingles at three bits or fewer, the smallest doc_id stays."""
     return without_near_duplicates(docs)
 
 
