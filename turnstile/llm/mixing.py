@@ -8,9 +8,11 @@ to single hashes. A final filter by threshold takes the documents: nothing is
 sorted but histograms of at most 4096 rows per source.
 
 Defined results: NULL text has size 0; NULL is a source of its own, after all
-others. Documents of one source with one doc_id share a hash and go together. A
-source without words has target 0. An empty table gives no rows. Of the one
-document at the boundary, the side nearer to the target is taken.
+others. Documents of one source with one doc_id share a hash and go together;
+documents without a doc_id are told apart by their text, and only repeated rows of
+them go together. A source without words has target 0. An empty table gives no rows.
+Of the one document at the boundary, the side nearer to the target is taken. In the
+mix all columns of the documents come back as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,16 +21,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from turnstile.llm.texts import word_count
+from turnstile.llm.texts import whole, word_count
 from turnstile.session import scratch_path
 
 LEVELS = (3, 6, 32)  # hex digits of the hash: 4096 buckets, each refined by 4096, then single hashes
 WEIGHTS = (3, 1, 2)
 
 
-def document_hash(doc_id: Column) -> Column:
-    """32 hex digits that depend on doc_id alone."""
-    return F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+def document_hash(doc_id: Column, text: Column) -> Column:
+    """32 hex digits that depend on doc_id alone, or on the text where there is none."""
+    nameless = F.concat(F.lit("text "), F.md5(whole(text).cast("binary")))
+    return F.md5(F.coalesce(doc_id.cast("string"), nameless).cast("binary"))
 
 
 def water_levels(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -105,7 +108,7 @@ def mix_plan(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFram
     """One row per source: source_size, target, whole ``times`` for every document, ``threshold`` for once more."""
     spark = docs.sparkSession
     path = scratch_path(spark, "word-counts")
-    docs.select("source", document_hash(F.col("doc_id")).alias("hash"), word_count(F.col("text")).alias("size")).write.parquet(path)
+    docs.select("source", document_hash(F.col("doc_id"), F.col("text")).alias("hash"), word_count(F.col("text")).alias("size")).write.parquet(path)
     rows = spark.read.parquet(path)
     path = scratch_path(spark, "targets")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -129,19 +132,19 @@ def mix_plan(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFram
 
 
 def planned(docs: DataFrame, **limits: float) -> DataFrame:
-    """All columns of the documents, the plan of their source (``_source`` ..) and ``_taken``, how often each is in the mix."""
-    once_more = (document_hash(F.col("doc_id")) <= F.col("_threshold")).cast("long")
+    """Each document as ``row``, the plan of its source (``_source`` ..) and ``_taken``, how often it is in the mix."""
+    once_more = (document_hash(F.col("row.doc_id"), F.col("row.text")) <= F.col("_threshold")).cast("long")
     plan = mix_plan(docs, **limits)
-    return docs.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_taken", F.col("_times") + once_more)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return rows.join(plan, F.col("row.source").eqNullSafe(F.col("_source"))).withColumn("_taken", F.col("_times") + once_more)
 
 
 def mixed(docs: DataFrame, **limits: float) -> DataFrame:
     """Every document with the words that the mix takes of it, repeats counted."""
-    size = word_count(F.col("text"))
-    rows = planned(docs.select("doc_id", "source", "text"), **limits)
-    return rows.select(
-        "doc_id",
-        "source",
+    size = word_count(F.col("row.text"))
+    return planned(docs.select("doc_id", "source", "text"), **limits).select(
+        "row.doc_id",
+        "row.source",
         size.alias("size"),
         F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"),
@@ -152,5 +155,4 @@ def mixed(docs: DataFrame, **limits: float) -> DataFrame:
 def mixture(docs: DataFrame, **limits: float) -> DataFrame:
     """The mix itself: each document as often as it is taken, all columns as they are."""
     rows = planned(docs, **limits).where("_taken > 0")
-    repeated = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_taken")))
-    return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "_taken"))).select("row.*")

@@ -113,7 +113,7 @@ def op7_digest_index(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     r"""
     WITH rows AS (
-        SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS hash,
+        SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), 'text ' || md5(coalesce(text, '')))) AS hash,
             CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
         FROM documents
     ), sized AS (
