@@ -86,6 +86,45 @@ def test_shards_are_level_gapless_and_keep_groups(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_shards_are_those_of_longest_first(spark):
+    rng = np.random.default_rng(11)
+    sizes = [int(n) for n in rng.pareto(1.2, 300) * 50 + 1]
+    docs = [(i, f"{i} " + "x" * n) for i, n in enumerate(sizes)] + [(1000 + i, f"{i} " + "x" * sizes[i]) for i in range(0, 300, 3)]
+    totals = {}
+    for _, text in docs:
+        totals[text] = totals.get(text, 0) + len(text) + 1
+    loads = [0] * 16
+    for size in sorted(totals.values(), reverse=True):
+        loads[loads.index(min(loads))] += size
+    got = {}
+    for r in sharding.sharded(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        got[r.shard] = got.get(r.shard, 0) + r.size
+    assert sorted(got.values()) == sorted(loads)
+
+
+def test_equal_groups_come_to_a_shard_each(spark):
+    for trial in range(3):
+        docs = [(i, f"{trial} {i:02} " + "x" * 100_000) for i in range(16)] + [(100 + i, f"{trial} {i}") for i in range(200)]
+        got = sharding.sharded(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+        assert sorted(r.shard for r in got if r.doc_id < 16) == list(range(16))
+
+
+def test_many_small_groups_level_the_shards(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ALONE", 4)  # most groups travel in bundles
+    monkeypatch.setattr(sharding, "SLOTS", 64)
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.col("id").cast("string"), F.repeat(F.lit("y"), (F.col("id") % 50).cast("int"))).alias("text"))
+    loads = [r[1] for r in sharding.sharded(docs).groupBy("shard").agg(F.sum("size")).collect()]
+    assert len(loads) == 16 and max(loads) - min(loads) < 0.02 * sum(loads) / 16
+
+
+def test_columns_beside_the_shards_come_back(spark):
+    names = ("block", "first", "group", "class", "total", "row", "n", "SLOT_")
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "doc_id long, text string").withColumns({c: F.lit(c) for c in names})
+    got = sharding.shard_documents(docs, keep=docs.columns)
+    assert got.columns == [*docs.columns, "size", "text_crc32", "shard", "slot"]
+    assert all(r[c] == c for r in got.collect() for c in names) and got.count() == 3
+
+
 def test_shards_of_odd_and_empty_tables(odd):
     got = sharding.sharded(odd).collect()
     assert len(got) == odd.count()
@@ -120,10 +159,22 @@ def test_mix_comes_near_its_targets(spark):
     assert all(abs(taken[s] - target[s]) <= 20 for s in target)
     assert sorted(listed(mixing.mixed(docs))) == sorted(tuple(r) for r in got)
     assert mixing.mixture(docs).count() == sum(r.taken // r.size for r in got if r.size) + sum(
-        1 for r in mixing.planned(docs).collect() if not r.text for _ in range(r._taken)
+        1 for r in mixing.planned(docs).collect() if not r.row.text for _ in range(r._taken)
     )
 
 
+def test_mix_of_documents_without_ids_and_with_clashing_columns(spark):
+    data = [(None, f"n{i} " + "w " * 19, "a") for i in range(600)] + [(i, f"d{i} " + "w " * 19, "b") for i in range(600)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    for r in mixing.mixed(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect():
+        assert abs(r.taken - r.target) <= 20
+    names = ("_source", "_copy", "_taken", "_threshold", "row", "col", "hash", "prefix")
+    mix = mixing.mixture(docs.withColumns({c: F.lit(c) for c in names}))
+    assert mix.columns == ["doc_id", "text", "source", *names]
+    assert mix.where("not (" + " and ".join(f"`{c}` = '{c}'" for c in names) + ")").count() == 0
+    assert mix.count() == sum(r.taken for r in mixing.mixed(docs).collect()) / 20
+
+
 def test_mix_of_odd_and_empty_tables(odd):
     got = mixing.mixed(odd).collect()
     assert len(got) == odd.count()

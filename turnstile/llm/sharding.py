@@ -1,15 +1,17 @@
 """Shards of near equal size by longest-processing-time scheduling.
 
 Groups that must stay together are sorted by size and go, largest first, to the
-least loaded shard through a heap. The heap runs over a bounded list: groups of
-like size (the same power of two) that fall into the same hash slot travel as one
-bundle, so at most 64 classes times ``SLOTS`` bundles reach the driver at any
-input size. A class with few groups has about one group per bundle; a class with
-many has bundles so small that the last ones level the shards.
+least loaded shard through a heap. A group of at least ``1 / ALONE`` of a shard's fair
+load goes to the heap alone, and there are at most ``ALONE`` times the shards of them
+at any input size; so 16 equal groups always come to 16 shards. Smaller groups of like
+size (the same power of two) that fall into the same hash slot travel as one bundle,
+at most 64 classes times ``SLOTS``; these level the shards after the large ones. A
+table all of whose groups are alone is scheduled exactly.
 
 Defined results: NULL text has no bytes and CRC 0; NULL texts form one group of
 their own. A group larger than a fair share fills its shard beyond it, as it must
-stay together. An empty table gives no rows. Other columns are never read.
+stay together. Repeated rows get a slot each. An empty table gives no rows. Columns
+kept beside the result come back as they are, except those named as a column of it.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from turnstile.llm.texts import whole
 from turnstile.session import scratch_path
 
 SLOTS = 512  # bundles per size class
+ALONE = 1024  # a group of at least this part of a shard's fair load is no part of a bundle
 BLOCK_ROWS = 100_000  # rows that are numbered in one task
 
 
@@ -47,17 +50,22 @@ def group_shards(rows: DataFrame, shards: int) -> DataFrame:
     Groups are summed in the input tasks first, so a hot group is one row per task.
     """
     spark = rows.sparkSession
-    groups = rows.groupBy("group").agg(F.sum("size").alias("total"))
-    groups = groups.withColumn("class", F.length(F.bin(F.col("total")))).withColumn(
-        "slot", F.pmod(F.xxhash64(F.lit("bundle"), "group"), F.lit(SLOTS)).cast("int")
-    )
     path = scratch_path(spark, "groups")
-    groups.write.parquet(path)
+    rows.groupBy("group").agg(F.sum("size").alias("total")).write.parquet(path)
     groups = spark.read.parquet(path)
+    load = groups.agg(F.sum("total")).first()[0] or 0
+    alone = F.col("total") * (shards * ALONE) >= load
+    slot = F.pmod(F.xxhash64(F.lit("bundle"), "group"), F.lit(SLOTS))
+    groups = groups.select(
+        "group",
+        "total",
+        F.when(alone, -1).otherwise(F.length(F.bin(F.col("total")))).alias("class"),
+        F.when(alone, F.col("group")).otherwise(slot).alias("slot"),
+    )
     bundles = groups.groupBy("class", "slot").agg(F.sum("total").alias("total"))
-    items = [(b["total"], (b["class"], b["slot"])) for b in bundles.collect()]  # at most 64 * SLOTS
+    items = [(b["total"], (b["class"], b["slot"])) for b in bundles.collect()]  # at most shards * ALONE + 64 * SLOTS
     placed = [(c, s, shard) for (c, s), shard in longest_first(items, shards).items()]
-    table = spark.createDataFrame(placed, "class int, slot int, shard int")
+    table = spark.createDataFrame(placed, "class int, slot long, shard int")
     return groups.join(F.broadcast(table), ["class", "slot"]).select("group", "shard")
 
 
@@ -82,7 +90,7 @@ def numbered(placed: DataFrame, order: list[str]) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, keep: list[str] | None = None) -> DataFrame:
-    """Every document with its size, CRC, shard and slot beside the ``keep`` columns; equal texts share a shard."""
+    """The ``keep`` columns of every document, then its size, text_crc32, shard and slot; equal texts share a shard."""
     spark = docs.sparkSession
     text = whole(F.col("text"))
     made = {
@@ -90,8 +98,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, keep: list[str] | None =
         "text_crc32": F.crc32(text.cast("binary")),
         "group": F.xxhash64(F.col("text").isNull(), text),
     }
-    names = [c for c in keep or ["doc_id"] if c not in (*made, "shard", "block", "first", "slot")]
-    rows = docs.select(*(F.col(f"`{c}`") for c in names), *(c.alias(n) for n, c in made.items()))
+    kept = F.struct(F.col("doc_id").alias("doc_id"), *(F.col(f"`{c}`") for c in keep or [] if c != "doc_id"))
+    rows = docs.select(kept.alias("row"), *(c.alias(n) for n, c in made.items()))
     path = scratch_path(spark, "sizes")
     rows.select("group", "size").write.parquet(path)
     sizes = spark.read.parquet(path)
@@ -99,7 +107,10 @@ def shard_documents(docs: DataFrame, shards: int = 16, keep: list[str] | None =
     group_shards(sizes, shards).write.parquet(path)
     path_placed = scratch_path(spark, "placed")
     rows.join(spark.read.parquet(path), "group").write.parquet(path_placed)
-    return numbered(spark.read.parquet(path_placed), ["doc_id", "group", "size"])
+    told = ["size", "text_crc32", "shard", "slot"]
+    names = [c for c in keep or ["doc_id"] if c not in told]
+    placed = numbered(spark.read.parquet(path_placed), ["row.doc_id", "group", "size"])
+    return placed.select(*(F.col(f"row.`{c}`") for c in names), *told)
 
 
 def sharded(docs: DataFrame) -> DataFrame:
