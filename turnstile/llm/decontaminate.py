@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.texts import NO_WORD, lower_ascii, whole
+from turnstile.llm.texts import NO_WORD, lower_ascii, unused, whole
 from turnstile.session import scratch_path
 
 GRAM = 5
@@ -177,5 +177,6 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def without_passages(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without a window of an item, all columns as they are."""
-    found = hit_texts(docs, items).select(F.col("text_md5").alias("_text_md5"))
-    return docs.join(found, text_key() == F.col("_text_md5"), "left_anti")
+    hit = unused("text_md5", docs.columns)
+    found = hit_texts(docs, items).select(F.col("text_md5").alias(hit))
+    return docs.join(found, text_key() == F.col(hit), "left_anti")

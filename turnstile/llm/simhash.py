@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from turnstile.llm.bk_trees import spanning_links
 from turnstile.llm.components import components
-from turnstile.llm.texts import lower_ascii, whole, words
+from turnstile.llm.texts import lower_ascii, unused, whole, words
 from turnstile.session import scratch_path
 
 BITS = 64
@@ -53,14 +53,6 @@ def _written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def unused(name: str, columns: list[str]) -> str:
-    """``name`` with as many underscores behind it as it takes to be no name of ``columns``, in any case of letters."""
-    taken = {c.lower() for c in columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def shingle_hash(size: int) -> Column:
     """XXH64, seed 42, of the ``size`` words from i on; of all words where there are fewer."""
     text = F.concat_ws(" ", *(F.get("words", F.col("i") + j) for j in range(size)))

@@ -25,6 +25,14 @@ def words(text: Column, separator: str = SPACE) -> Column:
     return F.filter(F.split(whole(text), separator), lambda w: w != "")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name`` with as many underscores behind it as it takes to be no name of ``columns``, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """How many runs of other than white space; 0 for NULL."""
     parts = F.split(F.btrim(whole(text), F.lit(" \t\n\x0b\x0c\r")), SPACE)
