@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 
@@ -56,3 +59,30 @@ def test_few_long_documents_are_learnt_from(spark):
     assert tree.languages == ["en", "fr"]
     learnt = [2 ** levels[0].start[0] - len(levels[0].grams) for levels in tree.levels]
     assert max(learnt) < 8000 + language.FIT_PIECE and learnt[1] >= 4096
+
+
+def test_only_letters_make_a_language(spark):
+    said = {"en": "the cat and the dog went over the hill with ", "fr": "le chat et la souris sont dans la maison avec "}
+    docs = [(i, said[lang] * 3, lang) for i in range(20) for lang in said]
+    asked = {100: "\u00bd \u00b2 \u2460", 101: "\u2167", 102: "12 _ !", 103: "\u4f60", 104: "\u00bd the"}
+    docs += [(i, text, None) for i, text in asked.items()]
+    got = {r.doc_id: r.lang_pred for r in language.languages(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()}
+    assert [got[i] == "und" for i in asked] == [True, True, True, False, False]
+
+
+ELSEWHERE = """
+import sys
+sys.path.insert(0, sys.argv[1])  # the driver alone finds the package
+from turnstile.session import build_session
+from turnstile.llm import language
+spark = build_session("elsewhere", "local[2]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"})
+docs = [(i, ("the cat and the dog " if i % 2 else "le chat et la souris ") * 5, "en" if i % 2 else "fr") for i in range(40)]
+print("RIGHT", sum(r.lang_pred == docs[r.doc_id][2] for r in language.languages(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()))
+"""
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    root = str(Path(__file__).resolve().parents[2])
+    env = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
+    said = subprocess.run([sys.executable, "-c", ELSEWHERE, root], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "RIGHT 40" in said.stdout, said.stderr[-3000:]

@@ -14,11 +14,14 @@ from alone, and costs add up along the shortening contexts. A batch of texts is
 as its distinct runs of bytes; every text is read whole, in pieces that overlap by a
 context.
 
-Training uses at most ``FIT_BYTES`` of text a language and one piece (a documented
-bound), in pieces of ``FIT_PIECE`` letters drawn by hash from all its texts, and at
-least one; counting it is a grouped sum.
-
-Defined results: a NULL text, or one without a letter, is ``und`` with score 0, as
+Training uses at most ``FIT_BYTES`` of text a language, and ``FIT_TOTAL`` of all
+languages, and one piece each (documented bounds), in pieces of ``FIT_PIECE`` letters
+drawn by hash from all its texts, and at least one; counting it is a grouped sum. The
+driver gets the counted grams as Arrow columns: at most one of 12 bytes and a name for
+each byte learnt from, one language at a time.
+
+Defined results: a NULL text, or one without a letter (Unicode category L, so digits,
+fractions and letter-like numbers are none), is ``und`` with score 0, as
 is every text if no training text has a language. Equal texts get equal results,
 ties go to the smaller name. Other columns are not read.
 """
@@ -26,10 +29,9 @@ ties go to the smaller name. Other columns are not read.
 from __future__ import annotations
 
 import math
-import re
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pandas as pd
@@ -41,10 +43,10 @@ from turnstile.session import scratch_path
 
 ORDER = 4
 FIT_BYTES = 2_000_000
+FIT_TOTAL = 64_000_000
 FIT_PIECE = 4096  # letters
 PIECE = 1 << 20  # bytes of one text that are read at once
 BATCH_BYTES = 1 << 21
-LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
@@ -103,14 +105,22 @@ def gram_counts(texts: list[bytes], before: list[bytes] | None = None) -> dict[b
 
 def build_tree(grams: dict[str, dict[bytes, int]]) -> ContextTree:
     """The tree from each language's gram counts."""
+    return _tree(
+        {
+            name: (np.array([int.from_bytes(gram, "big") for gram in counts], np.uint64), np.array(list(counts.values()), float))
+            for name, counts in grams.items()
+        }
+    )
+
+
+def _tree(grams: dict[str, tuple[np.ndarray, np.ndarray]]) -> ContextTree:
     languages = sorted(grams)
-    built = [_levels(grams[name]) for name in languages]
+    built = [_levels(*grams[name]) for name in languages]
     return ContextTree(languages, [levels for levels, _ in built], [unseen for _, unseen in built])
 
 
-def _levels(counts: dict[bytes, int]) -> tuple[list[Contexts], float]:
-    full = np.array([int.from_bytes(gram, "big") for gram in counts], np.uint64)
-    many = np.array(list(counts.values()), float)
+def _levels(full: np.ndarray, many: np.ndarray) -> tuple[list[Contexts], float]:
+    """Contexts by length from the codes of grams of ORDER + 1 bytes and their counts."""
     levels: list[Contexts] = []
     shorter, shorter_n = np.zeros(0, np.uint64), np.zeros(0)
     totals, kinds, parent = np.zeros(0), np.zeros(0), np.zeros(0, np.uint64)
@@ -205,10 +215,12 @@ def train(docs: DataFrame, fit_bytes: int = FIT_BYTES) -> ContextTree | None:
     sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"), F.min("drawn").alias("_least"))
     # one row a language, written so that the planner knows how small it is and leaves the texts where they are
     path = scratch_path(spark, "shares")
+    sizes.select(F.col("lang").alias("_lang"), "bytes", "_least").write.parquet(path)
+    shares = spark.read.parquet(path)
+    fit_bytes = min(fit_bytes, FIT_TOTAL // max(1, shares.count()))
     # twice what is asked, of which the first by hash are taken
     upto = F.ceil(F.least(2 * fit_bytes / F.col("bytes"), F.lit(1.0)) * (1 << 30)).alias("upto")
-    sizes.select(F.col("lang").alias("_lang"), upto, "_least").write.parquet(path)
-    shares = spark.read.parquet(path)
+    shares = shares.select("_lang", upto, "_least")
     numbers = F.sequence(F.lit(0), F.floor((F.col("letters") - 1) / FIT_PIECE).cast("int"))
     place = lambda b: F.xxhash64("drawn", b)
     taken = F.filter(
@@ -229,16 +241,19 @@ def train(docs: DataFrame, fit_bytes: int = FIT_BYTES) -> ContextTree | None:
         for frame in frames:
             for lang, rows in frame.groupby("lang"):
                 counts = gram_counts([t.encode() for t in rows["text"]], [t.encode() for t in rows["before"]])
-                yield pd.DataFrame({"lang": lang, "gram": list(counts), "n": list(counts.values())})
+                codes = [int.from_bytes(gram, "big") for gram in counts]
+                yield pd.DataFrame({"lang": lang, "gram": codes, "n": list(counts.values())})
 
     path = scratch_path(spark, "grams")
-    learnt.mapInPandas(counted, "lang string, gram binary, n long").groupBy("lang", "gram").agg(
+    learnt.mapInPandas(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")
     ).write.parquet(path)
-    grams: dict[str, dict[bytes, int]] = defaultdict(dict)
-    for row in spark.read.parquet(path).collect():  # at most fit_bytes and a piece's bytes a language
-        grams[row["lang"]][bytes(row["gram"])] = row["n"]
-    return build_tree(grams) if grams else None
+    counted_grams = spark.read.parquet(path)
+    grams = {}
+    for lang in [row["lang"] for row in counted_grams.select("lang").distinct().collect()]:
+        table = counted_grams.where(F.col("lang") == lang).select("gram", "n").toArrow()
+        grams[lang] = table["gram"].to_numpy().astype(np.uint64), table["n"].to_numpy().astype(float)
+    return _tree(grams) if grams else None
 
 
 def predicted(docs: DataFrame, tree: ContextTree | None, keep: list[Column]) -> DataFrame:
@@ -247,17 +262,20 @@ def predicted(docs: DataFrame, tree: ContextTree | None, keep: list[Column]) ->
     schema = docs.select(*keep, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     if tree is None:
         return docs.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast((tree.languages, tree.levels, tree.unseen))  # at most ORDER + 1 grams a byte learnt from
+    # plain arrays, which executors read without this package; at most ORDER + 1 grams a byte learnt from
+    arrays = [[[getattr(level, f.name) for f in fields(Contexts)] for level in levels] for levels in tree.levels]
+    shared = docs.sparkSession.sparkContext.broadcast((tree.languages, arrays, tree.unseen))
 
     def told(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = ContextTree(*shared.value)
+        names, arrays, unseen = shared.value
+        model = ContextTree(names, [[Contexts(*level) for level in levels] for levels in arrays], unseen)
         for frame in frames:
             texts = list(frame.pop("_text"))
             bits = code_lengths([t.encode() for t in texts], model)
             best = bits.argmin(axis=1)
             less = bits - bits.min(axis=1, keepdims=True)
             score = 1 / np.exp2(-np.minimum(less, 1000)).sum(axis=1)
-            letters = np.array([LETTER.search(t) is not None for t in texts], bool)
+            letters = np.array([any(map(str.isalpha, t)) for t in texts], bool)  # category L
             names = np.array(model.languages, object)[best]
             yield frame.assign(lang_pred=np.where(letters, names, "und"), score=np.where(letters, score, 0.0))
 
