@@ -68,6 +68,41 @@ def test_deep_and_long_pages():
     assert html_text.main_text(long, potentials).count("\n") == 19_999
 
 
+TALE = "The whole article stands here, with enough words to be read as one."
+MALFORMED = {
+    "no end of head": f"<html><head><title>x</title><meta a=b><body><article><p>{TALE}</p></article>",
+    "text ends the head": f"<html><head><title>x</title><article><p>{TALE}</p></article>",
+    "stray apostrophe": f"<article><p title=don't>{TALE}</p></article>",
+    "stray quote": f'<article><p title="a>{TALE}</p></article>',
+    "greater in a value": f'<article><p title="a > b" class=\'x>y\'>{TALE}</p></article>',
+    "svg without content": f"<article><svg/><p>{TALE}</p></article>",
+    "unclosed video": f"<article><video src=a><p>{TALE}</p></article>",
+    "unclosed video before": f"<body><div><video src=a></div><article><p>{TALE}</p></article>",
+    "unclosed iframe": f"<article><iframe src=a><p>{TALE}</p></article>",
+    "closed video": f"<article><video src=a>Your browser is old</video><p>{TALE}</p></article>",
+    "closed svg": f"<article><svg><text>label</text></svg><p>{TALE}</p></article>",
+    "comments in articles beside": f"<main><article><p>{TALE}</p></article><section class=comments><article><p>Reader one says so.</p></article>"
+    "<article class=comment><p>Reader two says no.</p></article></section></main>",
+    "comments in articles inside": f"<article><h2>{TALE}</h2><article class=comment><p>I like it.</p></article><article><p>Me too.</p></article></article>",
+    "comments named on the page": f'<body class="has comments"><article><p>{TALE}</p></article><div id=comments><article><p>A reader.</p></article></div>',
+}
+
+
+@pytest.mark.parametrize("name", MALFORMED)
+@pytest.mark.parametrize("counts", [{}, html_text.page_counts(PAGE)])
+def test_malformed_pages_keep_their_article(name, counts):
+    assert html_text.main_text(MALFORMED[name], html_text.Potentials.of(counts)) == TALE
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<", "<!--", "<a =\">\" ", "<p x='", "<video>", "<iframe>", "</p ", "<![CDATA[", "<title ", "=\""])
+def test_a_megabyte_is_read_in_seconds(piece):
+    from time import perf_counter
+
+    start = perf_counter()
+    html_text.main_text(piece * (1_000_000 // len(piece)), html_text.Potentials.of({}))
+    assert perf_counter() - start < 20
+
+
 def test_pages_of_a_table(spark):
     data = [(1, "http://a", PAGE), (1, "http://a", PAGE), (2, None, None), (None, "x", ""), (3, "u", "<article>plain</article>")]
     pages = spark.createDataFrame(data, "page_id long, url string, html string").withColumns({"text": F.lit(1), "n_chars": F.lit("a")})

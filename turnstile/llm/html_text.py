@@ -11,8 +11,15 @@ main element is content but for the boxes inside it), on top of fixed prior coun
 for kinds and hints, so that rare kinds have a say. At most about ``FIT_PAGES``
 pages, drawn by hash, are counted (a documented bound); every page is read whole.
 
+A page is read in one forward scan, in time proportional to its length. A ``head``
+ends, closed or not, at the first thing that belongs in the body. Quotes delimit only
+attribute values, after an equals sign. Elements such as ``video`` or ``svg`` that are
+never closed hide nothing. Reader comments, also where they are article elements of
+their own beside or inside the main one, are boxes.
+
 Defined results: NULL and empty pages have an empty text. Scripts, styles, forms and
-the like are no text at all. Unclosed and unmatched tags never fail. Equal pages get
+the like are no text at all. Unclosed and unmatched tags never fail; a tag that never
+ends, and a script or style that is never closed, go on to the end. Equal pages get
 equal texts, one row each. Without pages to learn from the prior counts decide.
 Other columns are not read.
 """
@@ -38,8 +45,10 @@ PRIOR = 20.0  # weight of the fixed counts
 
 # Elements of HTML by their part in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script style noscript template textarea title svg math iframe object canvas video audio".split()
-NO_TEXT = {*RAW, *"head form button select option datalist input label fieldset dialog".split()}
+RAW = "script style noscript textarea title iframe".split()  # what is inside is no markup
+MEDIA = "template svg math object canvas video audio".split()
+HEAD = "head base link meta title noscript script style template".split()  # what may stand in a head
+NO_TEXT = {*RAW, *MEDIA, *"head form button select option datalist input label fieldset dialog".split()}
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var wbr".split()
@@ -58,13 +67,12 @@ BOX_WORDS = set(
     "replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe taboola tags toolbar "
     "topbar warning widget alert".split()
 )
+READER_WORDS = set("comment comments disqus replies reply respond".split())
 MAIN_WORDS = set("article articlebody body content entry main page post story text".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+# Possessive, so that a tag is read once: quoted values after an equals sign, anything else up to the end.
+ATTRIBUTES = re.compile(r"(?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+>")
 ATTRIBUTE = re.compile(r"(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HINT = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
@@ -80,15 +88,68 @@ class Node:
     text: list[str] | None = None
     linked: int = 0  # characters inside links
     block: int = 0
+    reader: bool = False  # named as a place of reader comments
+
 
+def _words(attributes: str) -> set[str]:
+    """The words of class, id and the like."""
+    return {w for m in ATTRIBUTE.finditer(attributes) for w in HINT.findall((m[2] or m[3] or m[4] or "").lower())}
 
-def _hint(attributes: str) -> str:
-    words = {w for m in ATTRIBUTE.finditer(attributes) for w in HINT.findall((m[2] or m[3] or m[4] or "").lower())}
+
+def _hint(words: set[str]) -> str:
     if words & BOX_WORDS:
         return "box"
     return "main" if words & MAIN_WORDS else "none"
 
 
+def tokens(page: str) -> Iterator[tuple[str, str, str, str]]:
+    """The page as (kind, value, name, attributes): kinds are text, start, end, and raw for the inside of a CDATA section.
+
+    Comments and declarations are left out, as is what scripts and the like enclose.
+    One forward scan: what is known to be missing in the rest of the page is not searched again.
+    """
+    at = written = 0  # where the scan is, and up to where the page has been told
+    plain = False  # a quoted value ran over the end: tags end at the next '>' from there on
+    missing: set[str] = set()  # raw elements whose end tag does not follow
+    while (start := page.find("<", at)) >= 0:
+        name = NAME.match(page, start + 1)
+        if name is None and not page.startswith(("!", "?"), start + 1):
+            at = start + 1
+            continue
+        if start > written:
+            yield "text", page[written:start], "", ""
+        if name is None:
+            section = page.startswith("<![CDATA[", start)
+            mark = "-->" if page.startswith("<!--", start) else "]]>" if section else ">"
+            end = page.find(mark, start + 2 if mark != "]]>" else start + 9)
+            if section:
+                yield "raw", page[start + 9 : end if end >= 0 else len(page)], "", ""
+            at = written = len(page) if end < 0 else end + len(mark)
+            continue
+        rest = None if plain else ATTRIBUTES.match(page, name.end())
+        if rest is None:
+            plain = True
+            close = page.find(">", name.end())
+            if close < 0:  # a tag that never ends
+                return
+            at = written = close + 1
+        else:
+            at = written = rest.end()
+        tag, attributes = name[2].lower(), page[name.end() : at - 1]
+        yield "end" if name[1] else "start", "", tag, attributes
+        if name[1] or tag not in RAW or attributes.endswith("/") and tag not in ("script", "style"):
+            continue
+        end = None if tag in missing else re.compile(rf"</{tag}[\s>/]", re.I).search(page, at)
+        if end is not None:
+            at = written = page.find(">", end.start()) + 1 or len(page)
+        elif tag in ("script", "style"):
+            return
+        else:
+            missing.add(tag)
+    if written < len(page):
+        yield "text", page[written:], "", ""
+
+
 def parse(page: str) -> list[Node]:
     """The nodes of a page in order, parents before children; node 0 is the root.
 
@@ -113,35 +174,42 @@ def parse(page: str) -> list[Node]:
         if link:
             nodes[line].linked += len(text.strip())
 
-    def pop(depth: int) -> None:
+    def pop(depth: int, closed: str = "") -> None:
         nonlocal link
+        for k in stack[depth:]:
+            if nodes[k].tag in MEDIA and nodes[k].tag != closed:  # never closed: it hides nothing
+                nodes[k].tag = "unclosed"
         del stack[depth:]
         if link > depth:
             link = 0
 
-    for token in TOKEN.finditer(page):
-        if token.start() < at:
-            continue
-        if token.start() > at:
-            add_text(page[at : token.start()])
-        at = token.end()
-        if token[2] is None:
-            if token[0].startswith("<![CDATA["):
-                add_text(token[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+    def end_head() -> None:
+        nonlocal block
+        if nodes[stack[-1]].tag == "head":
+            block += 1
+            pop(len(stack) - 1)
+
+    for kind, value, tag, attributes in tokens(page):
+        if kind in ("text", "raw"):
+            if value.strip():
+                end_head()
+            add_text(value if kind == "text" else value.replace("&", "&amp;"))
             continue
-        tag = token[2].lower()
+        closing = kind == "end"
+        if not closing and tag not in HEAD:
+            end_head()
         if tag == "br":
             add_text(" ")
             continue
         if tag in INLINE:
             if tag == "a":
-                link = 0 if token[1] else len(stack)
+                link = 0 if closing else len(stack)
             continue
         block += 1
-        if token[1]:
+        if closing:
             place = next((k for k in range(len(stack) - 1, 0, -1) if nodes[stack[k]].tag == tag), 0)
             if place:
-                pop(place)
+                pop(place, tag)
             continue
         for k in range(len(stack) - 1, 0, -1):
             name = nodes[stack[k]].tag
@@ -152,17 +220,12 @@ def parse(page: str) -> list[Node]:
                 break
             if tag not in SIBLINGS:
                 break
-        if tag in VOID:
-            continue
-        if tag in RAW:  # everything up to its end
-            end = re.compile(rf"</{tag}[\s>/]", re.I).search(page, at)
-            at = len(page) if end is None else (page.find(">", end.start()) + 1 or len(page))
+        if tag in VOID or tag in RAW or tag in MEDIA and attributes.endswith("/"):
             continue
+        words = _words(attributes)
         stack.append(len(nodes))
-        nodes.append(Node(tag, stack[-2], _hint(token[3])))
-    rest = page[at:]
-    cut = re.search(r"<[a-zA-Z/!?]", rest)  # a tag that never ends
-    add_text(rest[: cut.start()] if cut else rest)
+        nodes.append(Node(tag, stack[-2], _hint(words), reader=bool(words & READER_WORDS)))
+    pop(1)
     return nodes
 
 
@@ -234,15 +297,49 @@ def _below(nodes: list[Node]) -> list[int]:
     return total
 
 
+def _mark_comments(nodes: list[Node]) -> None:
+    """Articles that hold reader comments get the hint of a box.
+
+    They stand in a place named for comments that does not hold the main article, or
+    in another article that has more text of its own.
+    """
+    below = _below(nodes)
+    articles = [i for i, n in enumerate(nodes) if n.tag in ("article", "main")]
+    if not articles:
+        return
+    first = next((i for i in articles if nodes[i].hint != "box"), articles[0])
+    above, i = {first}, first
+    while i > 0:
+        i = nodes[i].parent
+        above.add(i)
+    outer = [0] * len(nodes)  # the innermost article above a node
+    read = [False] * len(nodes)
+    own = below[:]  # text of an article outside the articles in it
+    for i, node in enumerate(nodes[1:], 1):
+        outer[i] = node.parent if nodes[node.parent].tag == "article" else outer[node.parent]
+        read[i] = read[node.parent] or node.reader and i not in above
+        if node.tag == "article" and outer[i]:
+            own[outer[i]] -= below[i]
+    for i in articles:
+        if i != first and (read[i] or nodes[i].tag == "article" and outer[i] and own[outer[i]] >= below[i]):
+            nodes[i].hint = "box"
+
+
 def _places(nodes: list[Node]) -> list[str]:
     """Of each node: 'box' if it is set apart by kind or hint, 'in box' below such a node, else 'plain'."""
-    holds = [n.tag in ("article", "main") for n in nodes]  # a wrapper of the article is no box, whatever its hints
+    _mark_comments(nodes)
+    mains = [n.tag in ("article", "main") for n in nodes]
+    # a wrapper of the article is no box, whatever its hints; nor is the article where all are named as boxes
+    plain = [i for i, n in enumerate(nodes) if mains[i] and n.hint != "box"] or [i for i in range(len(nodes)) if mains[i]][:1]
+    holds = [False] * len(nodes)
+    for i in plain:
+        holds[i] = True
     for i in range(len(nodes) - 1, 0, -1):
         holds[nodes[i].parent] |= holds[i]
     places = ["plain"] * len(nodes)
     inside = [False] * len(nodes)  # an article; a header there is its own
     for i, node in enumerate(nodes[1:], 1):
-        inside[i] = inside[node.parent] or node.tag in ("article", "main")
+        inside[i] = inside[node.parent] or mains[i]
         if holds[i]:
             node.hint = "none" if node.hint == "box" else node.hint
         elif node.tag in BOX or node.hint == "box" or node.tag == "header" and not inside[i]:
