@@ -38,7 +38,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the shard, of near equal bytes, and their place in it; equal texts together."""
-    return shard_documents(docs, keep=docs.columns).drop("group")
+    return shard_documents(docs, keep=docs.columns)
 
 
 STAGES: list[tuple[str, Stage]] = [
