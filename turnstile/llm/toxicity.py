@@ -32,10 +32,11 @@ import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.llm.texts import whole
@@ -57,6 +58,7 @@ LOOKS_LIKE = {
 SWAP, DROP, SHRINK, UNKNOWN = 1.0, 0.3, 0.5, 12.0  # costs in nats
 SEPARATOR = " .-_*"
 BUCKET_SPANS = 4096
+BATCH_TEXTS = 500  # texts that a Python worker holds at once
 
 WORD = re.compile(r"[^\W\d_]+")
 # Single characters set apart by white space, and marks of a disguise within a token: characters or pieces between
@@ -233,6 +235,18 @@ class Telling:
 # --- spans -------------------------------------------------------------------------------------------------
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of ``BATCH_TEXTS`` rows for the tables written inside, so that workers stay small on long texts."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(BATCH_TEXTS, int(before)) if int(before) > 0 else BATCH_TEXTS))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def text_key(text: Column) -> Column:
     """What tells texts apart, 16 bytes."""
     return F.unhex(F.md5(whole(text).cast("binary")))
@@ -453,24 +467,27 @@ def _held_out(every: int) -> Column:
 def scored(docs: DataFrame, labels: DataFrame, held_out: int = 5) -> DataFrame:
     """All columns of the documents in ``row``, and ``score``.
 
-    Labels of documents whose crc32(doc_id as text) is divisible by ``held_out`` are not learnt from. Texts meet what
-    their disguised spans say by a join on their digest; only texts with telling spans are in it.
+    Labels of documents whose crc32(doc_id as text) is divisible by ``held_out`` are not learnt from. Texts meet the
+    telling words that they and their disguised spans hold by a join on their digest; only texts with any are in it.
     """
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     labelled = docs.select("doc_id", "text").where(~_held_out(held_out)).join(known, "doc_id")
-    spans = docs.select(text_key(F.col("text")).alias("key"), F.explode(disguised_spans(F.col("text"))).alias("span"))
-    spans = written_copy(spans.distinct(), "spans")
-    counts = written_copy(trigram_counts(docs), "trigrams")
-    restored = written_copy(restored_spans(spans.select("span").distinct(), counts), "restored")
-    weights = fit(labelled, restored)
-
-    told = spans.join(telling_readings(restored, weights), "span").select("key", F.explode("telling").alias("t"))
-    told = told.distinct().groupBy("key").agg(F.collect_list("t").alias("restored"))
-    rows = docs.select(F.struct("*").alias("row"), telling_words(F.col("text"), weights).alias("plain"), text_key(F.col("text")).alias("key"))
-    found = rows.join(told, "key", "left")
-    words = F.array_distinct(F.concat("plain", F.coalesce("restored", F.array().cast(_EVIDENCE))))
+    key = text_key(F.col("text")).alias("key")
+    with small_batches(docs.sparkSession):
+        spans = docs.select(key, F.explode(disguised_spans(F.col("text"))).alias("span"))
+        spans = written_copy(spans.distinct(), "spans")
+        counts = written_copy(trigram_counts(docs), "trigrams")
+        restored = written_copy(restored_spans(spans.select("span").distinct(), counts), "restored")
+        weights = fit(labelled, restored)
+        plain = docs.select(key, F.explode(telling_words(F.col("text"), weights)).alias("t"))
+        said = spans.join(telling_readings(restored, weights), "span").select("key", F.explode("telling").alias("t"))
+        told = plain.unionByName(said).distinct().groupBy("key").agg(F.collect_list("t").alias("words"))
+        told = written_copy(told, "telling")
+    rows = docs.select(F.struct("*").alias("row"), key)
+    words = F.coalesce("words", F.array().cast(_EVIDENCE))
     chances = F.array_sort(F.transform(words, lambda w: w["weight"]))  # in one order, whatever order they came in
-    return found.select("row", (1 - F.aggregate(chances, F.lit(1.0), lambda p, w: p * (1 - w))).alias("score"))
+    score = 1 - F.aggregate(chances, F.lit(1.0), lambda p, w: p * (1 - w))
+    return rows.join(told, "key", "left").select("row", score.alias("score"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: int = 5) -> DataFrame:
