@@ -42,7 +42,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("written", [drops._cut_order_drops])
+@pytest.mark.parametrize("written", [drops._cut_order_drops, drops._monthly_order_drops])
 def test_drops_are_written_compressed(spark, folder, written):
     path = written(Inputs(spark, folder))
     home = Path(path.removeprefix("file:").split("/year=")[0].split("/month=")[0])
