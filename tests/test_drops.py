@@ -42,7 +42,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("written", [drops._cut_order_drops, drops._monthly_order_drops])
+@pytest.mark.parametrize("written", [drops._order_drops, drops._cut_order_drops, drops._monthly_order_drops])
 def test_drops_are_written_compressed(spark, folder, written):
     path = written(Inputs(spark, folder))
     home = Path(path.removeprefix("file:").split("/year=")[0].split("/month=")[0])
@@ -90,3 +90,8 @@ def test_rows_of_sound_files_do_not_travel(spark, tmp_path):
         assert sound.count() == 59_999
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_the_ending_of_compressed_drops(spark, folder):
+    tickets = CATALOGUE["nested_tickets"].build(spark, folder)
+    assert [tuple(r) for r in tickets.groupBy("filename").count().collect()] == [(".json", N_LINES)]
